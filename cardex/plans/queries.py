@@ -90,7 +90,8 @@ def sql_functions_documents(spark, folder):
     table(spark, folder, "documents").createOrReplaceTempView("texts")
     return spark.sql(
         "SELECT source, email_domain(email) AS domain, count(*) AS emails"
-        " FROM (SELECT source, explode(extract_emails(text)) AS email FROM texts)"
+        " FROM (SELECT source, explode(emails) AS email"
+        "       FROM (SELECT source, extract_emails(text) AS emails FROM texts))"
         " GROUP BY source, email_domain(email)"
     )
 
@@ -202,8 +203,8 @@ def observed_counts(spark, folder):
     found, kept = stats.counted(C.contacts(records), "contacts")
     path = tables.write_snapshot(found, scratch_dir(spark, "observed"), STAMP)
     return spark.read.parquet(path).agg(
-        F.lit(seen.get["rows"]).alias("records"),
-        F.lit(kept.get["rows"]).alias("contacts"),
+        F.lit(seen.get["rows"]).cast("bigint").alias("records"),
+        F.lit(kept.get["rows"]).cast("bigint").alias("contacts"),
         F.count(F.lit(1)).alias("stored"),
     )
 
@@ -314,19 +315,22 @@ def archive_records(spark, folder):
 
 
 def archive_listing(spark, folder):
-    """Archives listed, and the first one by path read back through the limit."""
+    """Records of all listed archives, and of the first so many by path."""
     root = scratch_dir(spark, "archives")
-    write_archives(pages(spark, folder).coalesce(1), segment(root, 0))
-    write_archives(documents(spark, folder).coalesce(1), segment(root, 1))
-    listed = archives.list_archives(spark, root, CRAWL, suffix=WRITTEN_SUFFIX)
-    first = archives.list_archives(spark, root, CRAWL, 1, WRITTEN_SUFFIX)
-    paths = [row.path for row in first.collect()]
-    read = archives.read_archives(spark, paths, suffix=WRITTEN_SUFFIX)
-    return (
-        listed.agg(F.count(F.lit(1)).alias("files"))
-        .join(read.agg(F.count(F.lit(1)).alias("records_in_first")))
-        .select("files", "records_in_first")
-    )
+    write_archives(pages(spark, folder), segment(root, 0))
+    write_archives(documents(spark, folder), segment(root, 1))
+
+    def listed(limit: int | None = None) -> DataFrame:
+        return archives.list_archives(spark, root, CRAWL, limit, WRITTEN_SUFFIX)
+
+    def records(files: DataFrame, number: int) -> DataFrame:
+        paths = [row.path for row in files.select("path").collect()]
+        read = archives.read_archives(spark, paths, suffix=WRITTEN_SUFFIX)
+        return read.select(F.lit(number).alias("listing"))
+
+    in_first_segment = listed().where(F.contains("path", F.lit("/segments/0/"))).count()
+    both = records(listed(), 0).unionByName(records(listed(in_first_segment), 1))
+    return both.groupBy("listing").agg(F.count(F.lit(1)).alias("records"))
 
 
 def _harvest_twice(spark: SparkSession, folder: str) -> tuple[str, str]:
