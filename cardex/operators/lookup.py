@@ -51,10 +51,10 @@ def _shuffled(contacts: DataFrame, dimension: DataFrame) -> DataFrame:
 
     The ``HOT_DOMAINS`` most frequent domains are looked up by a broadcast of at most
     that many rows; every other domain then holds less than one part in
-    ``HOT_DOMAINS`` of the contacts, which one shuffle partition can take.  Hot rows
-    and rows without a domain need no shuffle partner and are spread over all
-    partitions by ``_spread``.  Which domains count as hot only decides the route, so
-    it has no effect on the result.
+    ``HOT_DOMAINS`` of the contacts, which one shuffle partition can take.  Rows of hot
+    domains and rows without a domain have no partner in the shuffled dimension; they
+    get keys that spread them over all partitions and, holding an "@", equal no domain.
+    Which domains count as hot only decides the route, never the result.
 
     Give it stored contacts: counting domains reads them once more (one column).
     """
@@ -69,17 +69,17 @@ def _shuffled(contacts: DataFrame, dimension: DataFrame) -> DataFrame:
     hot_rows = hot.join(dimension, "domain", "left").select(
         "domain", F.lit(True).alias("_hot"), F.struct(*ATTRIBUTES).alias("_hot_found")
     )
-    cold_rows = dimension.select(
-        "domain", F.lit(0).alias("_spread"), F.struct(*ATTRIBUTES).alias("_cold_found")
+    cold_rows = dimension.where(~F.contains("domain", F.lit("@"))).select(
+        F.col("domain").alias("_key"), F.struct(*ATTRIBUTES).alias("_cold_found")
+    )
+    scattered = F.concat(
+        F.lit("@"), F.xxhash64("url", "warc_record_id", "email", "phone_number")
     )
-    scattered = 1 + F.pmod(
-        F.xxhash64("url", "warc_record_id", "email", "phone_number"), F.lit(1_000_000)
-    ).cast("int")
     cold = F.col("domain").isNotNull() & F.col("_hot").isNull()
     return (
         contacts.join(F.broadcast(hot_rows), "domain", "left")
-        .withColumn("_spread", F.when(cold, 0).otherwise(scattered))
-        .join(cold_rows, ["domain", "_spread"], "left")
+        .withColumn("_key", F.when(cold, F.col("domain")).otherwise(scattered))
+        .join(cold_rows, "_key", "left")
         .withColumn("_found", F.coalesce("_hot_found", "_cold_found"))
         .select(*contacts.columns, *(F.col(f"_found.{a}").alias(a) for a in ATTRIBUTES))
     )

@@ -85,12 +85,16 @@ def extract_contacts_conversations(spark, folder):
 
 
 def sql_functions_documents(spark, folder):
-    """U1 to U3 in SQL: addresses, their domains and numbers per source."""
+    """U1 and U3 in SQL: addresses per source and domain.
+
+    Exploding ``emails`` itself would let the optimizer infer a filter on it and run the
+    extraction again for that filter.
+    """
     register_functions(spark)
     table(spark, folder, "documents").createOrReplaceTempView("texts")
     return spark.sql(
         "SELECT source, email_domain(email) AS domain, count(*) AS emails"
-        " FROM (SELECT source, explode(emails) AS email"
+        " FROM (SELECT source, explode(array_compact(emails)) AS email"
         "       FROM (SELECT source, extract_emails(text) AS emails FROM texts))"
         " GROUP BY source, email_domain(email)"
     )
@@ -237,8 +241,11 @@ def contacts_with_category(spark, folder):
 
 def contacts_with_category_shuffled(spark, folder):
     """The same lookup the way it goes when the dimension is too large to broadcast."""
+    path = tables.write_snapshot(
+        enriched(spark, folder), scratch_dir(spark, "contacts"), STAMP
+    )
     joined = lookup.with_categories(
-        enriched(spark, folder), categories(spark, folder), broadcast_bytes=-1
+        spark.read.parquet(path), categories(spark, folder), broadcast_bytes=-1
     )
     return joined.select(*CONTACT, "domain", *lookup.ATTRIBUTES)
 

@@ -95,7 +95,9 @@ def harvest(
 
 
 def harvested_contacts(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.schema(CONTACTS_TABLE).parquet(table_path)
+    """ST1: everything harvested so far, as rows of the contacts table."""
+    stored = spark.read.schema(CONTACTS_TABLE).parquet(table_path)
+    return stored.select(CONTACTS_TABLE.names)
 
 
 def harvested_domain_stats(spark: SparkSession, stats_path: str) -> DataFrame:

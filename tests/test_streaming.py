@@ -1,0 +1,81 @@
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+
+from archive_files import record, write
+from cardex.operators.contacts import contacts
+from cardex.operators.enrich import enrich
+from cardex.operators.stats import domain_stats
+from cardex.operators.tables import table_rows
+from cardex.sources.archives import archive_glob, read_archives
+from cardex.streaming import harvest as H
+
+STAMP = datetime(2024, 1, 1)
+
+
+class Site:
+    def __init__(self, spark, folder):
+        self.spark, self.folder = spark, Path(folder)
+        self.root, self.table, self.stats, self.checkpoint = (
+            str(self.folder / name) for name in ("root", "table", "stats", "checkpoint")
+        )
+
+    def add(self, segment, name, *bodies):
+        write(self.root, segment, name, *(record(b, f"{name}-{i}") for i, b in enumerate(bodies)))
+
+    def run(self, stamp=STAMP, files_per_batch=1):
+        records = H.stream_archives(self.spark, self.root, "CRAWL", files_per_batch)
+        H.harvest(
+            records, "CRAWL", self.table, self.checkpoint, stamp, self.stats
+        ).awaitTermination()
+
+    def contacts(self):
+        return rows(H.harvested_contacts(self.spark, self.table))
+
+    def domain_stats(self):
+        return rows(H.harvested_domain_stats(self.spark, self.stats))
+
+    def batch_contacts(self):
+        records = read_archives(self.spark, archive_glob(self.root, "CRAWL"))
+        return table_rows(enrich(contacts(records), STAMP, "CRAWL"))
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.fixture
+def site(spark, tmp_path):
+    site = Site(spark, tmp_path)
+    site.add("1", "a.warc.gz", b"a@x.org 555-123-4567", b"b@x.org")
+    site.add("1", "b.warc.gz", b"nothing here")
+    site.add("2", "c.warc.gz", b"a@x.org", b"c@y.org")
+    return site
+
+
+def test_runs_add_up_to_the_batch_result(site):
+    site.run()
+    site.add("3", "d.warc.gz", b"a@x.org d@y.org")
+    site.run(files_per_batch=10)
+    assert site.contacts() == rows(site.batch_contacts())
+    assert site.domain_stats() == rows(domain_stats(site.batch_contacts()))
+
+
+def test_a_run_without_new_archives_changes_nothing(site):
+    site.run()
+    before = site.contacts(), site.domain_stats()
+    site.run(datetime(2024, 5, 1))
+    assert (site.contacts(), site.domain_stats()) == before
+
+
+def test_a_batch_retried_after_a_crash_is_replaced(site):
+    site.run(files_per_batch=2)
+    commits = sorted(Path(site.checkpoint, "commits").glob("[0-9]*"))
+    assert len(commits) == 2
+    # the crash came after writing the last batch and before committing it
+    commits[-1].unlink()
+    Path(site.checkpoint, "commits", f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    site.run(datetime(2024, 5, 1), files_per_batch=2)
+    assert len(site.contacts()) == site.batch_contacts().count()
+    assert sum(row[2] for row in site.domain_stats()) == site.batch_contacts().count()
