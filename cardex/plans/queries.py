@@ -304,7 +304,7 @@ def write_archives(records: DataFrame, segment: str) -> None:
     )
     records.select(F.concat(head, payload).alias("value")).write.option(
         "lineSep", "\r\n\r\n"
-    ).option("compression", "gzip").text(segment)
+    ).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(segment)
 
 
 def segment(root: str, number: int) -> str:

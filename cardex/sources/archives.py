@@ -2,23 +2,32 @@
 
 The scan is Spark's text source with the record boundary as line separator, so an
 archive streams through its task without being held whole; one gzip file is one task.
-All header and body work is done by built-in expressions.
+Header and body work is done by built-in expressions.
 
-A body may itself contain the boundary line.  ``Content-Length`` tells: such a record
-comes up short, and ``rejoin_split_records`` puts it together again from the lines that
-follow in the same task.  HTTP transfer and content encodings are not undone.
+Two things need more than one line or a codec, and ``repaired`` sees to them for the
+rare lines concerned: a body that itself contains the boundary line (the record then
+comes up short of its ``Content-Length`` and is put together again from the lines that
+follow in the same task), and bodies stored with HTTP transfer or content encodings.
 """
 
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardex.sources.http_encodings import undo_encodings
+
 ARCHIVE_SUFFIX = ".warc.gz"
 WARC_VERSION = "1.0"
 
 _END_OF_HEADERS = "\r\n\r\n"
+_ENCODED = (
+    r"(?im)^(transfer-encoding[ \t]*:[ \t]*chunked|"
+    r"content-encoding[ \t]*:[ \t]*(gzip|deflate))[ \t]*\r?$"
+)
+_MAX = 2**31 - 1
 
 
 def archive_glob(root: str, crawl_id: str) -> str:
@@ -55,39 +64,43 @@ def read_archives(
     paths: str | list[str],
     version: str = WARC_VERSION,
     suffix: str = ARCHIVE_SUFFIX,
-    rejoin: bool = True,
+    repair: bool = True,
+    skip_bad_files: bool = True,
 ) -> DataFrame:
     """The response records (D1) of archive files, folders or globs.
 
-    A file that is not gzip contributes nothing and a truncated one its readable
-    records.  ``rejoin=False`` saves the Python hop of ``rejoin_split_records`` where
-    bodies are known not to contain the boundary line.
+    With ``skip_bad_files`` a file that is not gzip contributes nothing and a truncated
+    one its readable records.  Spark then skips the rest of a file after any read
+    error; without it the task fails and is retried, elsewhere if need be.
+
+    ``repair=False`` saves the Python hop of ``repaired`` where bodies are known to be
+    stored plainly and not to contain the boundary line.
     """
-    lines = (
+    lines = read_lines(spark, paths, version, suffix, skip_bad_files)
+    return records_from_lines(lines, version, repair)
+
+
+def read_lines(
+    spark: SparkSession,
+    paths: str | list[str],
+    version: str = WARC_VERSION,
+    suffix: str = ARCHIVE_SUFFIX,
+    skip_bad_files: bool = True,
+) -> DataFrame:
+    return (
         spark.read.option("lineSep", separator(version))
         .option("pathGlobFilter", f"*{suffix}")
-        .option("ignoreCorruptFiles", "true")
+        .option("ignoreCorruptFiles", str(skip_bad_files).lower())
         .text(paths)
     )
-    return records_from_lines(lines, version, rejoin)
 
 
 def records_from_lines(
-    lines: DataFrame, version: str = WARC_VERSION, rejoin: bool = True
+    lines: DataFrame, version: str = WARC_VERSION, repair: bool = True
 ) -> DataFrame:
     """Response records from a batch or streaming text scan split at the boundary."""
-    raw = lines.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("value").cast("binary").alias("raw"),
-    )
-    if rejoin:
-        raw = rejoin_split_records(raw, version)
-    return parse_records(raw)
-
-
-def _headers() -> Column:
-    return F.substring_index(F.col("raw").cast("string"), _END_OF_HEADERS, 1)
+    located = payload_bounds(lines)
+    return parse_records(repaired(located, version) if repair else located)
 
 
 def _header(name: str) -> Column:
@@ -95,29 +108,48 @@ def _header(name: str) -> Column:
     return F.trim(F.regexp_extract("headers", pattern, 1))
 
 
-def _payload_offset() -> Column:
-    return F.octet_length("headers") + len(_END_OF_HEADERS)
-
+def payload_bounds(lines: DataFrame) -> DataFrame:
+    """Lines as bytes (``raw``) with where their payload starts, its length and lack.
 
-def missing_bytes() -> Column:
-    """How much of the declared payload a line (``raw``, ``headers``) lacks."""
+    ``missing`` is how much of the declared payload the line does not hold.
+    """
     declared = _header("Content-Length").try_cast("bigint")
-    lacking = declared + _payload_offset() - F.octet_length("raw")
-    return F.greatest(F.coalesce(lacking, F.lit(0)), F.lit(0))
+    held = F.octet_length("raw") - F.col("start")
+    return (
+        lines.select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_name").alias("file_name"),
+            F.col("value").cast("binary").alias("raw"),
+        )
+        .withColumn("headers", _headers())
+        .withColumn("start", F.octet_length("headers") + len(_END_OF_HEADERS))
+        .select(
+            "file_path",
+            "file_name",
+            "raw",
+            "start",
+            F.coalesce(declared, held.cast("bigint")).alias("length"),
+            F.greatest(F.coalesce(declared - held, F.lit(0)), F.lit(0)).alias("missing"),
+            _http_head(F.substring("raw", F.col("start") + 1, F.lit(_MAX)))
+            .rlike(_ENCODED)
+            .alias("encoded"),
+        )
+    )
 
 
-def rejoin_split_records(raw: DataFrame, version: str = WARC_VERSION) -> DataFrame:
-    """Undo splits at boundary lines inside bodies.
+def repaired(located: DataFrame, version: str = WARC_VERSION) -> DataFrame:
+    """Split records joined and HTTP encodings undone; all other lines as they are.
 
     Lines of a file arrive in file order within one task.  A line lacking part of its
-    declared payload takes in the following lines of its file until it is complete.
+    payload takes in the following lines of its file until it is complete.
     """
     boundary = separator(version).encode()
 
-    def rejoin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def repair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict | None = None
         for batch in batches:
-            if held is None and not any(batch.column("missing").to_pylist()):
+            flags = pc.or_(pc.greater(batch["missing"], 0), batch["encoded"])
+            if held is None and not pc.any(flags).as_py():
                 yield batch
                 continue
             done = []
@@ -135,21 +167,31 @@ def rejoin_split_records(raw: DataFrame, version: str = WARC_VERSION) -> DataFra
             if done:
                 yield pack(done, batch.schema)
         if held is not None:
-            yield pack([held], batch.schema)
+            yield pack([held], schema)
 
     def pack(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-        whole = [
-            {**r, "raw": boundary.join(r["parts"]), "missing": 0} for r in rows
-        ]
-        return pa.RecordBatch.from_pylist(whole, schema)
-
-    lengths = raw.withColumn("headers", _headers()).withColumn(
-        "missing", missing_bytes()
+        return pa.RecordBatch.from_pylist([whole(row) for row in rows], schema)
+
+    def whole(row: dict) -> dict:
+        raw, start, length = boundary.join(row["parts"]), row["start"], row["length"]
+        if row["encoded"]:
+            payload = undo_encodings(raw[start : start + length])
+            raw, length = raw[:start] + payload, len(payload)
+        missing = max(row["missing"], 0)
+        return {**row, "raw": raw, "length": length, "missing": missing}
+
+    schema = pa.schema(
+        {
+            "file_path": pa.string(),
+            "file_name": pa.string(),
+            "raw": pa.binary(),
+            "start": pa.int32(),
+            "length": pa.int64(),
+            "missing": pa.int64(),
+            "encoded": pa.bool_(),
+        }
     )
-    columns = lengths.select("file_path", "file_name", "raw", "missing")
-    return columns.mapInArrow(
-        rejoin, "file_path string, file_name string, raw binary, missing bigint"
-    ).drop("missing")
+    return located.mapInArrow(repair, located.schema)
 
 
 def decoded(body: Column) -> Column:
@@ -170,36 +212,43 @@ def decoded(body: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(restored)
 
 
-def _http_body(payload: str) -> Column:
-    """What follows the first empty line of an HTTP message; other payloads are all body.
+def _headers() -> Column:
+    return F.substring_index(F.col("raw").cast("string"), _END_OF_HEADERS, 1)
+
+
+def _http_head(message: Column) -> Column:
+    """What precedes the first empty line; ``substring_index`` compares bytes."""
+    before_crlf = F.substring_index(message.cast("string"), "\n\r\n", 1)
+    return F.substring_index(before_crlf, "\n\n", 1)
+
 
-    Offsets are found and cut in bytes: ``substring_index`` compares bytes, so invalid
-    ones do no harm, and the body is not walked.
+def _http_body(message: str) -> Column:
+    """The body of an HTTP response; other payloads are all body.
+
+    Offsets are found and cut in bytes, so invalid ones do no harm and the body is not
+    walked.
     """
-    text = F.col(payload).cast("string")
-    crlf_head = F.substring_index(text, "\n\r\n", 1)
-    lf_head = F.substring_index(crlf_head, "\n\n", 1)
-    offset = F.when(
-        F.octet_length(lf_head) < F.octet_length(crlf_head), F.octet_length(lf_head) + 2
-    ).otherwise(F.octet_length(crlf_head) + 3)
+    text = F.col(message).cast("string")
+    end = F.octet_length(_http_head(F.col(message)))
+    empty_line = F.when(F.substring(message, end + 2, F.lit(1)) == b"\r", 3).otherwise(2)
     return F.when(
-        F.startswith(text, F.lit("HTTP/")), F.substring(payload, offset + 1, 2**31 - 1)
-    ).otherwise(F.col(payload))
+        F.startswith(text, F.lit("HTTP/")),
+        F.substring(message, end + empty_line + 1, F.lit(_MAX)),
+    ).otherwise(F.col(message))
 
 
-def parse_records(raw: DataFrame) -> DataFrame:
+def parse_records(located: DataFrame) -> DataFrame:
     """S2a to S2d: D1 columns of the response records among whole record lines.
 
     Lines without a readable type are dropped with the other record types.  A response
     without a target URI is kept, with a NULL url.
     """
-    responses = raw.withColumn("headers", _headers()).where(
+    responses = located.withColumn("headers", _headers()).where(
         _header("WARC-Type") == "response"
     )
-    rest = F.octet_length("raw") - _payload_offset()
-    length = F.coalesce(_header("Content-Length").try_cast("int"), rest)
     uri = F.regexp_replace(_header("WARC-Target-URI"), "^<(.*)>$", "$1")
     filename = _header("WARC-Filename")
+    length = F.least("length", F.lit(_MAX)).cast("int")
     return (
         responses.select(
             F.nullif(uri, F.lit("")).alias("url"),
@@ -207,7 +256,7 @@ def parse_records(raw: DataFrame) -> DataFrame:
             .otherwise(F.col("file_name"))
             .alias("warc_filename"),
             F.nullif(_header("WARC-Record-ID"), F.lit("")).alias("warc_record_id"),
-            F.substring("raw", _payload_offset() + 1, length).alias("payload"),
+            F.substring("raw", F.col("start") + 1, length).alias("payload"),
             _header("WARC-Date").alias("timestamp"),
         )
         .withColumn("body", _http_body("payload"))
@@ -219,3 +268,39 @@ def parse_records(raw: DataFrame) -> DataFrame:
             "timestamp",
         )
     )
+
+
+def archive_report(
+    spark: SparkSession,
+    files: DataFrame,
+    paths: str | list[str],
+    version: str = WARC_VERSION,
+    suffix: str = ARCHIVE_SUFFIX,
+) -> DataFrame:
+    """What each listed file held: responses, other records, incomplete and unreadable.
+
+    ``files`` is a listing; a file that could not be read at all counts zero.
+    """
+    lines = repaired(payload_bounds(read_lines(spark, paths, version, suffix)), version)
+    kind = _header("WARC-Type")
+    counts = (
+        lines.withColumn("headers", _headers())
+        .groupBy(_same_path("file_path").alias("_path"))
+        .agg(
+            F.count_if(kind == "response").alias("responses"),
+            F.count_if((kind != "response") & (kind != "")).alias("others"),
+            F.count_if((kind != "") & (F.col("missing") > 0)).alias("incomplete"),
+            F.count_if((kind == "") & (F.length("headers") > 0)).alias("unreadable"),
+        )
+    )
+    return (
+        files.withColumn("_path", _same_path("path"))
+        .join(counts, "_path", "left")
+        .drop("_path")
+        .na.fill(0, ["responses", "others", "incomplete", "unreadable"])
+    )
+
+
+def _same_path(column: str) -> Column:
+    """Spark's sources write local paths with one slash or three."""
+    return F.regexp_replace(column, "^file:/+", "/")

@@ -33,7 +33,7 @@ def stream_archives(
     files_per_batch: int = FILES_PER_BATCH,
     version: str = WARC_VERSION,
     suffix: str = ARCHIVE_SUFFIX,
-    rejoin: bool = True,
+    repair: bool = True,
 ) -> DataFrame:
     """Records (D1) of the archives a checkpoint has not seen yet."""
     lines = (
@@ -46,7 +46,7 @@ def stream_archives(
         .option("maxFileAge", "36500d")
         .load(archive_glob(root, crawl_id))
     )
-    return records_from_lines(lines, version, rejoin)
+    return records_from_lines(lines, version, repair)
 
 
 def _batch_folder(path: str, batch_id: int) -> str:

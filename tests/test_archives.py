@@ -1,4 +1,6 @@
+import gzip
 import os
+import zlib
 
 import pytest
 
@@ -96,7 +98,7 @@ def test_rejoining_across_batches(spark, tmp_path):
 
 def test_without_rejoining_no_python_runs(spark, tmp_path):
     path = write(tmp_path, "1", "a.warc.gz", record(b"x", "1"), record(b"y", "2"))
-    df = archives.read_archives(spark, path, rejoin=False)
+    df = archives.read_archives(spark, path, repair=False)
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
     assert {r.content for r in df.collect()} == {"x", "y"}
 
@@ -147,3 +149,100 @@ def test_listing_reads_no_content(spark, crawl):
     files = archives.list_archives(spark, str(crawl), "CRAWL")
     plan = files._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[1]
+
+
+def http(*headers):
+    return "\r\n".join(["HTTP/1.1 200 OK", *headers, "", ""]).encode()
+
+
+def chunked(*parts):
+    return b"".join(b"%x;x=y\r\n%s\r\n" % (len(p), p) for p in parts) + b"0\r\n\r\n"
+
+
+def raw_deflate(body):
+    stream = zlib.compressobj(wbits=-zlib.MAX_WBITS)
+    return stream.compress(body) + stream.flush()
+
+
+BODY = b"write to a@x.org " * 5000
+ENCODED = {
+    "gzip": (http("Content-Encoding: gzip"), gzip.compress(BODY), BODY),
+    "members": (
+        http("content-encoding:GZIP"), gzip.compress(BODY) + gzip.compress(b"b"), BODY + b"b"
+    ),
+    "deflate": (http("Content-Encoding: deflate"), zlib.compress(BODY), BODY),
+    "bare": (http("Content-Encoding: deflate"), raw_deflate(BODY), BODY),
+    "chunked": (http("A: b", "Transfer-Encoding: chunked"), chunked(b"one", b"two"), b"onetwo"),
+    "both": (
+        http("Transfer-Encoding: chunked", "Content-Encoding: gzip"),
+        chunked(gzip.compress(BODY)[:50], gzip.compress(BODY)[50:]),
+        BODY,
+    ),
+    "not gzip": (http("Content-Encoding: gzip"), b"plain", b"plain"),
+    "not chunked": (http("Transfer-Encoding: chunked"), b"plain", b"plain"),
+    "empty": (http("Content-Encoding: gzip"), b"", b""),
+    "other": (http("Content-Encoding: identity"), b"plain", b"plain"),
+    "renamed": (http("X-Was-Content-Encoding: gzip"), b"plain", b"plain"),
+    "in body": (http(), b"\r\nContent-Encoding: gzip\r\n", b"\r\nContent-Encoding: gzip\r\n"),
+    "split": (
+        http("Content-Encoding: gzip"),
+        gzip.compress(NESTED, compresslevel=0),
+        NESTED,
+    ),
+}
+
+
+def test_http_encodings_are_undone(spark, tmp_path):
+    path = write(
+        tmp_path,
+        "1",
+        "a.warc.gz",
+        *(record(body, rid, http=head) for rid, (head, body, _) in ENCODED.items()),
+    )
+    found = read(spark, path)
+    assert {rid: row.content for rid, row in found.items()} == {
+        rid: plain.decode() for rid, (_, _, plain) in ENCODED.items()
+    }
+
+
+def test_damaged_gzip_body_keeps_its_beginning(spark, tmp_path):
+    noise = os.urandom(200_000).hex().encode()
+    body = gzip.compress(noise)[:-20_000]
+    path = write(
+        tmp_path, "1", "a.warc.gz", record(body, "1", http=http("Content-Encoding: gzip"))
+    )
+    content = read(spark, path)["1"].content
+    assert 100_000 < len(content) < 400_000
+    assert noise.decode().startswith(content)
+
+
+def test_report(spark, tmp_path):
+    write(
+        tmp_path,
+        "1",
+        "a.warc.gz",
+        record(b"x", "info", kind="warcinfo", http=b"", uri=None),
+        record(NESTED, "1"),
+        record(b"y", "2"),
+    )
+    cut = gzip.decompress(record(b"z" * 100, "3"))[:-50]
+    write(tmp_path, "1", "b.warc.gz", gzip.compress(cut))
+    write(tmp_path, "1", "c.warc.gz", b"not gzip")
+    report = archives.archive_report(
+        spark,
+        archives.list_archives(spark, str(tmp_path), "CRAWL"),
+        archives.archive_glob(str(tmp_path), "CRAWL"),
+    )
+    columns = ["responses", "others", "incomplete", "unreadable"]
+    found = {r.path.rsplit("/")[-1]: tuple(r[c] for c in columns) for r in report.collect()}
+    assert found == {
+        "a.warc.gz": (2, 1, 0, 0),
+        "b.warc.gz": (1, 0, 1, 0),
+        "c.warc.gz": (0, 0, 0, 0),
+    }
+
+
+def test_bad_files_can_fail_the_job(spark, tmp_path):
+    path = write(tmp_path, "1", "bad.warc.gz", b"not gzip")
+    with pytest.raises(Exception):
+        archives.read_archives(spark, path, skip_bad_files=False).count()
