@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 ATTRIBUTES = ["category", "subcategory", "is_business", "country_code"]
 DEFAULTS = {"category": "", "subcategory": "", "is_business": 0, "country_code": ""}
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+# Bytes of values; as a hash table in each executor they take several times as many.
+BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_DOMAINS = 1000
 
 

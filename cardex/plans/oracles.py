@@ -233,6 +233,10 @@ ORACLES = {
     "archive_listing": f"""
         SELECT 0 AS listing, count(*) AS records FROM ({_ALL})
         UNION ALL SELECT 1, count(*) FROM pages""",
+    "archive_report": f"""
+        SELECT count(*) AS responses, count(*) AS others, CAST(0 AS BIGINT) AS incomplete,
+               CAST(0 AS BIGINT) AS unreadable
+        FROM ({_ALL})""",
     "incremental_harvest": f"""{_contacts(_ALL)}
         SELECT url, warc_record_id, coalesce(email, '') AS email,
                coalesce(phone_number, '') AS phone_number, contact_type,

@@ -6,7 +6,7 @@ the query of the same name in ``plans.oracles``.
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardex.functions import extract_emails, extract_phones, register_functions
@@ -221,7 +221,7 @@ def categories(spark: SparkSession, folder: str) -> DataFrame:
     nation = table(spark, folder, "nation")
     return (
         table(spark, folder, "supplier")
-        .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.concat(
                 F.lit("mail"), (F.col("s_nationkey") * 2), F.lit(".example.com")
@@ -289,22 +289,34 @@ def parquet_snapshot_roundtrip(spark, folder):
 def write_archives(records: DataFrame, segment: str) -> None:
     """Records as gzip archives of one segment, for the queries that read archives.
 
-    The text writer ends each line with the given separator, here the record trailer.
+    Each response follows its request, as in real archives.  The text writer ends each
+    line with the given separator, here the record trailer.
     """
+    trailer = "\r\n\r\n"
+
+    def record(kind: str, payload: Column) -> Column:
+        return F.concat(
+            F.lit(f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: "),
+            F.col("url"),
+            F.lit("\r\nWARC-Record-ID: "),
+            F.col("warc_record_id"),
+            F.lit("\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nContent-Length: "),
+            F.octet_length(payload),
+            F.lit("\r\n\r\n"),
+            payload,
+        )
+
+    request = F.lit("GET / HTTP/1.1\r\nFrom: crawler@example.org\r\n\r\n")
     http = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n")
-    payload = F.concat(http, F.coalesce("content", F.lit("")))
-    head = F.concat(
-        F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "),
-        F.col("url"),
-        F.lit("\r\nWARC-Record-ID: "),
-        F.col("warc_record_id"),
-        F.lit("\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nContent-Length: "),
-        F.octet_length(payload),
-        F.lit("\r\n\r\n"),
+    response = F.concat(http, F.coalesce("content", F.lit("")))
+    pair = F.concat(record("request", request), F.lit(trailer), record("response", response))
+    (
+        records.select(pair.alias("value"))
+        .write.option("lineSep", trailer)
+        .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
+        .text(segment)
     )
-    records.select(F.concat(head, payload).alias("value")).write.option(
-        "lineSep", "\r\n\r\n"
-    ).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(segment)
 
 
 def segment(root: str, number: int) -> str:
@@ -340,6 +352,21 @@ def archive_listing(spark, folder):
     return both.groupBy("listing").agg(F.count(F.lit(1)).alias("records"))
 
 
+def archive_report(spark, folder):
+    """Totals over all archives; responses and requests in equal number."""
+    root = scratch_dir(spark, "archives")
+    write_archives(pages(spark, folder), segment(root, 0))
+    write_archives(documents(spark, folder), segment(root, 1))
+    report = archives.archive_report(
+        spark,
+        archives.list_archives(spark, root, CRAWL, suffix=WRITTEN_SUFFIX),
+        archives.archive_glob(root, CRAWL),
+        suffix=WRITTEN_SUFFIX,
+    )
+    columns = ["responses", "others", "incomplete", "unreadable"]
+    return report.agg(*(F.sum(c).alias(c) for c in columns))
+
+
 def _harvest_twice(spark: SparkSession, folder: str) -> tuple[str, str]:
     """Two runs on one checkpoint: pages, then also documents; then one with nothing new."""
     root = scratch_dir(spark, "archives")
@@ -471,6 +498,7 @@ QUERIES = {
         parquet_snapshot_roundtrip,
         archive_records,
         archive_listing,
+        archive_report,
         incremental_harvest,
         incremental_domain_stats,
         job_run_costs,
