@@ -19,6 +19,15 @@ RECORDS = StructType(
     _strings("url", "warc_filename", "warc_record_id", "content", "timestamp")
 )
 
+# One archive file.
+LISTING = StructType(
+    [
+        StructField("path", StringType()),
+        StructField("length", LongType()),
+        StructField("modificationTime", TimestampType()),
+    ]
+)
+
 # D3: one contact; email xor phone_number.
 CONTACTS = StructType(
     _strings(

@@ -14,9 +14,11 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardex.schemas import LISTING
 from cardex.sources.http_encodings import undo_encodings
 
 ARCHIVE_SUFFIX = ".warc.gz"
@@ -44,14 +46,16 @@ def list_archives(
     """``path, length, modificationTime`` of a crawl's archives.
 
     File contents are not read.  ``limit`` takes the first files by path; None or 0
-    means all.
+    means all.  An unknown crawl has none.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(archive_glob(root, crawl_id))
-        .select("path", "length", "modificationTime")
-    )
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
+    try:
+        files = reader.load(archive_glob(root, crawl_id))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LISTING)
+    files = files.select(LISTING.names)
     return files.orderBy("path").limit(limit) if limit else files
 
 

@@ -145,6 +145,12 @@ def test_listing(spark, crawl):
     assert sorted(listed(spark, crawl, 3)) == every[:3]
 
 
+def test_unknown_crawl_has_no_archives(spark, crawl):
+    files = archives.list_archives(spark, str(crawl), "UNKNOWN", 3)
+    assert files.schema.names == ["path", "length", "modificationTime"]
+    assert files.isEmpty()
+
+
 def test_listing_reads_no_content(spark, crawl):
     files = archives.list_archives(spark, str(crawl), "CRAWL")
     plan = files._jdf.queryExecution().executedPlan().toString()

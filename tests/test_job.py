@@ -48,6 +48,7 @@ def test_no_archives(spark, tmp_path):
     write(tmp_path, "1", "a.txt", b"x")
     output = tmp_path / "out"
     assert run_job(spark, str(tmp_path), "CRAWL", str(output)) is None
+    assert run_job(spark, str(tmp_path), "UNKNOWN", str(output)) is None
     assert not output.exists()
 
 
