@@ -16,20 +16,27 @@ def _raw(pattern: str) -> str:
     return f"r'{pattern}'"
 
 
-def _around_at_signs(text: str) -> str:
-    """``text`` cut down to the characters around each "@" that can decide a match.
+PLUS = r"\+"
+_NONE = "cast(array() as array<string>)"
 
-    A match and its boundaries only reach over unbroken runs of address characters next
-    to an "@".  If the first (last) characters of a piece between two "@" contain a
-    character that breaks the run, the rest of the piece cannot matter.
+
+def _around_at_signs(pieces: str) -> str:
+    """Text cut down to the characters around each "@" that can decide a match.
+
+    ``pieces`` is the text split at "@".  A match and its boundaries reach over the
+    unbroken runs of address characters on both sides of an "@" and one character
+    beyond.  Of a piece between two "@" only these are kept, or all of it if a run is
+    too long or its end is not certain (the last bytes may start within a character).
     """
-    n = P.EMAIL_CONTEXT
+    n = P.EMAIL_REACH
+    last = f"cast(substring(cast(piece as binary), -{n}, {n}) as string)"
+    before = f"regexp_extract(reverse({last}), {_raw(P.REVERSED_RUN_BEFORE_AT)}, 0)"
+    after = f"regexp_extract(left(piece, {n}), {_raw(P.RUN_AFTER_AT)}, 0)"
+    kept = f"named_struct('after', {after}, 'before', reverse({before}))"
     return (
-        f"array_join(transform(split({text}, '@'), piece -> if("
-        f"length(piece) <= {2 * n}"
-        f" or not rlike(left(piece, {n}), {_raw(f'[^{P.DOMAIN_OR_TLD}]')})"
-        f" or not rlike(right(piece, {n}), {_raw(f'[^{P.LOCAL}]')}),"
-        f" piece, concat(left(piece, {n}), ' ', right(piece, {n})))), '@')"
+        f"array_join(transform({pieces}, piece -> if(octet_length(piece) <= {2 * n}, piece,"
+        f" transform(array({kept}), kept -> if(kept.after = '' or kept.before = '',"
+        f" piece, concat(kept.after, kept.before)))[0])), '@')"
     )
 
 
@@ -37,25 +44,25 @@ def emails_sql(text: str) -> str:
     """SQL expression: sorted distinct lower-case e-mail addresses in ``text``."""
     rejects = [f"endswith(lower(e), '{x}')" for x in P.REJECTED_EMAIL_ENDINGS]
     rejects += [f"contains(e, '{x}')" for x in P.REJECTED_EMAIL_PARTS]
-    found = f"regexp_extract_all({_around_at_signs(text)}, {_raw(P.EMAIL)}, 1)"
+    found = f"regexp_extract_all({_around_at_signs('pieces')}, {_raw(P.EMAIL)}, 1)"
     return (
-        f"if(contains({text}, '@'),"
-        f" sort_array(array_distinct(transform("
-        f"filter({found}, e -> not ({' or '.join(rejects)})), e -> lower(e)))),"
-        f" cast(array() as array<string>))"
+        f"transform(array(split(coalesce({text}, ''), '@')), pieces ->"
+        f" if(size(pieces) = 1, {_NONE}, sort_array(array_distinct(transform("
+        f"filter({found}, e -> not ({' or '.join(rejects)})), e -> lower(e))))))[0]"
     )
 
 
 def phones_sql(text: str) -> str:
     """SQL expression: sorted distinct normalised phone numbers in ``text``."""
+    text = f"coalesce({text}, '')"
     international = (
-        f"if(contains({text}, '+'),"
-        f" regexp_extract_all({text}, {_raw(P.INTERNATIONAL)}, 0),"
-        f" cast(array() as array<string>))"
+        f"transform(filter(transform(slice(split({text}, {_raw(PLUS)}), 2, {2**30}),"
+        f" rest -> regexp_extract(left(rest, {P.INTERNATIONAL_REACH}),"
+        f" {_raw(P.INTERNATIONAL)}, 0)), m -> m != ''), m -> concat('+', m))"
     )
-    runs = f"array_join(regexp_extract_all(coalesce({text}, ''), {_raw(P.DIGIT_RUN)}, 0), '|')"
+    runs = f"array_join(regexp_extract_all({text}, {_raw(P.DIGIT_RUN)}, 0), '|')"
     scans = ", ".join(f"regexp_extract_all(runs, {_raw(p)}, 0)" for p in P.NATIONAL)
-    national = f"flatten(transform(array({runs}), runs -> concat({scans})))"
+    national = f"transform(array({runs}), runs -> concat({scans}))[0]"
     return (
         f"sort_array(array_distinct(filter("
         f"transform(concat({international}, {national}),"

@@ -36,7 +36,11 @@ def java_pattern(pattern: str) -> str:
     return "(?U)" + pattern.replace(r"[-.\s]", SEPARATOR).replace(r"\s?", SPACE + "?")
 
 
-INTERNATIONAL, *NATIONAL = (java_pattern(p) for p in PHONE_PATTERNS)
+# The international pattern is tried right after each "+" and reaches no further than
+# this; the other three search.
+INTERNATIONAL = java_pattern("^" + PHONE_PATTERNS[0].removeprefix(r"\+"))
+INTERNATIONAL_REACH = 26
+NATIONAL = [java_pattern(pattern) for pattern in PHONE_PATTERNS[1:]]
 DROPPED_CHARS = "(?U)" + PHONE_DROPPED_CHARS
 
 # A match of any NATIONAL pattern, less its optional opening bracket (which the
@@ -46,6 +50,7 @@ DIGIT_RUN = r"(?U)\d[\d)\-.\s\x1c-\x1f]{9,}+"
 
 LOCAL = "A-Za-z0-9._%+-"
 DOMAIN_OR_TLD = "A-Za-z0-9.|-"
+CUT_CHAR = r"\x{FFFD}"
 # Python's \w.  Java's own \b would count combining marks and joiners as word
 # characters and superscript digits as none, and changed meaning in JDK 19.
 WORD = r"\p{L}\p{N}_"
@@ -66,5 +71,8 @@ EMAIL = (
     rf"[{LOCAL}]*?{_START}([{LOCAL}]++{_TAIL})"
 )
 
-# Characters kept on each side of an "@" before EMAIL runs; longer runs are kept whole.
-EMAIL_CONTEXT = 64
+# Bytes looked at on each side of an "@" for the end of the run of address characters
+# there; where a run is longer, the text is kept whole.
+EMAIL_REACH = 64
+RUN_AFTER_AT = rf"^[{DOMAIN_OR_TLD}]*+[^{DOMAIN_OR_TLD}]"
+REVERSED_RUN_BEFORE_AT = rf"^[{LOCAL}]*+[^{LOCAL}{CUT_CHAR}]"

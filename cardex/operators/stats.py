@@ -77,34 +77,15 @@ def contact_type_counts(contacts: DataFrame) -> DataFrame:
 def run_metrics(contacts: DataFrame) -> DataFrame:
     """M1: one row of totals and exact distinct counts for a run's contacts.
 
-    Every contact becomes two facts, its URL and its address or number.  Grouping the
-    facts by value (partially before the shuffle) replaces four separate distinct
-    expansions of all columns.
+    The first shuffle is by value, after a partial aggregation, so frequent values cost
+    nothing; one partial row per partition goes into the last.
     """
-    facts = contacts.select(
-        F.expr(
-            "inline(array("
-            " named_struct('fact', 'url', 'value', url, 'domain', cast(null as string)),"
-            " named_struct('fact', contact_type, 'value',"
-            "              coalesce(email, phone_number), 'domain', domain)))"
-        )
-    )
-    values = facts.groupBy("fact", "value", "domain").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-
-    def total(fact: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("fact") == fact, F.col("rows"))), F.lit(0))
-
-    def distinct(fact: str) -> Column:
-        return F.count_if((F.col("fact") == fact) & F.col("value").isNotNull())
-
-    return values.agg(
-        total("url").alias("contact_count"),
-        total("email").alias("email_count"),
-        total("phone").alias("phone_count"),
-        distinct("url").alias("unique_urls"),
-        F.count_distinct("domain").alias("unique_domains"),
-        distinct("email").alias("unique_emails"),
-        distinct("phone").alias("unique_phones"),
+    distinct = {
+        "unique_urls": "url",
+        "unique_domains": "domain",
+        "unique_emails": "email",
+        "unique_phones": "phone_number",
+    }
+    return contacts.agg(
+        *_counters(), *(F.count_distinct(c).alias(name) for name, c in distinct.items())
     )

@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from cardex.functions import patterns as P
 from cardex.operators import contacts as C
 from cardex.operators.enrich import enrich
 from cardex.schemas import CONTACTS, ENRICHED_CONTACTS, RECORDS
@@ -100,20 +101,22 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+PHONE_PATTERNS = [P.DIGIT_RUN, P.INTERNATIONAL, *P.NATIONAL]
+
+
 @pytest.mark.parametrize(
-    "operator, extractions",
+    "operator, patterns",
     [
-        (C.contacts, 5),
-        (C.records_with_contacts, 5),
-        (C.email_contacts, 1),
-        (C.phone_contacts, 4),
+        (C.contacts, [P.EMAIL, *PHONE_PATTERNS]),
+        (C.records_with_contacts, [P.EMAIL, *PHONE_PATTERNS]),
+        (C.email_contacts, [P.EMAIL]),
+        (C.phone_contacts, PHONE_PATTERNS),
     ],
 )
-def test_each_pattern_runs_once_without_python(records, operator, extractions):
-    # four phone patterns; the national three share one more scan for digit runs
-    scans = extractions + (1 if extractions > 1 else 0)
+def test_each_pattern_runs_once_without_python(records, operator, patterns):
     text = plan(operator(records.repartition(2)))
-    assert text.count("regexp_extract_all(") == scans
+    for pattern in [P.EMAIL, *PHONE_PATTERNS]:
+        assert text.count(f" {pattern}, ") == (pattern in patterns)
     assert "Python" not in text
 
 
