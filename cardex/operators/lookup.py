@@ -1,8 +1,10 @@
 """Domain categories looked up for contacts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardex.schemas import DOMAIN_CATEGORIES
+
 ATTRIBUTES = ["category", "subcategory", "is_business", "country_code"]
 DEFAULTS = {"category": "", "subcategory": "", "is_business": 0, "country_code": ""}
 
@@ -11,6 +13,11 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_DOMAINS = 1000
 
 
+def read_categories(spark: SparkSession, path: str) -> DataFrame:
+    """The stored dimension as it is now; read it anew for each run."""
+    return spark.read.schema(DOMAIN_CATEGORIES).parquet(path)
+
+
 def one_row_per_domain(categories: DataFrame) -> DataFrame:
     """The dimension with unique keys: of duplicates, the greatest attributes win."""
     best = F.max(F.struct(*ATTRIBUTES)).alias("best")

@@ -22,7 +22,8 @@ def _summed_counters() -> list[Column]:
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """A1: ``df`` with its rows counted while some action runs; no job of its own.
 
-    Read ``observation.get["rows"]`` after that action.
+    Read ``observation.get["rows"]`` after that action.  Stages that Spark repeats after
+    losing an executor may count rows again: a figure for logs, not for results.
     """
     observation = Observation(name)
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation

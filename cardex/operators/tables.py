@@ -1,5 +1,6 @@
 """Stored contacts: K1 to K4 and the storage order O1."""
 
+import math
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cardex.schemas import CONTACTS_TABLE, TABLE_ORDER, TABLE_PARTITIONS
 
-ROWS_PER_FILE = 2_000_000
+ROWS_PER_FILE = 1_000_000
 
 
 def write_snapshot(
@@ -51,21 +52,22 @@ def append_contacts(
 
     Rows are ranged by the storage order and then by URL and record, so that neither
     the many rows without a domain nor one very frequent address end up in one task,
-    and every file covers a narrow range of domains for readers to skip by.  Spark
-    samples its input to find the ranges: give it stored contacts, not a lazy
-    extraction, or the extraction runs twice.
+    and every file covers a narrow range of domains for readers to skip by.  There are
+    as many ranges as it takes to hold ``batch_size`` rows each, unless ``partitions``
+    says otherwise.
+
+    Give it stored contacts: counting them takes only file footers, and the ranges are
+    found by sampling.  A lazy extraction would run for each of these again.
 
     Appending twice stores the rows twice.  With ``overwrite_run`` the rows replace
     those of the same month and crawl, so a retried run has no further effect.
     """
     keys = [*TABLE_PARTITIONS, *TABLE_ORDER, "url", "warc_record_id"]
-    rows = table_rows(contacts)
-    if partitions:
-        ranged = rows.repartitionByRange(partitions, *keys)
-    else:
-        ranged = rows.repartitionByRange(*keys)
+    ranges = partitions or max(1, math.ceil(contacts.count() / batch_size))
     writer = (
-        ranged.sortWithinPartitions(*keys)
+        table_rows(contacts)
+        .repartitionByRange(ranges, *keys)
+        .sortWithinPartitions(*keys)
         .write.partitionBy(*TABLE_PARTITIONS)
         .option("maxRecordsPerFile", batch_size)
     )
@@ -82,7 +84,14 @@ def read_contacts(spark: SparkSession, table_path: str) -> DataFrame:
 
 
 def create_contacts_table(spark: SparkSession, table: str, table_path: str) -> None:
-    """K2: the catalog entry, if not there yet, over what the path holds."""
+    """K2: the catalog entry, if not there yet, over what the path holds.
+
+    ``table`` may name its database, which is created too.  Call it again after loads to
+    make new partitions known.
+    """
+    database, _, _ = table.rpartition(".")
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CONTACTS_TABLE)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"

@@ -30,10 +30,14 @@ def run_job(
     limit_files: int | None = None,
     partition_count: int | None = None,
     run_time: datetime | None = None,
+    overwrite_run: bool = False,
     suffix: str = ARCHIVE_SUFFIX,
 ) -> dict | None:
     """Harvest a crawl; None if it has no archives.
 
+    Contacts are appended to the table, or with ``overwrite_run`` replace what it holds
+    of the same month and crawl.
+
     The archives are read once, for the snapshot.  The table is loaded from the
     snapshot, which also takes the place of a cache: losing executors costs no second
     extraction.
@@ -54,9 +58,8 @@ def run_job(
         enrich(found, run_time, crawl_id), output_path, run_time, partition_count
     )
     if table_path:
-        append_contacts(
-            spark.read.parquet(snapshot), table_path, overwrite_run=True
-        )
+        stored = spark.read.parquet(snapshot)
+        append_contacts(stored, table_path, overwrite_run=overwrite_run)
     result = {
         "snapshot": snapshot,
         "records": records_seen.get["rows"],
@@ -76,6 +79,11 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--partition-count", type=int, help="output partitions; default: sized by Spark"
     )
+    parser.add_argument(
+        "--overwrite-run",
+        action="store_true",
+        help="replace the table's rows of this month and crawl instead of appending",
+    )
     return parser.parse_args(argv)
 
 

@@ -251,7 +251,11 @@ def contacts_with_category_shuffled(spark, folder):
 
 
 def category_counts(spark, folder):
-    joined = lookup.with_categories(enriched(spark, folder), categories(spark, folder))
+    """Contacts per category of a stored dimension."""
+    path = scratch_dir(spark, "categories")
+    categories(spark, folder).write.parquet(path)
+    dimension = lookup.read_categories(spark, path)
+    joined = lookup.with_categories(enriched(spark, folder), dimension)
     return joined.groupBy("category", "contact_type").count()
 
 

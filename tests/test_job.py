@@ -25,12 +25,19 @@ def test_job(spark, tmp_path):
         ("a@x.org", "", "x.org", "202401", "CRAWL"),
         ("", "5551234567", "", "202401", "CRAWL"),
     }
-    # the retried job writes another snapshot and replaces its rows in the table
-    again = run_job(
-        spark, str(tmp_path), "CRAWL", output, table, run_time=datetime(2024, 1, 1, 13)
-    )
-    assert again["contacts"] == 6
-    assert read_contacts(spark, table).count() == 6
+    # run again, the job appends, or replaces the rows of its month and crawl
+    for hour, overwrite_run, rows in ((13, False, 12), (14, True, 6)):
+        again = run_job(
+            spark,
+            str(tmp_path),
+            "CRAWL",
+            output,
+            table,
+            run_time=datetime(2024, 1, 1, hour),
+            overwrite_run=overwrite_run,
+        )
+        assert again["contacts"] == 6
+        assert read_contacts(spark, table).count() == rows
 
 
 def test_file_limit(spark, tmp_path):
@@ -62,6 +69,7 @@ def test_arguments():
         "table_path": None,
         "limit_files": None,
         "partition_count": None,
+        "overwrite_run": False,
     }
     args = parse_arguments([*required, *"--limit-files 5 --partition-count 7".split()])
     assert (args.limit_files, args.partition_count) == (5, 7)

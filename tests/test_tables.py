@@ -125,10 +125,10 @@ def test_catalog_table(spark, stored, tmp_path):
     path = str(tmp_path / "table")
     tables.append_contacts(stored[JANUARY, "A"], path)
     for _ in range(2):
-        tables.create_contacts_table(spark, "held_contacts", path)
-    assert spark.table("held_contacts").schema.names == CONTACTS_TABLE.names
-    assert spark.table("held_contacts").count() == stored[JANUARY, "A"].count()
+        tables.create_contacts_table(spark, "contact_data.held", path)
+    assert spark.table("contact_data.held").schema.names == CONTACTS_TABLE.names
+    assert spark.table("contact_data.held").count() == stored[JANUARY, "A"].count()
     tables.append_contacts(stored[FEBRUARY, "A"], path)
-    tables.create_contacts_table(spark, "held_contacts", path)
-    assert spark.table("held_contacts").count() == 2 * stored[JANUARY, "A"].count()
-    spark.sql("DROP TABLE held_contacts")
+    tables.create_contacts_table(spark, "contact_data.held", path)
+    assert spark.table("contact_data.held").count() == 2 * stored[JANUARY, "A"].count()
+    spark.sql("DROP TABLE contact_data.held")
