@@ -14,11 +14,13 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardex.schemas import LISTING
+from cardex.sources import http_encodings
 from cardex.sources.http_encodings import undo_encodings
 
 ARCHIVE_SUFFIX = ".warc.gz"
@@ -31,6 +33,14 @@ _ENCODED = (
 )
 _MAX = 2**31 - 1
 
+# Bytes of one record.  Spark holds no value of more than 2 GB.
+LONGEST_RECORD = 512 * 1024 * 1024
+# Bytes of repaired records per Arrow batch, as many as Spark puts into one.
+OUTPUT_BYTES = 64 * 1024 * 1024
+
+# Executors need not have this package installed for the repair.
+cloudpickle.register_pickle_by_value(http_encodings)
+
 
 def archive_glob(root: str, crawl_id: str) -> str:
     return f"{root.rstrip('/')}/crawl-data/{crawl_id}/segments/*/warc"
@@ -145,56 +155,49 @@ def repaired(located: DataFrame, version: str = WARC_VERSION) -> DataFrame:
     """Split records joined and HTTP encodings undone; all other lines as they are.
 
     Lines of a file arrive in file order within one task.  A line lacking part of its
-    payload takes in the following lines of its file until it is complete.
+    payload takes in the following lines of its file until it is complete.  A declared
+    length beyond ``LONGEST_RECORD`` is taken for an error and not waited for.
     """
     boundary = separator(version).encode()
 
     def repair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict | None = None
+        schema: pa.Schema | None = None
         for batch in batches:
+            schema = batch.schema
             flags = pc.or_(pc.greater(batch["missing"], 0), batch["encoded"])
             if held is None and not pc.any(flags).as_py():
                 yield batch
                 continue
-            done = []
+            done, size = [], 0
             for row in batch.to_pylist():
                 if held is not None and row["file_path"] == held["file_path"]:
                     held["parts"].append(row["raw"])
                     held["missing"] -= len(boundary) + len(row["raw"])
                 else:
                     if held is not None:
-                        done.append(held)
+                        done.append(whole(held))
                     held = {**row, "parts": [row["raw"]]}
-                if held["missing"] <= 0:
-                    done.append(held)
+                if held["missing"] <= 0 or held["length"] > LONGEST_RECORD:
+                    done.append(whole(held))
                     held = None
+                    size += len(done[-1]["raw"])
+                if size > OUTPUT_BYTES:
+                    yield pa.RecordBatch.from_pylist(done, schema)
+                    done, size = [], 0
             if done:
-                yield pack(done, batch.schema)
+                yield pa.RecordBatch.from_pylist(done, schema)
         if held is not None:
-            yield pack([held], schema)
-
-    def pack(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([whole(row) for row in rows], schema)
+            yield pa.RecordBatch.from_pylist([whole(held)], schema)
 
     def whole(row: dict) -> dict:
         raw, start, length = boundary.join(row["parts"]), row["start"], row["length"]
         if row["encoded"]:
-            payload = undo_encodings(raw[start : start + length])
+            payload = undo_encodings(raw[start : start + length], LONGEST_RECORD)
             raw, length = raw[:start] + payload, len(payload)
         missing = max(row["missing"], 0)
         return {**row, "raw": raw, "length": length, "missing": missing}
 
-    schema = pa.schema(
-        {
-            "file_path": pa.string(),
-            "file_name": pa.string(),
-            "raw": pa.binary(),
-            "start": pa.int32(),
-            "length": pa.int64(),
-            "missing": pa.int64(),
-            "encoded": pa.bool_(),
-        }
-    )
     return located.mapInArrow(repair, located.schema)
 
 

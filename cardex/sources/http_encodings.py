@@ -11,11 +11,11 @@ _WINDOWS = {
 }
 
 
-def undo_encodings(message: bytes) -> bytes:
+def undo_encodings(message: bytes, limit: int) -> bytes:
     """An HTTP message with its body dechunked and decompressed.
 
-    A body that is not in the encoding its header names is left as it is; one that
-    breaks off keeps what could be decoded.
+    A body that is not in the encoding its header names, or would be longer than
+    ``limit``, is left as it is; one that breaks off keeps what could be decoded.
     """
     end = re.search(rb"\r?\n\r?\n", message)
     if end is None:
@@ -28,7 +28,7 @@ def undo_encodings(message: bytes) -> bytes:
     if headers.get("transfer-encoding") == "chunked":
         body = _dechunked(body)
     for window in _WINDOWS.get(headers.get("content-encoding"), []):
-        decoded = _inflated(body, window)
+        decoded = _inflated(body, window, limit)
         if decoded is not None:
             return head + decoded
     return head + body
@@ -46,15 +46,18 @@ def _dechunked(body: bytes) -> bytes:
     return b"".join(chunks) if chunks or size else body
 
 
-def _inflated(body: bytes, window: int) -> bytes | None:
+def _inflated(body: bytes, window: int, limit: int) -> bytes | None:
     """All gzip members or the one deflate stream; None if not even its start is."""
-    decoded = []
+    decoded, size = [], 0
     while body:
         stream = zlib.decompressobj(window)
         try:
             # in pieces, so that what precedes damage is kept
             for start in range(0, len(body), 16384):
                 decoded.append(stream.decompress(body[start : start + 16384]))
+                size += len(decoded[-1])
+                if size > limit:
+                    return None
                 if stream.eof:
                     body = stream.unused_data + body[start + 16384 :]
                     break

@@ -1,6 +1,9 @@
 import gzip
 import os
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import pytest
 
@@ -96,6 +99,48 @@ def test_rejoining_across_batches(spark, tmp_path):
     assert found["r3"].content == "plain"
 
 
+def test_an_absurd_length_does_not_swallow_the_file(spark, tmp_path, monkeypatch):
+    lie = gzip.decompress(record(b"a", "lie")).replace(b"Length: 45", b"Length: 99999")
+    assert b"99999" in lie
+    path = write(tmp_path, "1", "a.warc.gz", gzip.compress(lie), record(b"b", "next"))
+    # taken at its word, the record extends over all that follows
+    found = read(spark, path)
+    assert set(found) == {"lie"}
+    assert found["lie"].content.endswith("\r\n\r\nb\r\n\r\n")
+    monkeypatch.setattr(archives, "LONGEST_RECORD", 50_000)
+    found = read(spark, path)
+    assert set(found) == {"lie", "next"}
+    assert found["next"].content == "b"
+
+
+def test_a_body_inflating_beyond_the_limit_stays_as_stored(spark, tmp_path, monkeypatch):
+    head = http("Content-Encoding: deflate")
+    bomb = zlib.compress(b"0" * 1_000_000)
+    path = write(
+        tmp_path, "1", "a.warc.gz", *(record(bomb, str(i), http=head) for i in range(4))
+    )
+    monkeypatch.setattr(archives, "OUTPUT_BYTES", 1_500_000)
+    assert {len(row.content) for row in read(spark, path).values()} == {1_000_000}
+    monkeypatch.setattr(archives, "LONGEST_RECORD", 900_000)
+    stored = bomb.decode("utf-8", "ignore")
+    assert {row.content for row in read(spark, path).values()} == {stored}
+
+
+def test_executors_need_not_have_the_package(tmp_path):
+    path = write(tmp_path, "1", "a.warc.gz", record(gzip.compress(b"x"), "1", http=http("Content-Encoding: gzip")))
+    code = (
+        f"import sys; sys.path.insert(0, {str(Path(archives.__file__).parents[2])!r})\n"
+        "from cardex.session import build_session\n"
+        "from cardex.sources.archives import read_archives\n"
+        f"print(read_archives(build_session(), {path!r}).first().content)"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd="/", env=environment, capture_output=True, text=True
+    )
+    assert done.stdout.strip().endswith("x"), done.stderr[-2000:]
+
+
 def test_without_rejoining_no_python_runs(spark, tmp_path):
     path = write(tmp_path, "1", "a.warc.gz", record(b"x", "1"), record(b"y", "2"))
     df = archives.read_archives(spark, path, repair=False)
