@@ -30,12 +30,17 @@ def stream_archives(
     spark: SparkSession,
     root: str,
     crawl_id: str,
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_batch: int | None = None,
     version: str = WARC_VERSION,
     suffix: str = ARCHIVE_SUFFIX,
     repair: bool = True,
 ) -> DataFrame:
-    """Records (D1) of the archives a checkpoint has not seen yet."""
+    """Records (D1) of the archives a checkpoint has not seen yet.
+
+    A file is a task, so by default a batch has enough files for every core.
+    """
+    if files_per_batch is None:
+        files_per_batch = max(FILES_PER_BATCH, 4 * spark.sparkContext.defaultParallelism)
     lines = (
         spark.readStream.format("text")
         .option("lineSep", separator(version))
