@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from cardex.schemas import CONTACTS_TABLE, TABLE_ORDER, TABLE_PARTITIONS
 
 ROWS_PER_FILE = 1_000_000
+# Ranges come out unequal; and a shuffle into far more of them would consist of tiny
+# blocks, so beyond this number a task writes several files instead.
+SLACK = 1.25
+MOST_RANGES = 8192
 
 
 def write_snapshot(
@@ -52,9 +56,9 @@ def append_contacts(
 
     Rows are ranged by the storage order and then by URL and record, so that neither
     the many rows without a domain nor one very frequent address end up in one task,
-    and every file covers a narrow range of domains for readers to skip by.  There are
-    as many ranges as it takes to hold ``batch_size`` rows each, unless ``partitions``
-    says otherwise.
+    and every file covers a narrow range of domains for readers to skip by.  The number
+    of ranges follows from the rows and ``batch_size``, the most rows of a file, unless
+    ``partitions`` gives it.
 
     Give it stored contacts: counting them takes only file footers, and the ranges are
     found by sampling.  A lazy extraction would run for each of these again.
@@ -63,7 +67,10 @@ def append_contacts(
     those of the same month and crawl, so a retried run has no further effect.
     """
     keys = [*TABLE_PARTITIONS, *TABLE_ORDER, "url", "warc_record_id"]
-    ranges = partitions or max(1, math.ceil(contacts.count() / batch_size))
+    ranges = partitions
+    if ranges is None:
+        files = math.ceil(SLACK * contacts.count() / batch_size)
+        ranges = min(max(files, 1), MOST_RANGES)
     writer = (
         table_rows(contacts)
         .repartitionByRange(ranges, *keys)
