@@ -1,12 +1,14 @@
 """Every registered query against DuckDB on the same tables."""
 
+import os
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from conftest import TESTDATA
 
-FOLDER = TESTDATA / "sf0.01"
+FOLDER = TESTDATA / os.environ.get("TEST_SF", "sf0.01")
 
 SPARK_TYPES = {
     "bigint": "BIGINT",
