@@ -5,7 +5,7 @@ archive streams through its task without being held whole; one gzip file is one
 Header and body work is done by built-in expressions.
 
 Two things need more than one line or a codec, and ``repaired`` sees to them for the
-rare lines concerned: a body that itself contains the boundary line (the record then
+rare lines concerned: a body that itself contains a boundary (the record then
 comes up short of its ``Content-Length`` and is put together again from the lines that
 follow in the same task), and bodies stored with HTTP transfer or content encodings.
 """
@@ -24,7 +24,9 @@ from cardex.sources import http_encodings
 from cardex.sources.http_encodings import undo_encodings
 
 ARCHIVE_SUFFIX = ".warc.gz"
-WARC_VERSION = "1.0"
+# How every record but a file's first begins, whatever its version; it contains no
+# beginning of itself, which the line reader could miss between two buffers.
+BOUNDARY = "\r\nWARC/"
 
 _END_OF_HEADERS = "\r\n\r\n"
 _ENCODED = (
@@ -69,14 +71,9 @@ def list_archives(
     return files.orderBy("path").limit(limit) if limit else files
 
 
-def separator(version: str = WARC_VERSION) -> str:
-    return f"\r\nWARC/{version}\r\n"
-
-
 def read_archives(
     spark: SparkSession,
     paths: str | list[str],
-    version: str = WARC_VERSION,
     suffix: str = ARCHIVE_SUFFIX,
     repair: bool = True,
     skip_bad_files: bool = True,
@@ -88,33 +85,30 @@ def read_archives(
     error; without it the task fails and is retried, elsewhere if need be.
 
     ``repair=False`` saves the Python hop of ``repaired`` where bodies are known to be
-    stored plainly and not to contain the boundary line.
+    stored plainly and not to contain a boundary.
     """
-    lines = read_lines(spark, paths, version, suffix, skip_bad_files)
-    return records_from_lines(lines, version, repair)
+    lines = read_lines(spark, paths, suffix, skip_bad_files)
+    return records_from_lines(lines, repair)
 
 
 def read_lines(
     spark: SparkSession,
     paths: str | list[str],
-    version: str = WARC_VERSION,
     suffix: str = ARCHIVE_SUFFIX,
     skip_bad_files: bool = True,
 ) -> DataFrame:
     return (
-        spark.read.option("lineSep", separator(version))
+        spark.read.option("lineSep", BOUNDARY)
         .option("pathGlobFilter", f"*{suffix}")
         .option("ignoreCorruptFiles", str(skip_bad_files).lower())
         .text(paths)
     )
 
 
-def records_from_lines(
-    lines: DataFrame, version: str = WARC_VERSION, repair: bool = True
-) -> DataFrame:
+def records_from_lines(lines: DataFrame, repair: bool = True) -> DataFrame:
     """Response records from a batch or streaming text scan split at the boundary."""
     located = payload_bounds(lines)
-    return parse_records(repaired(located, version) if repair else located)
+    return parse_records(repaired(located) if repair else located)
 
 
 def _header(name: str) -> Column:
@@ -151,14 +145,14 @@ def payload_bounds(lines: DataFrame) -> DataFrame:
     )
 
 
-def repaired(located: DataFrame, version: str = WARC_VERSION) -> DataFrame:
+def repaired(located: DataFrame) -> DataFrame:
     """Split records joined and HTTP encodings undone; all other lines as they are.
 
     Lines of a file arrive in file order within one task.  A line lacking part of its
     payload takes in the following lines of its file until it is complete.  A declared
     length beyond ``LONGEST_RECORD`` is taken for an error and not waited for.
     """
-    boundary = separator(version).encode()
+    boundary = BOUNDARY.encode()
 
     def repair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict | None = None
@@ -281,14 +275,13 @@ def archive_report(
     spark: SparkSession,
     files: DataFrame,
     paths: str | list[str],
-    version: str = WARC_VERSION,
     suffix: str = ARCHIVE_SUFFIX,
 ) -> DataFrame:
     """What each listed file held: responses, other records, incomplete and unreadable.
 
     ``files`` is a listing; a file that could not be read at all counts zero.
     """
-    lines = repaired(payload_bounds(read_lines(spark, paths, version, suffix)), version)
+    lines = repaired(payload_bounds(read_lines(spark, paths, suffix)))
     kind = _header("WARC-Type")
     counts = (
         lines.withColumn("headers", _headers())

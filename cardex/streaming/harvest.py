@@ -17,10 +17,9 @@ from cardex.operators.tables import ROWS_PER_FILE, table_rows
 from cardex.schemas import CONTACTS_TABLE, TABLE_ORDER, TABLE_PARTITIONS, URL_STATS
 from cardex.sources.archives import (
     ARCHIVE_SUFFIX,
-    WARC_VERSION,
+    BOUNDARY,
     archive_glob,
     records_from_lines,
-    separator,
 )
 
 FILES_PER_BATCH = 100
@@ -31,7 +30,6 @@ def stream_archives(
     root: str,
     crawl_id: str,
     files_per_batch: int | None = None,
-    version: str = WARC_VERSION,
     suffix: str = ARCHIVE_SUFFIX,
     repair: bool = True,
 ) -> DataFrame:
@@ -43,7 +41,7 @@ def stream_archives(
         files_per_batch = max(FILES_PER_BATCH, 4 * spark.sparkContext.defaultParallelism)
     lines = (
         spark.readStream.format("text")
-        .option("lineSep", separator(version))
+        .option("lineSep", BOUNDARY)
         .option("pathGlobFilter", f"*{suffix}")
         .option("ignoreCorruptFiles", "true")
         .option("maxFilesPerTrigger", files_per_batch)
@@ -51,7 +49,7 @@ def stream_archives(
         .option("maxFileAge", "36500d")
         .load(archive_glob(root, crawl_id))
     )
-    return records_from_lines(lines, version, repair)
+    return records_from_lines(lines, repair)
 
 
 def _batch_folder(path: str, batch_id: int) -> str:

@@ -13,7 +13,7 @@ from cardex.sources import archives
 
 NESTED = (
     b"see:\r\nWARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: bogus\r\n"
-    b"Content-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\nx@nested.org\r\n"
+    b"Content-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\nx@nested.org\r\nWARC/\r\nWARC/"
 )
 
 
@@ -148,15 +148,26 @@ def test_without_rejoining_no_python_runs(spark, tmp_path):
     assert {r.content for r in df.collect()} == {"x", "y"}
 
 
-def test_other_version(spark, tmp_path):
+def test_versions(spark, tmp_path):
     path = write(
         tmp_path,
         "1",
         "a.warc.gz",
-        *(record(b"x%d" % i, str(i), version="1.1") for i in range(3)),
+        *(record(b"x%d" % i, str(i), version=f"1.{i % 2}") for i in range(4)),
     )
-    found = read(spark, path, version="1.1")
-    assert {row.content for row in found.values()} == {"x0", "x1", "x2"}
+    assert {row.content for row in read(spark, path).values()} == {"x0", "x1", "x2", "x3"}
+
+
+def test_boundaries_at_any_place_of_a_read_buffer(spark, tmp_path):
+    # trailers, empty lines and boundaries move across the 64 kB buffers of the reader
+    bodies = {str(i): b"x" * (65536 - 2000 + i) + b"\r\n\r\n\r\n" for i in range(120)}
+    path = write(
+        tmp_path, "1", "a.warc.gz", *(record(b, rid) for rid, b in bodies.items())
+    )
+    found = read(spark, path, repair=False)
+    assert {rid: row.content for rid, row in found.items()} == {
+        rid: body.decode() for rid, body in bodies.items()
+    }
 
 
 def test_bad_files_are_skipped(spark, tmp_path):
