@@ -5,10 +5,11 @@ import logging
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cardex.operators.contacts import contacts
 from cardex.operators.enrich import enrich
-from cardex.operators.stats import counted
+from cardex.operators.stats import counted, run_metrics
 from cardex.operators.tables import append_contacts, write_snapshot
 from cardex.session import build_session
 from cardex.sources.archives import (
@@ -31,12 +32,14 @@ def run_job(
     partition_count: int | None = None,
     run_time: datetime | None = None,
     overwrite_run: bool = False,
+    metrics_path: str | None = None,
     suffix: str = ARCHIVE_SUFFIX,
 ) -> dict | None:
     """Harvest a crawl; None if it has no archives.
 
     Contacts are appended to the table, or with ``overwrite_run`` replace what it holds
-    of the same month and crawl.
+    of the same month and crawl.  With ``metrics_path`` a JSON row of exact run metrics
+    is added there.
 
     The archives are read once, for the snapshot.  The table is loaded from the
     snapshot, which also takes the place of a cache: losing executors costs no second
@@ -57,9 +60,18 @@ def run_job(
     snapshot = write_snapshot(
         enrich(found, run_time, crawl_id), output_path, run_time, partition_count
     )
+    stored = spark.read.parquet(snapshot)
     if table_path:
-        stored = spark.read.parquet(snapshot)
         append_contacts(stored, table_path, overwrite_run=overwrite_run)
+    if metrics_path:
+        run = {
+            "application_id": spark.sparkContext.applicationId,
+            "crawl_id": crawl_id,
+            "output_path": snapshot,
+        }
+        run_metrics(stored).withColumns({k: F.lit(v) for k, v in run.items()}).write.mode(
+            "append"
+        ).json(metrics_path)
     result = {
         "snapshot": snapshot,
         "records": records_seen.get["rows"],
@@ -75,6 +87,7 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--crawl-id", required=True)
     parser.add_argument("--output-path", required=True)
     parser.add_argument("--table-path", help="also load the contacts table here")
+    parser.add_argument("--metrics-path", help="add a JSON row of run metrics here")
     parser.add_argument("--limit-files", type=int, help="first files only")
     parser.add_argument(
         "--partition-count", type=int, help="output partitions; default: sized by Spark"

@@ -45,10 +45,13 @@ def test_file_limit(spark, tmp_path):
         write(tmp_path, "1", f"{i}.warc.gz", record(b"a%d@x.org" % i, f"r{i}"))
     result = run_job(
         spark, str(tmp_path), "CRAWL", str(tmp_path / "out"), limit_files=2,
-        partition_count=2, run_time=NOON,
+        partition_count=2, run_time=NOON, metrics_path=str(tmp_path / "metrics"),
     )
     found = spark.read.parquet(result["snapshot"])
     assert {r.email for r in found.collect()} == {"a0@x.org", "a1@x.org"}
+    metrics = spark.read.json(str(tmp_path / "metrics")).first()
+    assert (metrics.contact_count, metrics.unique_emails, metrics.unique_domains) == (2, 2, 1)
+    assert (metrics.crawl_id, metrics.output_path) == ("CRAWL", result["snapshot"])
 
 
 def test_no_archives(spark, tmp_path):
@@ -70,6 +73,7 @@ def test_arguments():
         "limit_files": None,
         "partition_count": None,
         "overwrite_run": False,
+        "metrics_path": None,
     }
     args = parse_arguments([*required, *"--limit-files 5 --partition-count 7".split()])
     assert (args.limit_files, args.partition_count) == (5, 7)
