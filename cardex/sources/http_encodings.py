@@ -18,7 +18,7 @@ def undo_encodings(message: bytes, limit: int) -> bytes:
     ``limit``, is left as it is; one that breaks off keeps what could be decoded.
     """
     end = re.search(rb"\r?\n\r?\n", message)
-    if end is None:
+    if end is None or not message.startswith(b"HTTP/"):
         return message
     head, body = message[: end.end()], message[end.end() :]
     headers = {}

@@ -244,6 +244,7 @@ ENCODED = {
     "not chunked": (http("Transfer-Encoding: chunked"), b"plain", b"plain"),
     "empty": (http("Content-Encoding: gzip"), b"", b""),
     "other": (http("Content-Encoding: identity"), b"plain", b"plain"),
+    "no http": (b"Content-Encoding: gzip\r\n\r\n", b"x", b"Content-Encoding: gzip\r\n\r\nx"),
     "renamed": (http("X-Was-Content-Encoding: gzip"), b"plain", b"plain"),
     "in body": (http(), b"\r\nContent-Encoding: gzip\r\n", b"\r\nContent-Encoding: gzip\r\n"),
     "split": (
