@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cardex.llm.decontaminate import OP9_SQL, op9_decontaminate
 from cardex.llm.line_dedup import OP3_SQL, op3_line_dedup
 from cardex.llm.pii import op6_pii
 from cardex.llm.secrets import op1_secrets
@@ -10,7 +11,9 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op3_line_dedup": op3_line_dedup,
     "op6_pii": op6_pii,
+    "op9_decontaminate": op9_decontaminate,
 }
 ORACLES = {
     "op3_line_dedup": OP3_SQL,
+    "op9_decontaminate": OP9_SQL,
 }
