@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cardex.llm.decontaminate import OP9_SQL, op9_decontaminate
 from cardex.llm.line_dedup import OP3_SQL, op3_line_dedup
+from cardex.llm.ngram_join import OP10_SQL, op10_ngram_join
 from cardex.llm.pii import op6_pii
 from cardex.llm.secrets import op1_secrets
 
@@ -12,8 +13,10 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op6_pii": op6_pii,
     "op9_decontaminate": op9_decontaminate,
+    "op10_ngram_join": op10_ngram_join,
 }
 ORACLES = {
     "op3_line_dedup": OP3_SQL,
     "op9_decontaminate": OP9_SQL,
+    "op10_ngram_join": OP10_SQL,
 }
