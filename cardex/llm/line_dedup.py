@@ -3,6 +3,8 @@
 Lines are exploded and hashed, documents counted per hash, and the kept lines of each
 document joined again by position.  Only hashes and positions go through the shuffles
 of the counting; a document's text moves once, to meet the positions that it loses.
+The shared lines are stored: up to a size they are broadcast, beyond it both sides of
+the join are shuffled, so that Spark can split the rows of a very common line.
 """
 
 from __future__ import annotations
@@ -10,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardex.llm.common import KEY, ascii_lower, row_key, stripped
+from cardex.llm.common import KEY, ascii_lower, row_key, store, stripped
 
 MIN_CHARS = 1
 MIN_DOCUMENTS = 10
+# Rows of 16 bytes that may be broadcast; more of them join by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def lines_sql(text: str) -> str:
@@ -64,7 +68,13 @@ def line_dedup(
     a document that loses all lines has the text ''.  Repeated rows count as documents
     of their own and each get their row; an id may be NULL.  Other columns are ignored.
     """
-    shared = shared_lines(documents, text_col, min_documents, min_chars)
+    shared = store(
+        documents.sparkSession,
+        shared_lines(documents, text_col, min_documents, min_chars).select("_hash", "_check"),
+        "shared-lines",
+    )
+    if shared.count() <= BROADCAST_ROWS:
+        shared = F.broadcast(shared)
     own = documents.select(
         F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")
     ).withColumn(KEY, row_key("_id", "_text"))
@@ -75,7 +85,7 @@ def line_dedup(
         .select(KEY, "_pos", *_hashed("_line"))
     )
     lost = (
-        places.join(shared.select("_hash", "_check"), ["_hash", "_check"], "left_semi")
+        places.join(shared, ["_hash", "_check"], "left_semi")
         .groupBy(KEY)
         .agg(F.collect_set("_pos").alias("_lost"))
         .withColumnRenamed(KEY, "_lost_key")

@@ -6,11 +6,13 @@ from cardex.llm.decontaminate import OP9_SQL, op9_decontaminate
 from cardex.llm.line_dedup import OP3_SQL, op3_line_dedup
 from cardex.llm.ngram_join import OP10_SQL, op10_ngram_join
 from cardex.llm.pii import op6_pii
+from cardex.llm.quality import op4_quality
 from cardex.llm.secrets import op1_secrets
 
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op3_line_dedup": op3_line_dedup,
+    "op4_quality": op4_quality,
     "op6_pii": op6_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_ngram_join": op10_ngram_join,
