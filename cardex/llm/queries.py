@@ -8,6 +8,7 @@ from cardex.llm.ngram_join import OP10_SQL, op10_ngram_join
 from cardex.llm.pii import op6_pii
 from cardex.llm.quality import op4_quality
 from cardex.llm.secrets import op1_secrets
+from cardex.llm.tokens import op8_tokens
 from cardex.llm.toxicity import op5_toxicity
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_pii": op6_pii,
+    "op8_tokens": op8_tokens,
     "op9_decontaminate": op9_decontaminate,
     "op10_ngram_join": op10_ngram_join,
 }
