@@ -23,6 +23,8 @@ WINDOW = 10
 SHINGLE = 5
 # Bytes of windows and shingles that one pass over the documents may broadcast.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Keys of documents that may be broadcast; more of them join by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def _words(text: str) -> str:
@@ -201,6 +203,25 @@ def contamination(
     )
 
 
+def clean_documents(
+    documents: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+) -> DataFrame:
+    """The documents that hold no window of an item, with all their columns."""
+    own = documents.withColumn(KEY, row_key(id_col, text_col))
+    windows = item_windows(items, item_id_col, item_text_col, window)
+    found = occurrences(own, windows, text_col)
+    hit = store(documents.sparkSession, found.select(F.col(KEY).alias("_hit_key")).distinct(), "contaminated")
+    if hit.count() <= BROADCAST_ROWS:
+        hit = F.broadcast(hit)
+    return own.join(hit, F.col(KEY).eqNullSafe(F.col("_hit_key")), "left_anti").drop(KEY)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's digest of ``contamination`` of ``documents`` by ``benchmark``."""
     found = contamination(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cardex.llm.decontaminate import OP9_SQL, op9_decontaminate
 from cardex.llm.line_dedup import OP3_SQL, op3_line_dedup
+from cardex.llm.mixing import op7_mix
 from cardex.llm.ngram_join import OP10_SQL, op10_ngram_join
 from cardex.llm.pii import op6_pii
 from cardex.llm.quality import op4_quality
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_pii": op6_pii,
+    "op7_mix": op7_mix,
     "op8_tokens": op8_tokens,
     "op9_decontaminate": op9_decontaminate,
     "op10_ngram_join": op10_ngram_join,
