@@ -11,9 +11,11 @@ from cardex.llm.quality import op4_quality
 from cardex.llm.secrets import op1_secrets
 from cardex.llm.tokens import op8_tokens
 from cardex.llm.toxicity import op5_toxicity
+from cardex.llm.urls import op2_urls
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_urls": op2_urls,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
