@@ -6,9 +6,19 @@ from cardex.functions.extraction import email_domain_sql, emails_sql, phones_sql
 
 
 def register_functions(spark: SparkSession) -> None:
-    """Create ``extract_emails``, ``extract_phones`` and ``email_domain`` in the session.
+    """Create the SQL functions in the session.
 
-    They are SQL functions, so Catalyst inlines their bodies into the calling query.
+    ``extract_emails``, ``extract_phones`` and ``email_domain`` are values: use them in a
+    select list, count them, compare them.  Catalyst puts their bodies into the calling
+    query, and copies them into every filter or generator that is built upon their
+    result, where the extraction would run again.
+
+    To get one row per contact use the table functions ``emails_of(text)`` and
+    ``phones_of(text)``, which extract once::
+
+        SELECT source, e.email FROM documents, LATERAL emails_of(documents.text) AS e
+
+    ``LEFT JOIN LATERAL ... ON true`` keeps texts without a contact.
     """
     for name, returns, body in (
         ("extract_emails", "ARRAY<STRING>", emails_sql("text")),
@@ -19,3 +29,12 @@ def register_functions(spark: SparkSession) -> None:
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING)"
             f" RETURNS {returns} RETURN {body}"
         )
+    for name, column, body in (
+        ("emails_of", "email", emails_sql("text")),
+        ("phones_of", "phone_number", phones_sql("text")),
+    ):
+        rows = f"transform({body}, x -> named_struct('{column}', x))"
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING)"
+            f" RETURNS TABLE({column} STRING) RETURN SELECT inline({rows})"
+        )

@@ -10,7 +10,9 @@ DEFAULTS = {"category": "", "subcategory": "", "is_business": 0, "country_code":
 
 # Bytes of values; as a hash table in each executor they take several times as many.
 BROADCAST_BYTES = 32 * 1024 * 1024
-HOT_DOMAINS = 1000
+# Domains looked up apart, for each shuffle partition: any other domain then has less
+# than this fraction of what a partition holds on average.
+HOT_PER_PARTITION = 4
 
 
 def read_categories(spark: SparkSession, path: str) -> DataFrame:
@@ -57,21 +59,22 @@ def with_categories(
 def _shuffled(contacts: DataFrame, dimension: DataFrame) -> DataFrame:
     """Left join with a dimension too large to broadcast.
 
-    The ``HOT_DOMAINS`` most frequent domains are looked up by a broadcast of at most
-    that many rows; every other domain then holds less than one part in
-    ``HOT_DOMAINS`` of the contacts, which one shuffle partition can take.  Rows of hot
+    The most frequent domains, ``HOT_PER_PARTITION`` for each shuffle partition, are
+    looked up by a broadcast of at most that many rows; every other domain then holds
+    less than a fraction of what a shuffle partition takes on average.  Rows of hot
     domains and rows without a domain have no partner in the shuffled dimension; they
     get keys that spread them over all partitions and, holding an "@", equal no domain.
     Which domains count as hot only decides the route, never the result.
 
     Give it stored contacts: counting domains reads them once more (one column).
     """
+    partitions = int(contacts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = (
         contacts.where("domain is not null")
         .groupBy("domain")
         .count()
         .orderBy(F.desc("count"), "domain")
-        .limit(HOT_DOMAINS)
+        .limit(HOT_PER_PARTITION * partitions)
         .select("domain")
     )
     hot_rows = hot.join(dimension, "domain", "left").select(

@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 from cardex.schemas import CONTACTS_TABLE, TABLE_ORDER, TABLE_PARTITIONS
 
 ROWS_PER_FILE = 1_000_000
-# Ranges come out unequal; and a shuffle into far more of them would consist of tiny
-# blocks, so beyond this number a task writes several files instead.
+# Ranges come out unequal.
 SLACK = 1.25
-MOST_RANGES = 8192
 
 
 def write_snapshot(
@@ -69,8 +67,7 @@ def append_contacts(
     keys = [*TABLE_PARTITIONS, *TABLE_ORDER, "url", "warc_record_id"]
     ranges = partitions
     if ranges is None:
-        files = math.ceil(SLACK * contacts.count() / batch_size)
-        ranges = min(max(files, 1), MOST_RANGES)
+        ranges = max(math.ceil(SLACK * contacts.count() / batch_size), 1)
     writer = (
         table_rows(contacts)
         .repartitionByRange(ranges, *keys)
@@ -90,6 +87,10 @@ def read_contacts(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.schema(CONTACTS_TABLE).parquet(table_path)
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def create_contacts_table(spark: SparkSession, table: str, table_path: str) -> None:
     """K2: the catalog entry, if not there yet, over what the path holds.
 
@@ -99,10 +100,13 @@ def create_contacts_table(spark: SparkSession, table: str, table_path: str) -> N
     database, _, _ = table.rpartition(".")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    # makes the folder, which recovering partitions needs
+    nothing = spark.createDataFrame([], CONTACTS_TABLE)
+    nothing.write.partitionBy(*TABLE_PARTITIONS).mode("append").parquet(table_path)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CONTACTS_TABLE)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet"
-        f" PARTITIONED BY ({', '.join(TABLE_PARTITIONS)}) LOCATION '{table_path}'"
+        f" PARTITIONED BY ({', '.join(TABLE_PARTITIONS)}) LOCATION '{_quoted(table_path)}'"
     )
     spark.catalog.recoverPartitions(table)
 

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from cardex.operators.contacts import contacts
 from cardex.operators.enrich import enrich
+from cardex.operators.lookup import read_categories, with_categories
 from cardex.operators.stats import counted, run_metrics
-from cardex.operators.tables import append_contacts, write_snapshot
+from cardex.operators.tables import append_contacts, create_contacts_table, write_snapshot
 from cardex.session import build_session
 from cardex.sources.archives import (
     ARCHIVE_SUFFIX,
+    REPORTED,
     archive_glob,
+    archive_report,
     list_archives,
     read_archives,
 )
@@ -34,18 +37,34 @@ def run_job(
     overwrite_run: bool = False,
     metrics_path: str | None = None,
     suffix: str = ARCHIVE_SUFFIX,
+    table: str | None = None,
+    categories_path: str | None = None,
+    categorised_path: str | None = None,
+    repair: bool = True,
+    skip_bad_files: bool = False,
+    skip_long_records: bool = False,
 ) -> dict | None:
     """Harvest a crawl; None if it has no archives.
 
     Contacts are appended to the table, or with ``overwrite_run`` replace what it holds
-    of the same month and crawl.  With ``metrics_path`` a JSON row of exact run metrics
-    is added there.
+    of the same month and crawl.  ``table`` names its catalog entry, made before the load
+    if it is not there yet (K2).
+
+    With ``categories_path`` (J1) the dimension is read as it is at this run, and the
+    contacts with their categories are stored in a folder of the run below
+    ``categorised_path``.
+
+    With ``metrics_path`` a JSON row of exact run metrics is stored there in a folder of
+    the run, which a retried run replaces.  If files or records may be skipped, the row
+    also counts the incomplete and unreadable ones, for which the archives are read once
+    more; by default they fail the job.
 
     The archives are read once, for the snapshot.  The table is loaded from the
     snapshot, which also takes the place of a cache: losing executors costs no second
     extraction.
     """
     run_time = run_time or datetime.now(timezone.utc)
+    run_id = f"{crawl_id}_{run_time:%Y%m%d_%H%M%S}"
     archives = list_archives(spark, archive_root, crawl_id, limit_files, suffix)
     if archives.isEmpty():
         logger.error("no archives found for crawl %s", crawl_id)
@@ -55,24 +74,39 @@ def run_job(
     else:
         paths = archive_glob(archive_root, crawl_id)
 
-    records, records_seen = counted(read_archives(spark, paths, suffix=suffix), "records")
+    records, records_seen = counted(
+        read_archives(spark, paths, suffix, repair, skip_bad_files, skip_long_records), "records"
+    )
     found, contacts_seen = counted(contacts(records), "contacts")
     snapshot = write_snapshot(
         enrich(found, run_time, crawl_id), output_path, run_time, partition_count
     )
     stored = spark.read.parquet(snapshot)
+    if table and table_path:
+        create_contacts_table(spark, table, table_path)
     if table_path:
         append_contacts(stored, table_path, overwrite_run=overwrite_run)
+    if table and table_path:
+        spark.catalog.recoverPartitions(table)
+    if categories_path and categorised_path:
+        with_categories(stored, read_categories(spark, categories_path)).write.mode(
+            "overwrite"
+        ).parquet(f"{categorised_path.rstrip('/')}/run={run_id}")
     if metrics_path:
         run = {
+            "run_id": run_id,
             "application_id": spark.sparkContext.applicationId,
             "crawl_id": crawl_id,
             "output_path": snapshot,
         }
-        run_metrics(stored).withColumns({k: F.lit(v) for k, v in run.items()}).write.mode(
-            "append"
-        ).json(metrics_path)
+        if skip_bad_files or skip_long_records:
+            report = archive_report(spark, archives, paths, suffix)
+            run |= report.agg(*(F.sum(name).alias(name) for name in REPORTED)).first().asDict()
+        run_metrics(stored).withColumns({k: F.lit(v) for k, v in run.items()}).coalesce(1).write.mode(
+            "overwrite"
+        ).json(f"{metrics_path.rstrip('/')}/run={run_id}")
     result = {
+        "run_id": run_id,
         "snapshot": snapshot,
         "records": records_seen.get["rows"],
         "contacts": contacts_seen.get["rows"],
@@ -87,7 +121,10 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--crawl-id", required=True)
     parser.add_argument("--output-path", required=True)
     parser.add_argument("--table-path", help="also load the contacts table here")
+    parser.add_argument("--table", help="catalog name of that table")
     parser.add_argument("--metrics-path", help="add a JSON row of run metrics here")
+    parser.add_argument("--categories-path", help="stored domain categories to look up")
+    parser.add_argument("--categorised-path", help="store contacts with categories here")
     parser.add_argument("--limit-files", type=int, help="first files only")
     parser.add_argument(
         "--partition-count", type=int, help="output partitions; default: sized by Spark"
@@ -97,6 +134,22 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
         action="store_true",
         help="replace the table's rows of this month and crawl instead of appending",
     )
+    parser.add_argument(
+        "--no-repair",
+        dest="repair",
+        action="store_false",
+        help="bodies are stored plainly and hold no record boundary",
+    )
+    parser.add_argument(
+        "--skip-bad-files",
+        action="store_true",
+        help="keep what can be read of damaged files instead of failing",
+    )
+    parser.add_argument(
+        "--skip-long-records",
+        action="store_true",
+        help="leave out records beyond 2 GB instead of failing",
+    )
     return parser.parse_args(argv)
 
 

@@ -1,11 +1,22 @@
 """The registered queries in SQL for an independent engine (DuckDB).
 
-They apply the fixed patterns as they stand.  RE2 reads ``\\b``, ``\\d`` and ``\\s`` as
+They apply the fixed patterns as they stand, written out here once more so that a wrong
+value in the library would show.  RE2 reads ``\\b``, ``\\d`` and ``\\s`` as
 ASCII, which makes no difference on the given tables; text where it would is covered by
 the unit tests instead.
 """
 
-from cardex.functions import patterns as P
+# What counts as a contact.
+_EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+_EMAIL_ENDINGS = (".png", ".jpg", ".gif", ".example", ".test")
+_EMAIL_PARTS = ("..", "@.", ".@")
+_PHONES = (
+    r"\+\d{1,3}\s?[-.\s]?\(?\d{1,4}\)?[-.\s]?\d{1,4}[-.\s]?\d{1,9}",
+    r"\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}",
+    r"\d{3}[-.\s]?\d{3}[-.\s]?\d{4}",
+    r"\d{5}[-.\s]?\d{5,7}",
+)
+_PHONE_LENGTHS = (7, 15)
 
 _DOCUMENTS = (
     "SELECT 'doc://' || source || '/' || doc_id AS url, 'documents' AS warc_filename,"
@@ -19,9 +30,9 @@ _ALL = f"{_DOCUMENTS} UNION ALL {_PAGES}"
 
 
 def _emails(text: str) -> str:
-    rejects = [f"lower(e) LIKE '%{x}'" for x in P.REJECTED_EMAIL_ENDINGS]
-    rejects += [f"contains(e, '{x}')" for x in P.REJECTED_EMAIL_PARTS]
-    found = f"regexp_extract_all(coalesce({text}, ''), '{P.EMAIL_PATTERN}', 0)"
+    rejects = [f"lower(e) LIKE '%{x}'" for x in _EMAIL_ENDINGS]
+    rejects += [f"contains(e, '{x}')" for x in _EMAIL_PARTS]
+    found = f"regexp_extract_all(coalesce({text}, ''), '{_EMAIL}', 0)"
     return (
         f"list_distinct(list_transform(list_filter({found},"
         f" lambda e: NOT ({' OR '.join(rejects)})), lambda e: lower(e)))"
@@ -30,12 +41,12 @@ def _emails(text: str) -> str:
 
 def _phones(text: str) -> str:
     found = " || ".join(
-        f"regexp_extract_all(coalesce({text}, ''), '{p}', 0)" for p in P.PHONE_PATTERNS
+        f"regexp_extract_all(coalesce({text}, ''), '{p}', 0)" for p in _PHONES
     )
     return (
         f"list_distinct(list_filter(list_transform({found},"
-        f" lambda m: regexp_replace(m, '{P.PHONE_DROPPED_CHARS}', '', 'g')),"
-        f" lambda p: length(p) BETWEEN {P.MIN_PHONE_LENGTH} AND {P.MAX_PHONE_LENGTH}))"
+        f" lambda m: regexp_replace(m, '[^0-9+]', '', 'g')),"
+        f" lambda p: length(p) BETWEEN {_PHONE_LENGTHS[0]} AND {_PHONE_LENGTHS[1]}))"
     )
 
 
@@ -166,6 +177,10 @@ ORACLES = {
         SELECT source, split_part(email, '@', 2) AS domain, count(*) AS emails
         FROM (SELECT source, unnest({_emails("text")}) AS email FROM documents)
         GROUP BY ALL""",
+    "sql_phones_pages": f"""
+        WITH found AS (SELECT page_id, {_phones("html")} AS p FROM pages)
+        SELECT page_id, sum(len(p))::BIGINT AS phones, max(list_max(p)) AS greatest
+        FROM found GROUP BY page_id""",
     "email_reject_rules": f"""
         WITH stressed AS (
             SELECT doc_id, concat_ws(' ', text, 'plain' || d || '@mail.example.com',
@@ -232,11 +247,36 @@ ORACLES = {
         FROM ({_ALL})""",
     "archive_listing": f"""
         SELECT 0 AS listing, count(*) AS records FROM ({_ALL})
-        UNION ALL SELECT 1, count(*) FROM pages""",
+        UNION ALL SELECT 1, count(*) FROM pages
+        UNION ALL SELECT 2, 0""",
     "archive_report": f"""
         SELECT count(*) AS responses, count(*) AS others, CAST(0 AS BIGINT) AS incomplete,
-               CAST(0 AS BIGINT) AS unreadable
+               CAST(0 AS BIGINT) AS unreadable, CAST(0 AS BIGINT) AS too_long
         FROM ({_ALL})""",
+    "dirty_archive_records": r"""
+        SELECT CASE WHEN page_id % 7 <> 4 THEN url END AS url,
+               CASE WHEN page_id % 7 = 0 THEN page_id || '.warc.gz' ELSE 'file' END
+                   AS warc_filename,
+               CASE WHEN page_id % 7 <> 4 THEN CAST(page_id AS VARCHAR) END AS warc_record_id,
+               CASE page_id % 7
+                   WHEN 1 THEN html || E'\r\nWARC/1.0\r\nWARC-Type: response\r\n\r\n'
+                               || 'after@boundary.org'
+                   WHEN 3 THEN html || 'end' ELSE html END AS content,
+               '2024-01-01T00:00:00Z' AS timestamp
+        FROM pages WHERE page_id % 7 <> 5""",
+    "contacts_table_in_catalog": f"""{_contacts(_ALL)}
+        SELECT strftime(extraction_date, '%Y%m') AS ym, source_crawl,
+               count(*) AS contacts, CAST(0 AS BIGINT) AS unsorted
+        FROM enriched GROUP BY ALL""",
+    "incremental_two_crawls": f"""{_contacts(_ALL)}
+        SELECT url, warc_record_id, coalesce(email, '') AS email,
+               coalesce(phone_number, '') AS phone_number, contact_type,
+               coalesce(domain, '') AS domain, '202401' AS ym,
+               CASE warc_filename WHEN 'pages' THEN 'CRAWL-2024-01' ELSE 'CRAWL-2024-02' END
+                   AS source_crawl
+        FROM enriched""",
+    "incremental_two_crawl_stats": f"{_contacts(_ALL)}"
+    f" SELECT * REPLACE (coalesce(domain, '') AS domain) FROM ({_STATS})",
     "incremental_harvest": f"""{_contacts(_ALL)}
         SELECT url, warc_record_id, coalesce(email, '') AS email,
                coalesce(phone_number, '') AS phone_number, contact_type,

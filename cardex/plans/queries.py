@@ -4,10 +4,12 @@ Each takes (spark, folder of Parquet tables) and returns a DataFrame whose colum
 the query of the same name in ``plans.oracles``.
 """
 
-from datetime import datetime
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cardex.functions import extract_emails, extract_phones, register_functions
 from cardex.operators import contacts as C
@@ -18,8 +20,9 @@ from cardex.sources import archives
 from cardex.sources.tables import documents_as_records, pages_as_records
 from cardex.streaming import harvest as H
 
-STAMP = datetime(2024, 1, 1)
+STAMP = datetime(2024, 1, 1, tzinfo=timezone.utc)
 CRAWL = "CRAWL-2024-01"
+OTHER_CRAWL = "CRAWL-2024-02"
 # The text writer names its files so; see ``write_archives``.
 WRITTEN_SUFFIX = ".txt.gz"
 CONTACT = ["url", "warc_record_id", "email", "phone_number", "contact_type"]
@@ -85,21 +88,27 @@ def extract_contacts_conversations(spark, folder):
 
 
 def sql_functions_documents(spark, folder):
-    """U1 and U3 in SQL: addresses per source and domain.
-
-    Exploding ``emails`` itself would let the optimizer infer a filter on it and run the
-    extraction again for that filter.
-    """
+    """U1 and U3 in SQL: addresses per source and domain."""
     register_functions(spark)
     table(spark, folder, "documents").createOrReplaceTempView("texts")
     return spark.sql(
         "SELECT source, email_domain(email) AS domain, count(*) AS emails"
-        " FROM (SELECT source, explode(array_compact(emails)) AS email"
-        "       FROM (SELECT source, extract_emails(text) AS emails FROM texts))"
+        " FROM texts, LATERAL emails_of(texts.text)"
         " GROUP BY source, email_domain(email)"
     )
 
 
+def sql_phones_pages(spark, folder):
+    """U2 in SQL: numbers per page, pages without any included."""
+    register_functions(spark)
+    table(spark, folder, "pages").createOrReplaceTempView("html_pages")
+    return spark.sql(
+        "SELECT page_id, count(phone_number) AS phones, max(phone_number) AS greatest"
+        " FROM html_pages LEFT JOIN LATERAL phones_of(html_pages.html) ON true"
+        " GROUP BY page_id"
+    )
+
+
 def email_reject_rules(spark, folder):
     """Every document's text with addresses that meet every rule of T1."""
     d = F.lpad(F.col("doc_id").cast("string"), 7, "0")
@@ -287,6 +296,26 @@ def parquet_snapshot_roundtrip(spark, folder):
     return spark.read.parquet(path).select(*CONTACT, "domain", "extraction_date")
 
 
+def contacts_table_in_catalog(spark, folder):
+    """K2, O1: loaded under a catalog name, with its rows out of order in their file."""
+    name, path = f"contacts_{uuid.uuid4().hex}", scratch_dir(spark, "table")
+    snapshot = tables.write_snapshot(
+        enriched(spark, folder), scratch_dir(spark, "staged"), STAMP
+    )
+    tables.create_contacts_table(spark, name, path)
+    tables.append_contacts(spark.read.parquet(snapshot), path)
+    spark.catalog.recoverPartitions(name)
+    order = F.struct("domain", "email", "phone_number")
+    previous = F.lag(order).over(Window.partitionBy("file").orderBy("row_index"))
+    return (
+        spark.table(name)
+        .select("*", F.col("_metadata.file_path").alias("file"), "_metadata.row_index")
+        .withColumn("unsorted", previous > order)
+        .groupBy("ym", "source_crawl")
+        .agg(F.count(F.lit(1)).alias("contacts"), F.count_if("unsorted").alias("unsorted"))
+    )
+
+
 # --- archives and streams ---
 
 
@@ -323,8 +352,56 @@ def write_archives(records: DataFrame, segment: str) -> None:
     )
 
 
-def segment(root: str, number: int) -> str:
-    return f"{root}/crawl-data/{CRAWL}/segments/{number}/warc"
+def segment(root: str, number: int, crawl: str = CRAWL) -> str:
+    return f"{root}/crawl-data/{crawl}/segments/{number}/warc"
+
+
+def write_dirty_archives(spark: SparkSession, folder: str, segment: str) -> None:
+    """Every page as a response with one of seven flaws that real archives have."""
+    kind = F.col("page_id") % 7
+    boundary = "\r\nWARC/1.0\r\nWARC-Type: response\r\n\r\n"
+    size = F.lower(F.hex(F.octet_length("html")))
+    body = (
+        F.when(kind == 1, F.concat("html", F.lit(f"{boundary}after@boundary.org")).cast("binary"))
+        .when(kind == 2, F.concat(size, F.lit("\r\n"), "html", F.lit("\r\n0\r\n\r\n")).cast("binary"))
+        .when(kind == 3, F.concat(F.col("html").cast("binary"), F.lit(b"\xff\xfe"), F.lit(b"end")))
+        .otherwise(F.col("html").cast("binary"))
+    )
+    encoding = F.when(kind == 2, "Transfer-Encoding: chunked\r\n").otherwise("")
+    http = F.concat(F.lit("HTTP/1.1 200 OK\r\n"), encoding, F.lit("\r\n")).cast("binary")
+    headers = F.concat(
+        F.lit("WARC/1.0\r\n"),
+        F.when(kind == 5, "").otherwise("WARC-Type: response\r\n"),
+        F.when(kind == 4, "").otherwise(
+            F.concat(F.lit("WARC-Target-URI: "), "url", F.lit("\r\nWARC-Record-ID: "), "page_id", F.lit("\r\n"))
+        ),
+        F.when(kind == 0, F.concat(F.lit("WARC-Filename: "), "page_id", F.lit(".warc.gz\r\n")))
+        .when(kind == 6, "WARC-Filename: \r\n")
+        .otherwise(""),
+        F.lit("WARC-Date: 2024-01-01T00:00:00Z\r\nContent-Length: "),
+        F.octet_length("payload"),
+        F.lit("\r\n\r\n"),
+    )
+    (
+        table(spark, folder, "pages")
+        .withColumn("payload", F.concat(http, body))
+        .select(F.concat(headers.cast("binary"), "payload").cast("string").alias("value"))
+        .write.option("lineSep", "\r\n\r\n")
+        .option("compression", "gzip")
+        .text(segment)
+    )
+
+
+def dirty_archive_records(spark, folder):
+    """S2b to S2d: what is read from ``write_dirty_archives``."""
+    root = scratch_dir(spark, "dirty")
+    write_dirty_archives(spark, folder, segment(root, 0))
+    found = archives.read_archives(
+        spark, archives.archive_glob(root, CRAWL), suffix=WRITTEN_SUFFIX
+    )
+    # the writer's file names differ from run to run
+    name = F.when(F.startswith("warc_filename", F.lit("part-")), "file").otherwise(F.col("warc_filename"))
+    return found.select("url", name.alias("warc_filename"), "warc_record_id", "content", "timestamp")
 
 
 def archive_records(spark, folder):
@@ -338,22 +415,27 @@ def archive_records(spark, folder):
 
 
 def archive_listing(spark, folder):
-    """Records of all listed archives, and of the first so many by path."""
+    """Records of all listed archives, of the first so many by path, of no crawl."""
     root = scratch_dir(spark, "archives")
     write_archives(pages(spark, folder), segment(root, 0))
-    write_archives(documents(spark, folder), segment(root, 1))
+    write_archives(documents(spark, folder), f"{segment(root, 1)}/deeper")
 
-    def listed(limit: int | None = None) -> DataFrame:
-        return archives.list_archives(spark, root, CRAWL, limit, WRITTEN_SUFFIX)
+    def listed(crawl: str, limit: int | None = None) -> DataFrame:
+        return archives.list_archives(spark, root, crawl, limit, WRITTEN_SUFFIX)
 
-    def records(files: DataFrame, number: int) -> DataFrame:
-        paths = [row.path for row in files.select("path").collect()]
+    def records(paths: str | list[str], number: int) -> DataFrame:
         read = archives.read_archives(spark, paths, suffix=WRITTEN_SUFFIX)
-        return read.select(F.lit(number).alias("listing"))
+        return read.agg(F.lit(number).alias("listing"), F.count(F.lit(1)).alias("records"))
 
-    in_first_segment = listed().where(F.contains("path", F.lit("/segments/0/"))).count()
-    both = records(listed(), 0).unionByName(records(listed(in_first_segment), 1))
-    return both.groupBy("listing").agg(F.count(F.lit(1)).alias("records"))
+    in_first_segment = listed(CRAWL).where(F.contains("path", F.lit("/segments/0/"))).count()
+    # as many as the limit, which is the feature
+    first = [row.path for row in listed(CRAWL, in_first_segment).select("path").collect()]
+    unknown = listed("UNKNOWN").agg(F.lit(2).alias("listing"), F.count(F.lit(1)).alias("records"))
+    return (
+        records(archives.archive_glob(root, CRAWL), 0)
+        .unionByName(records(first, 1))
+        .unionByName(unknown)
+    )
 
 
 def archive_report(spark, folder):
@@ -367,8 +449,7 @@ def archive_report(spark, folder):
         archives.archive_glob(root, CRAWL),
         suffix=WRITTEN_SUFFIX,
     )
-    columns = ["responses", "others", "incomplete", "unreadable"]
-    return report.agg(*(F.sum(c).alias(c) for c in columns))
+    return report.agg(*(F.sum(c).alias(c) for c in archives.REPORTED))
 
 
 def _harvest_twice(spark: SparkSession, folder: str) -> tuple[str, str]:
@@ -400,6 +481,31 @@ def incremental_domain_stats(spark, folder):
     return H.harvested_domain_stats(spark, stats_path)
 
 
+def _harvest_two_crawls(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Pages as one crawl and documents as another, each with its own checkpoint."""
+    root = scratch_dir(spark, "archives")
+    table_path = scratch_dir(spark, "harvest")
+    stats_path = scratch_dir(spark, "stats")
+    for crawl, arrived in ((CRAWL, pages(spark, folder)), (OTHER_CRAWL, documents(spark, folder))):
+        write_archives(arrived, segment(root, 0, crawl))
+        records = H.stream_archives(spark, root, crawl, suffix=WRITTEN_SUFFIX)
+        checkpoint = scratch_dir(spark, "checkpoint")
+        H.harvest(
+            records, crawl, table_path, checkpoint, STAMP, stats_path
+        ).awaitTermination()
+    return table_path, stats_path
+
+
+def incremental_two_crawls(spark, folder):
+    table_path, _ = _harvest_two_crawls(spark, folder)
+    return H.harvested_contacts(spark, table_path).select(*CONTACT, "domain", "ym", "source_crawl")
+
+
+def incremental_two_crawl_stats(spark, folder):
+    _, stats_path = _harvest_two_crawls(spark, folder)
+    return H.harvested_domain_stats(spark, stats_path)
+
+
 # --- costs ---
 
 
@@ -443,13 +549,13 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def job_run_costs(spark, folder):
-    now = F.lit(datetime(2024, 2, 1))
+    now = F.lit(datetime(2024, 2, 1, tzinfo=timezone.utc))
     runs = costs.job_run_costs(job_runs(spark, folder), now)
     return _rounded(runs, "duration_seconds", "duration_hours", *COST_COLUMNS)
 
 
 def job_run_cost_totals(spark, folder):
-    now = F.lit(datetime(2024, 2, 1))
+    now = F.lit(datetime(2024, 2, 1, tzinfo=timezone.utc))
     totals = costs.job_run_cost_totals(costs.job_run_costs(job_runs(spark, folder), now))
     return totals.withColumn("total_cost", F.col("total_cost").cast("double"))
 
@@ -482,6 +588,7 @@ QUERIES = {
         extract_phones_pages,
         extract_contacts_conversations,
         sql_functions_documents,
+        sql_phones_pages,
         email_reject_rules,
         phone_length_rules,
         records_with_contacts,
@@ -500,11 +607,15 @@ QUERIES = {
         category_counts,
         contacts_table_roundtrip,
         parquet_snapshot_roundtrip,
+        contacts_table_in_catalog,
         archive_records,
+        dirty_archive_records,
         archive_listing,
         archive_report,
         incremental_harvest,
         incremental_domain_stats,
+        incremental_two_crawls,
+        incremental_two_crawl_stats,
         job_run_costs,
         job_run_cost_totals,
         estimated_costs,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cardex.schemas import LISTING
 from cardex.sources import http_encodings
-from cardex.sources.http_encodings import undo_encodings
+from cardex.sources.http_encodings import TooLong, undo_encodings
 
 ARCHIVE_SUFFIX = ".warc.gz"
 # How every record but a file's first begins, whatever its version; it contains no
@@ -35,8 +35,8 @@ _ENCODED = (
 )
 _MAX = 2**31 - 1
 
-# Bytes of one record.  Spark holds no value of more than 2 GB.
-LONGEST_RECORD = 512 * 1024 * 1024
+# Bytes of the longest value that Spark holds.
+LONGEST_VALUE = 2**31 - 16
 # Bytes of repaired records per Arrow batch, as many as Spark puts into one.
 OUTPUT_BYTES = 64 * 1024 * 1024
 
@@ -57,10 +57,14 @@ def list_archives(
 ) -> DataFrame:
     """``path, length, modificationTime`` of a crawl's archives.
 
-    File contents are not read.  ``limit`` takes the first files by path; None or 0
+    All folders below the crawl's are listed and file contents are not read.  ``limit`` takes the first files by path; None or 0
     means all.  An unknown crawl has none.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
+    reader = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", f"*{suffix}")
+        .option("recursiveFileLookup", "true")
+    )
     try:
         files = reader.load(archive_glob(root, crawl_id))
     except AnalysisException as error:
@@ -76,39 +80,47 @@ def read_archives(
     paths: str | list[str],
     suffix: str = ARCHIVE_SUFFIX,
     repair: bool = True,
-    skip_bad_files: bool = True,
+    skip_bad_files: bool = False,
+    skip_long_records: bool = False,
 ) -> DataFrame:
     """The response records (D1) of archive files, folders or globs.
 
-    With ``skip_bad_files`` a file that is not gzip contributes nothing and a truncated
-    one its readable records.  Spark then skips the rest of a file after any read
-    error; without it the task fails and is retried, elsewhere if need be.
+    A file that cannot be read, or not to its end, fails its task, which is retried,
+    elsewhere if need be.  With ``skip_bad_files`` a file that is not gzip contributes
+    nothing and a truncated one its readable records; Spark then skips the rest of a
+    file after any read error, a passing one as well, so look at ``archive_report``.
+
+    A record beyond the 2 GB that Spark holds as one value fails its task too, unless
+    ``skip_long_records``; the report counts those.
 
     ``repair=False`` saves the Python hop of ``repaired`` where bodies are known to be
     stored plainly and not to contain a boundary.
     """
     lines = read_lines(spark, paths, suffix, skip_bad_files)
-    return records_from_lines(lines, repair)
+    return records_from_lines(lines, repair, skip_long_records)
 
 
 def read_lines(
     spark: SparkSession,
     paths: str | list[str],
     suffix: str = ARCHIVE_SUFFIX,
-    skip_bad_files: bool = True,
+    skip_bad_files: bool = False,
 ) -> DataFrame:
     return (
         spark.read.option("lineSep", BOUNDARY)
         .option("pathGlobFilter", f"*{suffix}")
+        .option("recursiveFileLookup", "true")
         .option("ignoreCorruptFiles", str(skip_bad_files).lower())
         .text(paths)
     )
 
 
-def records_from_lines(lines: DataFrame, repair: bool = True) -> DataFrame:
+def records_from_lines(
+    lines: DataFrame, repair: bool = True, skip_long_records: bool = False
+) -> DataFrame:
     """Response records from a batch or streaming text scan split at the boundary."""
     located = payload_bounds(lines)
-    return parse_records(repaired(located) if repair else located)
+    return parse_records(repaired(located, skip_long_records) if repair else located)
 
 
 def _header(name: str) -> Column:
@@ -141,18 +153,20 @@ def payload_bounds(lines: DataFrame) -> DataFrame:
             _http_head(F.substring("raw", F.col("start") + 1, F.lit(_MAX)))
             .rlike(_ENCODED)
             .alias("encoded"),
+            F.lit(False).alias("too_long"),
         )
     )
 
 
-def repaired(located: DataFrame) -> DataFrame:
+def repaired(located: DataFrame, skip_long_records: bool = False) -> DataFrame:
     """Split records joined and HTTP encodings undone; all other lines as they are.
 
     Lines of a file arrive in file order within one task.  A line lacking part of its
-    payload takes in the following lines of its file until it is complete.  A declared
-    length beyond ``LONGEST_RECORD`` is taken for an error and not waited for.
+    payload takes in the following lines of its file until it is complete or the file
+    ends: the declared length is taken at its word.  What exceeds ``LONGEST_VALUE``
+    raises an error, or with ``skip_long_records`` keeps its headers only and is marked.
     """
-    boundary = BOUNDARY.encode()
+    boundary, most = BOUNDARY.encode(), LONGEST_VALUE
 
     def repair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict | None = None
@@ -160,22 +174,35 @@ def repaired(located: DataFrame) -> DataFrame:
         for batch in batches:
             schema = batch.schema
             flags = pc.or_(pc.greater(batch["missing"], 0), batch["encoded"])
-            if held is None and not pc.any(flags).as_py():
-                yield batch
-                continue
-            done, size = [], 0
-            for row in batch.to_pylist():
-                if held is not None and row["file_path"] == held["file_path"]:
-                    held["parts"].append(row["raw"])
-                    held["missing"] -= len(boundary) + len(row["raw"])
+            flagged = pc.indices_nonzero(flags).to_pylist() + [batch.num_rows]
+            done, size, at = [], 0, 0
+            while at < batch.num_rows:
+                if held is None and flagged[0] > at:
+                    # untouched lines pass through as they came
+                    if done:
+                        yield pa.RecordBatch.from_pylist(done, schema)
+                        done, size = [], 0
+                    yield batch.slice(at, flagged[0] - at)
+                    at = flagged[0]
+                    continue
+                (row,) = batch.slice(at, 1).to_pylist()
+                if held is not None and row["file_path"] != held["file_path"]:
+                    done.append(whole(held))
+                    held = None
+                    continue
+                if held is None:
+                    held = {**row, "parts": [], "bytes": 0}
                 else:
-                    if held is not None:
-                        done.append(whole(held))
-                    held = {**row, "parts": [row["raw"]]}
-                if held["missing"] <= 0 or held["length"] > LONGEST_RECORD:
+                    held["missing"] -= len(boundary) + len(row["raw"])
+                    held["bytes"] += len(boundary)
+                take(held, row["raw"])
+                if held["missing"] <= 0:
                     done.append(whole(held))
                     held = None
                     size += len(done[-1]["raw"])
+                at += 1
+                while flagged[0] < at:
+                    flagged.pop(0)
                 if size > OUTPUT_BYTES:
                     yield pa.RecordBatch.from_pylist(done, schema)
                     done, size = [], 0
@@ -184,11 +211,29 @@ def repaired(located: DataFrame) -> DataFrame:
         if held is not None:
             yield pa.RecordBatch.from_pylist([whole(held)], schema)
 
+    def refuse(row: dict) -> None:
+        if not skip_long_records:
+            raise ValueError(f"a record of {row['file_path']} exceeds {most} bytes")
+        row["too_long"] = True
+
+    def take(held: dict, raw: bytes) -> None:
+        held["bytes"] += len(raw)
+        if held["bytes"] > most and not held["too_long"]:
+            refuse(held)
+            held["parts"] = [held["parts"][0] if held["parts"] else raw]
+        elif not held["too_long"]:
+            held["parts"].append(raw)
+
     def whole(row: dict) -> dict:
         raw, start, length = boundary.join(row["parts"]), row["start"], row["length"]
-        if row["encoded"]:
-            payload = undo_encodings(raw[start : start + length], LONGEST_RECORD)
-            raw, length = raw[:start] + payload, len(payload)
+        if row["encoded"] and not row["too_long"]:
+            try:
+                payload = undo_encodings(raw[start : start + length], most - start)
+                raw, length = raw[:start] + payload, len(payload)
+            except TooLong:
+                refuse(row)
+        if row["too_long"]:
+            raw, length = raw[:start], 0
         missing = max(row["missing"], 0)
         return {**row, "raw": raw, "length": length, "missing": missing}
 
@@ -245,7 +290,7 @@ def parse_records(located: DataFrame) -> DataFrame:
     without a target URI is kept, with a NULL url.
     """
     responses = located.withColumn("headers", _headers()).where(
-        _header("WARC-Type") == "response"
+        (_header("WARC-Type") == "response") & ~F.col("too_long")
     )
     uri = F.regexp_replace(_header("WARC-Target-URI"), "^<(.*)>$", "$1")
     filename = _header("WARC-Filename")
@@ -271,17 +316,23 @@ def parse_records(located: DataFrame) -> DataFrame:
     )
 
 
+REPORTED = ["responses", "others", "incomplete", "unreadable", "too_long"]
+
+
 def archive_report(
     spark: SparkSession,
     files: DataFrame,
     paths: str | list[str],
     suffix: str = ARCHIVE_SUFFIX,
 ) -> DataFrame:
-    """What each listed file held: responses, other records, incomplete and unreadable.
+    """What each listed file held: responses, other records, incomplete, unreadable and
+    too long ones.
 
-    ``files`` is a listing; a file that could not be read at all counts zero.
+    ``files`` is a listing; a file that could not be read at all counts zero.  Bad files
+    and long records do not fail the report.
     """
-    lines = repaired(payload_bounds(read_lines(spark, paths, suffix)))
+    lines = read_lines(spark, paths, suffix, skip_bad_files=True)
+    lines = repaired(payload_bounds(lines), skip_long_records=True)
     kind = _header("WARC-Type")
     counts = (
         lines.withColumn("headers", _headers())
@@ -291,13 +342,14 @@ def archive_report(
             F.count_if((kind != "response") & (kind != "")).alias("others"),
             F.count_if((kind != "") & (F.col("missing") > 0)).alias("incomplete"),
             F.count_if((kind == "") & (F.length("headers") > 0)).alias("unreadable"),
+            F.count_if("too_long").alias("too_long"),
         )
     )
     return (
         files.withColumn("_path", _same_path("path"))
         .join(counts, "_path", "left")
         .drop("_path")
-        .na.fill(0, ["responses", "others", "incomplete", "unreadable"])
+        .na.fill(0, REPORTED)
     )
 
 

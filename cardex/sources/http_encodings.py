@@ -11,11 +11,16 @@ _WINDOWS = {
 }
 
 
-def undo_encodings(message: bytes, limit: int) -> bytes:
+class TooLong(Exception):
+    """A body that inflates beyond what one value can hold."""
+
+
+def undo_encodings(message: bytes, most: int) -> bytes:
     """An HTTP message with its body dechunked and decompressed.
 
-    A body that is not in the encoding its header names, or would be longer than
-    ``limit``, is left as it is; one that breaks off keeps what could be decoded.
+    A body that is not in the encoding its header names is left as it is; one that
+    breaks off keeps what could be decoded.  Raises ``TooLong`` for a body that inflates
+    beyond ``most`` bytes.
     """
     end = re.search(rb"\r?\n\r?\n", message)
     if end is None or not message.startswith(b"HTTP/"):
@@ -28,7 +33,7 @@ def undo_encodings(message: bytes, limit: int) -> bytes:
     if headers.get("transfer-encoding") == "chunked":
         body = _dechunked(body)
     for window in _WINDOWS.get(headers.get("content-encoding"), []):
-        decoded = _inflated(body, window, limit)
+        decoded = _inflated(body, window, most)
         if decoded is not None:
             return head + decoded
     return head + body
@@ -46,25 +51,23 @@ def _dechunked(body: bytes) -> bytes:
     return b"".join(chunks) if chunks or size else body
 
 
-def _inflated(body: bytes, window: int, limit: int) -> bytes | None:
+def _inflated(body: bytes, window: int, most: int) -> bytes | None:
     """All gzip members or the one deflate stream; None if not even its start is."""
-    decoded, size = [], 0
-    while body:
+    decoded, size, position = [], 0, 0
+    rest = memoryview(body)
+    while position < len(rest):
         stream = zlib.decompressobj(window)
         try:
             # in pieces, so that what precedes damage is kept
-            for start in range(0, len(body), 16384):
-                decoded.append(stream.decompress(body[start : start + 16384]))
+            while position < len(rest) and not stream.eof:
+                piece = rest[position : position + 16384]
+                decoded.append(stream.decompress(piece))
+                position += len(piece) - len(stream.unused_data)
                 size += len(decoded[-1])
-                if size > limit:
-                    return None
-                if stream.eof:
-                    body = stream.unused_data + body[start + 16384 :]
-                    break
-            else:
-                break
+                if size > most:
+                    raise TooLong
         except zlib.error:
             return b"".join(decoded) if any(decoded) else None
-        if window < 16:
+        if window < 16 or not stream.eof:
             break
     return b"".join(decoded)

@@ -2,6 +2,7 @@ import gzip
 import os
 import subprocess
 import sys
+import time
 import zlib
 from pathlib import Path
 
@@ -9,7 +10,7 @@ import pytest
 
 from archive_files import record, write
 from cardex.schemas import RECORDS
-from cardex.sources import archives
+from cardex.sources import archives, http_encodings
 
 NESTED = (
     b"see:\r\nWARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: bogus\r\n"
@@ -99,31 +100,50 @@ def test_rejoining_across_batches(spark, tmp_path):
     assert found["r3"].content == "plain"
 
 
-def test_an_absurd_length_does_not_swallow_the_file(spark, tmp_path, monkeypatch):
-    lie = gzip.decompress(record(b"a", "lie")).replace(b"Length: 45", b"Length: 99999")
-    assert b"99999" in lie
-    path = write(tmp_path, "1", "a.warc.gz", gzip.compress(lie), record(b"b", "next"))
-    # taken at its word, the record extends over all that follows
+def test_a_declared_length_is_taken_at_its_word(spark, tmp_path):
+    lie = gzip.decompress(record(b"a", "lie")).replace(b"Length: 45", b"Length: 99999999999")
+    assert b"99999999999" in lie
+    path = write(tmp_path, "1", "a.warc.gz", gzip.compress(lie), record(b"b@x.org", "next"))
     found = read(spark, path)
     assert set(found) == {"lie"}
-    assert found["lie"].content.endswith("\r\n\r\nb\r\n\r\n")
-    monkeypatch.setattr(archives, "LONGEST_RECORD", 50_000)
-    found = read(spark, path)
-    assert set(found) == {"lie", "next"}
-    assert found["next"].content == "b"
+    assert found["lie"].content.endswith("\r\n\r\nb@x.org\r\n\r\n")
 
 
-def test_a_body_inflating_beyond_the_limit_stays_as_stored(spark, tmp_path, monkeypatch):
+def test_a_body_may_inflate_to_any_length(spark, tmp_path, monkeypatch):
     head = http("Content-Encoding: deflate")
-    bomb = zlib.compress(b"0" * 1_000_000)
+    body = zlib.compress(b"0" * 1_000_000 + b" a@x.org")
     path = write(
-        tmp_path, "1", "a.warc.gz", *(record(bomb, str(i), http=head) for i in range(4))
+        tmp_path, "1", "a.warc.gz", *(record(body, str(i), http=head) for i in range(4))
     )
     monkeypatch.setattr(archives, "OUTPUT_BYTES", 1_500_000)
-    assert {len(row.content) for row in read(spark, path).values()} == {1_000_000}
-    monkeypatch.setattr(archives, "LONGEST_RECORD", 900_000)
-    stored = bomb.decode("utf-8", "ignore")
-    assert {row.content for row in read(spark, path).values()} == {stored}
+    found = read(spark, path).values()
+    assert [row.content[-8:] for row in found] == [" a@x.org"] * 4
+    assert {len(row.content) for row in found} == {1_000_008}
+
+
+@pytest.mark.parametrize("kind", ["inflating", "split"])
+def test_what_no_value_can_hold_fails_or_is_counted(spark, tmp_path, monkeypatch, kind):
+    if kind == "inflating":
+        long = record(zlib.compress(b"0" * 1_000_000), "long", http=http("Content-Encoding: deflate"))
+    else:
+        long = record((b"0" * 200_000 + b"\r\nWARC/1.0\r\n") * 5, "long")
+    write(tmp_path, "1", "a.warc.gz", record(b"a", "1"), long, record(NESTED, "2"))
+    monkeypatch.setattr(archives, "LONGEST_VALUE", 900_000)
+    glob = archives.archive_glob(str(tmp_path), "CRAWL")
+    with pytest.raises(Exception, match="exceeds"):
+        read(spark, glob)
+    assert set(read(spark, glob, skip_long_records=True)) == {"1", "2"}
+    listing = archives.list_archives(spark, str(tmp_path), "CRAWL")
+    (row,) = archives.archive_report(spark, listing, glob).collect()
+    assert (row.responses, row.too_long) == (3, 1)
+
+
+def test_many_tiny_members_take_linear_time():
+    body = gzip.compress(b"") * 500_000 + gzip.compress(b"a@x.org")
+    start = time.perf_counter()
+    message = http_encodings.undo_encodings(http("Content-Encoding: gzip") + body, 2**31)
+    assert message.endswith(b"\r\n\r\na@x.org")
+    assert time.perf_counter() - start < 30
 
 
 def test_executors_need_not_have_the_package(tmp_path):
@@ -176,7 +196,7 @@ def test_bad_files_are_skipped(spark, tmp_path):
     write(tmp_path, "1", "not_gzip.warc.gz", b"plain text")
     write(tmp_path, "1", "good.warc.gz", record(b"good", "good"))
     write(tmp_path, "1", "notes.txt", b"ignored")
-    found = read(spark, archives.archive_glob(str(tmp_path), "CRAWL"))
+    found = read(spark, archives.archive_glob(str(tmp_path), "CRAWL"), skip_bad_files=True)
     assert set(found) == {"kept", "good"}
 
 
@@ -201,6 +221,14 @@ def test_listing(spark, crawl):
     assert sorted(listed(spark, crawl, 3)) == every[:3]
 
 
+def test_listing_and_reading_go_into_deeper_folders(spark, crawl):
+    deep = crawl / "crawl-data" / "CRAWL" / "segments" / "1" / "warc" / "more" / "levels"
+    deep.mkdir(parents=True)
+    (deep / "e.warc.gz").write_bytes(record(b"deep", "e"))
+    assert "1/warc/more/levels/e.warc.gz" in listed(spark, crawl)
+    assert read(spark, archives.archive_glob(str(crawl), "CRAWL"))["e"].content == "deep"
+
+
 def test_unknown_crawl_has_no_archives(spark, crawl):
     files = archives.list_archives(spark, str(crawl), "UNKNOWN", 3)
     assert files.schema.names == ["path", "length", "modificationTime"]
@@ -296,16 +324,17 @@ def test_report(spark, tmp_path):
         archives.list_archives(spark, str(tmp_path), "CRAWL"),
         archives.archive_glob(str(tmp_path), "CRAWL"),
     )
-    columns = ["responses", "others", "incomplete", "unreadable"]
-    found = {r.path.rsplit("/")[-1]: tuple(r[c] for c in columns) for r in report.collect()}
+    found = {
+        r.path.rsplit("/")[-1]: tuple(r[c] for c in archives.REPORTED) for r in report.collect()
+    }
     assert found == {
-        "a.warc.gz": (2, 1, 0, 0),
-        "b.warc.gz": (1, 0, 1, 0),
-        "c.warc.gz": (0, 0, 0, 0),
+        "a.warc.gz": (2, 1, 0, 0, 0),
+        "b.warc.gz": (1, 0, 1, 0, 0),
+        "c.warc.gz": (0, 0, 0, 0, 0),
     }
 
 
-def test_bad_files_can_fail_the_job(spark, tmp_path):
+def test_bad_files_fail_the_task(spark, tmp_path):
     path = write(tmp_path, "1", "bad.warc.gz", b"not gzip")
     with pytest.raises(Exception):
-        archives.read_archives(spark, path, skip_bad_files=False).count()
+        archives.read_archives(spark, path).count()

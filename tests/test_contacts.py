@@ -15,18 +15,18 @@ STAMP = datetime(2024, 1, 1)
 def records(spark):
     rows = [
         (
-            "https://example.com",
-            "test.warc.gz",
+            "http://shop.invalid/imprint",
+            "seg-7.warc.gz",
             "record1",
-            "Contact us at info@example.com or call +1 (123) 456-7890",
-            "2023-01-01T00:00:00Z",
+            "Orders: desk@shop.example.org; hotline +1 (123) 456-7890",
+            "2022-06-30T08:00:00Z",
         ),
         (
-            "https://test.org",
-            "test.warc.gz",
+            "http://blog.invalid/",
+            "seg-7.warc.gz",
             "record2",
-            "No contact information here",
-            "2023-01-01T00:00:00Z",
+            "A page with nothing of the kind",
+            "2022-06-30T08:00:01Z",
         ),
         (None, None, "record3", "b@x.org a@x.org A@X.org", None),
         ("https://null.org", "test.warc.gz", "record4", None, None),
@@ -46,9 +46,9 @@ def test_contacts(records):
         found, "url", "warc_record_id", "email", "phone_number", "contact_type"
     ) == sorted(
         [
-            ("https://example.com", "record1", "info@example.com", None, "email"),
-            ("https://example.com", "record1", None, "+11234567890", "phone"),
-            ("https://example.com", "record1", None, "1234567890", "phone"),
+            ("http://shop.invalid/imprint", "record1", "desk@shop.example.org", None, "email"),
+            ("http://shop.invalid/imprint", "record1", None, "+11234567890", "phone"),
+            ("http://shop.invalid/imprint", "record1", None, "1234567890", "phone"),
             (None, "record3", "a@x.org", None, "email"),
             (None, "record3", "b@x.org", None, "email"),
         ],
@@ -71,7 +71,7 @@ def test_records_with_contacts(records):
     kept = C.records_with_contacts(records)
     assert kept.columns == [*C.PROVENANCE, "emails", "phone_numbers"]
     assert rows(kept, "warc_record_id", "emails", "phone_numbers") == [
-        ("record1", ["info@example.com"], ["+11234567890", "1234567890"]),
+        ("record1", ["desk@shop.example.org"], ["+11234567890", "1234567890"]),
         ("record3", ["a@x.org", "b@x.org"], []),
     ]
 
@@ -87,7 +87,7 @@ def test_enrich(records):
         "extraction_date",
         "source_crawl",
     ) == [
-        ("info@example.com", "example.com", STAMP, "CRAWL"),
+        ("desk@shop.example.org", "shop.example.org", STAMP, "CRAWL"),
         (None, None, STAMP, "CRAWL"),
         (None, None, STAMP, "CRAWL"),
     ]

@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import pytest
+
 from archive_files import record, write
 from cardex.operators.tables import read_contacts
 from cardex.plans.job import parse_arguments, run_job
@@ -16,6 +18,7 @@ def test_job(spark, tmp_path):
     output, table = str(tmp_path / "out"), str(tmp_path / "table")
     result = run_job(spark, str(tmp_path), "CRAWL", output, table, run_time=NOON)
     assert result == {
+        "run_id": "CRAWL_20240101_120000",
         "snapshot": f"{output}/contacts_20240101_120000",
         "records": 6,
         "contacts": 6,
@@ -74,6 +77,48 @@ def test_arguments():
         "partition_count": None,
         "overwrite_run": False,
         "metrics_path": None,
+        "table": None,
+        "categories_path": None,
+        "categorised_path": None,
+        "repair": True,
+        "skip_bad_files": False,
+        "skip_long_records": False,
     }
+    options = "--no-repair --skip-bad-files --skip-long-records --table a.b"
+    args = parse_arguments([*required, *options.split()])
+    assert (args.repair, args.skip_bad_files, args.skip_long_records) == (False, True, True)
+    assert args.table == "a.b"
     args = parse_arguments([*required, *"--limit-files 5 --partition-count 7".split()])
     assert (args.limit_files, args.partition_count) == (5, 7)
+
+
+def test_damaged_files_fail_the_job_or_are_counted(spark, tmp_path):
+    write(tmp_path, "1", "good.warc.gz", record(b"a@x.org", "1"))
+    write(tmp_path, "1", "bad.warc.gz", b"not gzip")
+    metrics = str(tmp_path / "metrics")
+    with pytest.raises(Exception):
+        run_job(spark, str(tmp_path), "CRAWL", str(tmp_path / "failed"), run_time=NOON)
+    for folder in ("out", "again"):
+        result = run_job(
+            spark, str(tmp_path), "CRAWL", str(tmp_path / folder), run_time=NOON,
+            metrics_path=metrics, skip_bad_files=True,
+        )
+        assert result["contacts"] == 1
+    # one row, though the run was repeated
+    (row,) = spark.read.json(metrics).collect()
+    assert (row.run_id, row.responses, row.incomplete) == ("CRAWL_20240101_120000", 1, 0)
+
+
+def test_table_and_categories(spark, tmp_path):
+    write(tmp_path, "1", "a.warc.gz", record(b"a@x.org b@y.org", "1"))
+    categories = str(tmp_path / "categories")
+    columns = "domain string, category string, subcategory string, is_business int, country_code string"
+    spark.createDataFrame([("x.org", "shop", "", 1, "")], columns).write.parquet(categories)
+    run_job(
+        spark, str(tmp_path), "CRAWL", str(tmp_path / "out"), str(tmp_path / "it's a table"),
+        run_time=NOON, table="job_contacts", categories_path=categories,
+        categorised_path=str(tmp_path / "categorised"),
+    )
+    assert spark.table("job_contacts").count() == 2
+    found = spark.read.parquet(str(tmp_path / "categorised"))
+    assert {(r.domain, r.category) for r in found.collect()} == {("x.org", "shop"), ("y.org", "")}

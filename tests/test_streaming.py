@@ -21,13 +21,15 @@ class Site:
             str(self.folder / name) for name in ("root", "table", "stats", "checkpoint")
         )
 
-    def add(self, segment, name, *bodies):
-        write(self.root, segment, name, *(record(b, f"{name}-{i}") for i, b in enumerate(bodies)))
+    def add(self, segment, name, *bodies, crawl="CRAWL"):
+        records = (record(b, f"{name}-{i}") for i, b in enumerate(bodies))
+        write(self.root, segment, name, *records, crawl=crawl)
 
-    def run(self, stamp=STAMP, files_per_batch=1):
-        records = H.stream_archives(self.spark, self.root, "CRAWL", files_per_batch)
+    def run(self, stamp=STAMP, files_per_batch=1, crawl="CRAWL", checkpoint=None, **options):
+        records = H.stream_archives(self.spark, self.root, crawl, files_per_batch)
+        checkpoint = checkpoint or self.checkpoint
         H.harvest(
-            records, "CRAWL", self.table, self.checkpoint, stamp, self.stats
+            records, crawl, self.table, checkpoint, stamp, self.stats, **options
         ).awaitTermination()
 
     def contacts(self):
@@ -36,9 +38,9 @@ class Site:
     def domain_stats(self):
         return rows(H.harvested_domain_stats(self.spark, self.stats))
 
-    def batch_contacts(self):
-        records = read_archives(self.spark, archive_glob(self.root, "CRAWL"))
-        return table_rows(enrich(contacts(records), STAMP, "CRAWL"))
+    def batch_contacts(self, crawl="CRAWL"):
+        records = read_archives(self.spark, archive_glob(self.root, crawl))
+        return table_rows(enrich(contacts(records), STAMP, crawl))
 
 
 def rows(df):
@@ -79,3 +81,54 @@ def test_a_batch_retried_after_a_crash_is_replaced(site):
     site.run(datetime(2024, 5, 1), files_per_batch=2)
     assert len(site.contacts()) == site.batch_contacts().count()
     assert sum(row[2] for row in site.domain_stats()) == site.batch_contacts().count()
+
+
+def test_two_crawls_fill_one_table(site):
+    site.add("1", "o.warc.gz", b"a@x.org e@z.org", crawl="OTHER")
+    site.run()
+    site.run(crawl="OTHER", checkpoint=str(site.folder / "other"))
+    both = site.batch_contacts().unionByName(site.batch_contacts("OTHER"))
+    assert site.contacts() == rows(both)
+    assert site.domain_stats() == rows(domain_stats(both))
+
+
+def test_a_new_checkpoint_destroys_nothing(site):
+    site.run(files_per_batch=2)
+    other = str(site.folder / "other")
+    site.run(files_per_batch=3, checkpoint=other)
+    once = rows(site.batch_contacts())
+    assert site.contacts() == sorted(once * 2, key=repr)
+    new = [H.stream_id(site.spark, other)]
+    assert rows(H.harvested_contacts(site.spark, site.table, new)) == once
+    stats = H.harvested_domain_stats(site.spark, site.stats, new)
+    assert rows(stats) == rows(domain_stats(site.batch_contacts()))
+
+
+def test_nothing_harvested_yet(spark, tmp_path):
+    site = Site(spark, tmp_path)
+    assert site.contacts() == [] == site.domain_stats()
+
+
+def test_bad_files_fail_the_batch_unless_skipped(site):
+    write(site.root, "1", "bad.warc.gz", b"not gzip")
+    with pytest.raises(Exception):
+        site.run(files_per_batch=10)
+    records = H.stream_archives(site.spark, site.root, "CRAWL", 10, skip_bad_files=True)
+    H.harvest(records, "CRAWL", site.table, site.checkpoint, STAMP).awaitTermination()
+    assert len(site.contacts()) == 6
+
+
+def test_categories_are_read_anew_for_every_batch(site):
+    spark = site.spark
+    columns = "domain string, category string, subcategory string, is_business int, country_code string"
+    categories, categorised = str(site.folder / "categories"), str(site.folder / "categorised")
+    options = {"categories_path": categories, "categorised_path": categorised}
+    for number, kind in enumerate(("old", "new")):
+        rows_ = [("x.org", kind, "", 0, "")]
+        spark.createDataFrame(rows_, columns).write.mode("overwrite").parquet(categories)
+        site.add("4", f"n{number}.warc.gz", b"late@x.org")
+        site.run(files_per_batch=10, **options)
+    found = spark.read.parquet(categorised).where("domain = 'x.org'")
+    assert {(r.category, r["count"]) for r in found.groupBy("category").count().collect()} == {
+        ("old", 4), ("new", 1)
+    }

@@ -96,13 +96,12 @@ def test_files_are_sorted_bounded_and_ranged(spark, stored, tmp_path):
         assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
 
 
-def test_ranges_follow_from_the_rows(spark, stored, tmp_path, monkeypatch):
+def test_ranges_follow_from_the_rows(spark, stored, tmp_path):
     contacts = stored[JANUARY, "A"]
     size = contacts.count() // 4
     tables.append_contacts(contacts, str(tmp_path / "sized"), batch_size=size)
     assert 5 <= len(glob(f"{tmp_path}/sized/*/*/*.parquet")) <= 8
-    monkeypatch.setattr(tables, "MOST_RANGES", 1)
-    tables.append_contacts(contacts, str(tmp_path / "one"), batch_size=size)
+    tables.append_contacts(contacts, str(tmp_path / "one"), batch_size=size, partitions=1)
     files = glob(f"{tmp_path}/one/*/*/*.parquet")
     assert len({Path(file).name.split("-")[1] for file in files}) == 1
     assert len(files) in (4, 5)
