@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardex.llm.common import KEY, ascii_lower, row_key, store, words_sql
@@ -43,6 +43,19 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> D
     )
 
 
+def _hash_of(words: str, place: str, size: int) -> str:
+    """SQL BIGINT: the hash of ``size`` words from ``place`` on."""
+    return f"xxhash64({', '.join(f'{words}[{place} + {k}]' for k in range(size))})"
+
+
+def _hash_of_any(words: str, place: str, most: int) -> Column:
+    """The same where the column ``_size`` says how many words, ``most`` at most."""
+    found = F.expr(_hash_of(words, place, most))
+    for size in range(1, most):
+        found = F.when(F.col("_size") == size, F.expr(_hash_of(words, place, size))).otherwise(found)
+    return found
+
+
 def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     """``_window, _offset, _size, _hash`` of all shingles of distinct windows."""
     size = f"least(size(_window), {shingle})"
@@ -54,9 +67,7 @@ def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
             F.expr(f"{size} as _size"),
             F.expr(f"explode_outer(sequence(0, size(_window) - {size})) as _offset"),
         )
-        .select(
-            "_window", "_offset", "_size", F.expr("xxhash64(slice(_window, _offset + 1, _size)) as _hash")
-        )
+        .select("_window", "_offset", "_size", _hash_of_any("_window", "_offset", shingle).alias("_hash"))
     )
 
 
@@ -67,7 +78,7 @@ def document_shingles(words: DataFrame, size: int) -> DataFrame:
         words.select("*", F.expr(f"explode_outer({starts}) as _pos"))
         .where("_pos is not null")
         .withColumn("_size", F.lit(size))
-        .withColumn("_hash", F.expr(f"xxhash64(slice(_words, _pos + 1, {size}))"))
+        .withColumn("_hash", F.expr(_hash_of("_words", "_pos", size)))
     )
 
 
@@ -213,13 +224,17 @@ def clean_documents(
     window: int = WINDOW,
 ) -> DataFrame:
     """The documents that hold no window of an item, with all their columns."""
-    own = documents.withColumn(KEY, row_key(id_col, text_col))
+    key = KEY
+    while key in documents.columns:
+        key += "_"
+    searched = documents.select(row_key(id_col, text_col).alias(KEY), F.col(text_col).alias("_text"))
     windows = item_windows(items, item_id_col, item_text_col, window)
-    found = occurrences(own, windows, text_col)
-    hit = store(documents.sparkSession, found.select(F.col(KEY).alias("_hit_key")).distinct(), "contaminated")
+    found = occurrences(searched, windows, "_text").select(F.col(KEY).alias("_hit_key")).distinct()
+    hit = store(documents.sparkSession, found, "contaminated")
     if hit.count() <= BROADCAST_ROWS:
         hit = F.broadcast(hit)
-    return own.join(hit, F.col(KEY).eqNullSafe(F.col("_hit_key")), "left_anti").drop(KEY)
+    own = documents.withColumn(key, row_key(id_col, text_col))
+    return own.join(hit, own[key].eqNullSafe(hit["_hit_key"]), "left_anti").drop(key)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,6 +35,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 # secrets found by the base rules, generated random strings.
 SAMPLE_DOCUMENTS = 2000
 WORDS_PER_DOCUMENT = 60
+# Words from this length on may be secrets that no base rule names.
+LONGEST_WORD = 16
 SAMPLE_SECRETS = 5000
 GENERATED = 2000
 # Share of held-out ordinary identifiers that may score above the threshold.
@@ -101,7 +103,7 @@ def labelled_samples(documents: DataFrame, text_col: str = "text") -> DataFrame:
     )
     names = let(
         "l",
-        "filter(ws, w -> not (w rlike '[0-9].*[A-Za-z]|[A-Za-z].*[0-9]'))",
+        f"filter(ws, w -> length(w) < {LONGEST_WORD})",
         f"flatten(transform(slice(l, 1, greatest(size(l) - 2, 0)), (w, i) ->"
         f" {let('n', 'l[i + 1]', let('m', 'l[i + 2]', styles))}))",
     )

@@ -1,0 +1,165 @@
+"""Brute-force versions of the operators, in plain Python, for small inputs."""
+
+import collections
+import hashlib
+import itertools
+import re
+
+SPACES = " \t\n\x0b\x0c\r"
+LOWER = {c: c + 32 for c in range(65, 91)}
+KINDS_OF_SECRETS = ("assign", "access", "hex", "markov")
+KINDS_OF_PII = ("email", "ip", "card", "phone", "iban", "ssn", "national_phone")
+
+
+def sha256(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def luhn(digits):
+    total = 0
+    for place, digit in enumerate(map(int, reversed(digits))):
+        total += digit if place % 2 == 0 else sum(map(int, str(2 * digit)))
+    return total % 10 == 0
+
+
+def _spans(text, patterns, keep):
+    found = []
+    for kind, pattern in patterns:
+        for m in re.finditer(pattern, text or ""):
+            if keep(kind, m):
+                found.append((m.start(), [k for k, _ in patterns].index(kind), m.end(), kind))
+    return [(kind, start, end) for start, _, end, kind in sorted(found)]
+
+
+def secrets(text):
+    patterns = [
+        ("assign", r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+        ("access", r"AKIA[A-Z0-9]+"),
+        ("hex", r"[0-9a-f]+"),
+    ]
+
+    def keep(kind, m):
+        return {"assign": len(m[m.lastindex or 0]) >= 6, "access": len(m[0]) >= 20, "hex": len(m[0]) >= 24}[kind]
+
+    return _spans(text, patterns, keep)
+
+
+def pii(text):
+    patterns = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ]
+
+    def keep(kind, m):
+        digits = re.sub("[^0-9]", "", m[0])
+        return {
+            "email": True,
+            "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+            "card": 14 <= len(digits) <= 19 and luhn(digits),
+            "phone": 10 <= len(digits) <= 15,
+        }[kind]
+
+    return _spans(text, patterns, keep)
+
+
+def digest(spans):
+    return sha256(",".join(f"{k}:{s}:{e}" for k, s, e in spans))
+
+
+def line_dedup(rows, least=10):
+    """(doc_id, n_lines, n_dropped, kept text) of (doc_id, text) rows."""
+    split = [(i, (t or "").split("\n")) for i, t in rows]
+
+    def key(line):
+        return line.strip(SPACES).translate(LOWER)
+
+    seen = collections.Counter(k for _, lines in split for k in {key(x) for x in lines} if k)
+    out = []
+    for i, lines in split:
+        kept = [x for x in lines if not key(x) or seen[key(x)] < least]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def quality_counts(text):
+    text = text or ""
+    words = text.encode().split()
+    words = [w.decode() for w in words]
+    lines, duplicates, seen = text.split("\n"), 0, set()
+    for line in lines:
+        if line.strip(SPACES):
+            duplicates += line in seen
+            seen.add(line)
+    windows = collections.defaultdict(list)
+    for i in range(len(words) - 4):
+        windows[tuple(words[i : i + 5])].append(i)
+    covered = {i + k for at in windows.values() if len(at) > 1 for i in at for k in range(5)}
+    symbols = sum(text.count(c) for c in "#*$%&|<>")
+    return len(words), sum(map(len, words)), symbols, duplicates, len(covered)
+
+
+def contamination(documents, items):
+    """(doc_id, n_words, n_hit, item ids) of (id, text) rows."""
+
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+    windows = []
+    for item, text in items:
+        w = words(text)
+        windows += [(item, tuple(w[i : i + 10])) for i in range(max(1, len(w) - 9)) if w]
+    out = []
+    for doc, text in documents:
+        w, hit, found = words(text), set(), set()
+        for item, window in windows:
+            for i in range(len(w) - len(window) + 1):
+                if tuple(w[i : i + len(window)]) == window:
+                    hit.update(range(i, i + len(window)))
+                    found.add(str(item))
+        out.append((doc, len(w), len(hit), sorted(found)))
+    return out
+
+
+def components(documents, n=4, num=85, den=100):
+    """(doc_id, n_shingles, component_id) of (doc_id, text) rows."""
+    sets = []
+    for i, text in documents:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+        grams = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+        sets.append((i, grams or ({tuple(w)} if w else set())))
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        both = len(sets[a][1] & sets[b][1])
+        if both and den * both >= num * len(sets[a][1] | sets[b][1]):
+            parent[root(a)] = root(b)
+    smallest = {}
+    for k, (i, _) in enumerate(sets):
+        if i is not None:
+            smallest[root(k)] = min(smallest.get(root(k), i), i)
+    return [(i, len(s), smallest.get(root(k))) for k, (i, s) in enumerate(sets)]
+
+
+def url_parts(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    return host.translate(LOWER), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def url_rule(host, path, rules):
+    best = None
+    for verdict, rule_host, rule_path in rules:
+        rule = rule_host + rule_path
+        fits = (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path)
+        if fits and (best is None or len(rule) > len(best[0])):
+            best = rule, verdict
+    return best

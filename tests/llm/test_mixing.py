@@ -1,0 +1,102 @@
+import collections
+import random
+
+from cardex.llm import mixing as M
+from llm_data import documents, odd, odd_rows, prose  # noqa: F401
+
+
+def deviations(order, parts):
+    """The largest difference, in blocks, between what ran and its target after any slot."""
+    total, ran, worst = sum(parts.values()), collections.Counter(), 0
+    for slot, source in enumerate(order, 1):
+        ran[source] += 1
+        worst = max(worst, *(abs(ran[s] * total - slot * p) / total for s, p in parts.items()))
+    return worst
+
+
+def test_less_than_a_block_off_in_any_period():
+    choice = random.Random(7)
+    for _ in range(150):
+        parts = {str(i): choice.randint(1, 40) for i in range(choice.randint(1, 14))}
+        slots = M.period(parts)
+        order = [s for _, s in sorted((t, s) for s, ts in slots.items() for t in ts)]
+        assert sorted(t for ts in slots.values() for t in ts) == list(range(sum(parts.values())))
+        assert deviations(order, parts) < 1
+
+
+def test_phases_place_every_block_once():
+    choice = random.Random(9)
+    for _ in range(60):
+        parts = {str(i): choice.randint(1, 9) for i in range(choice.randint(1, 6))}
+        blocks = {s: choice.randint(0, 60) for s in parts}
+        slots, by_phase = {}, collections.defaultdict(list)
+        for source, phase, first, last, own, period, offset, within in M.phases(blocks, parts):
+            for block in range(first, last):
+                slot = offset + (block - first) // own * period + within[(block - first) % own]
+                slots[slot] = (source, block)
+                by_phase[phase].append((slot, source))
+        assert sorted(slots) == list(range(sum(blocks.values())))
+        for source, n in blocks.items():
+            assert [b for _, (s, b) in sorted(slots.items()) if s == source] == list(range(n))
+        for phase in by_phase.values():
+            sources = {s for _, s in phase}
+            # all sources that still had blocks take part, and keep to their targets
+            assert deviations([s for _, s in sorted(phase)], {s: parts[s] for s in sources}) < 1
+
+
+def check(documents, rows, **options):
+    table = documents(rows)
+    found = M.mixed(table, block_chars=200, **options).collect()
+    assert odd(tuple(r._row) for r in found) == odd(map(tuple, table.collect()))
+    for source in {r._source for r in found}:
+        own = sorted((r for r in found if r._source == source), key=lambda r: (r._place, repr(r._id)))
+        at = 0
+        for r in own:
+            if r._place != at:
+                # repeated rows have one place in the order, and so may share it
+                assert r._place <= at
+            at = max(at, r._place + r._size)
+            assert r._block == r._place // 200
+    slots = collections.defaultdict(set)
+    for r in found:
+        slots[r._slot].add((r._source, r._block))
+    assert all(len(s) == 1 for s in slots.values())
+    return found
+
+
+def test_every_document_has_its_slot(documents, odd_rows):
+    check(documents, odd_rows)
+    rows = [(i, prose(i, 5 + i % 40)) for i in range(300)]
+    found = check(documents, rows, parts={"src0": 3, "src1": 1, None: 2})
+    first = [r for r in found if r._phase == 0]
+    order = [s for _, s in sorted({(r._slot, r._source) for r in first})]
+    assert collections.Counter(order).most_common(1)[0][0] == "src0"
+
+
+def test_windows_are_split(documents, monkeypatch):
+    rows = [(i, prose(i, 5 + i % 40)) for i in range(200)]
+    whole = {r._id: (r._slot, r._place) for r in check(documents, rows)}
+    monkeypatch.setattr(M, "CHUNK_ROWS", 10)
+    assert {r._id: (r._slot, r._place) for r in check(documents, rows)} == whole
+
+
+def test_order_of_the_stored_documents(spark, documents, tmp_path):
+    rows = [(i, prose(i, 30)) for i in range(100)]
+    places = {r._id: (r._slot, r._place) for r in M.mixed(documents(rows)).collect()}
+    M.in_mixed_order(documents(rows)).write.parquet(str(tmp_path / "mixed"))
+    stored = spark.read.parquet(str(tmp_path / "mixed"))
+    assert stored.columns == documents(rows).columns
+    order = stored.select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
+    ids = [r.doc_id for r in sorted(order, key=lambda r: (r.file_name, r.row_index))]
+    assert ids == sorted(places, key=places.get)
+
+
+def test_default_parts():
+    parts = M.default_parts({"a": 100, "b": 400, None: 1})
+    assert sum(parts.values()) == M.PARTS and parts["b"] > parts["a"] > parts[None] >= 1
+    many = {str(i): 1 for i in range(5000)}
+    assert min(M.default_parts(many).values()) >= 1
+
+
+def test_empty_table(documents):
+    assert M.mixed(documents([(1, "x")]).where("false")).collect() == []

@@ -1,0 +1,98 @@
+import struct
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from cardex.llm import tokens as T
+from cardex.session import scratch_dir
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_data import documents, odd_rows, prose  # noqa: F401
+from pyspark.sql import functions as F
+
+PATH = T.tokenizer_path()
+TEXTS = [
+    "Hello <|endoftext|> World <|ENDOFTEXT|>",
+    "a\x1cb c\x1dd \x00x \x7f",
+    "Don't I'LL you're 12ab3!! ''S 's's",
+    "É́a ÀB İstanbul ΣΑΣ ſtraße K Å é ́e",
+    "x y z　w\x85v",
+    "\U0001f600\U0001f601 ok naïve-café's 中文字",
+    "a" * 5000,
+]
+
+
+def whole(texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(PATH)
+    return [tokenizer.encode(t or "", add_special_tokens=False).ids + [T.END_ID] for t in texts]
+
+
+def encoded(texts):
+    ids, counts = T.encoder(PATH).encode(pa.array(texts, pa.string()))
+    return [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_same_ids_as_whole_texts():
+    assert encoded(TEXTS) == whole(TEXTS)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.one_of(st.sampled_from("aB' .<|>\t0é"), st.characters(exclude_categories=["Cs"]))), min_size=1, max_size=4))
+def test_same_ids_for_any_text(texts):
+    assert encoded(texts) == whole(texts)
+
+
+def test_forgetting_words(monkeypatch):
+    monkeypatch.setattr(T, "REMEMBERED", 3)
+    for i in range(5):
+        texts = [prose(i, 30), prose(i + 1, 30)]
+        assert encoded(texts) == whole(texts)
+
+
+@given(st.lists(st.integers(0, 2**32 - 1)))
+def test_numbers_round_trip(numbers):
+    control, data = T.encode_numbers(np.array(numbers, np.uint32))
+    found = T.decode_numbers(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), len(numbers))
+    assert found.tolist() == numbers
+
+
+def test_frequent_ids_take_one_byte():
+    ids = np.concatenate([np.full(1000, 40_000), np.arange(300)])
+    content = T.encode_block(2, 5, [b"a", None], np.array([1000, 300]), ids)
+    keys, counts, found = T.decode_block(content)
+    assert (keys, counts.tolist(), found.tolist()) == ([b"a", None], [1000, 300], ids.tolist())
+    assert T.read_header(content) == (2, 5, 2, 1300)
+    assert len(content) < 1300 * 1.25 + 4 * 301 + 200
+
+
+@pytest.mark.parametrize("block_bytes", [T.BLOCK_BYTES, 500])
+def test_files(spark, documents, odd_rows, monkeypatch, block_bytes):
+    monkeypatch.setattr(T, "BLOCK_BYTES", block_bytes)
+    rows = odd_rows + list(enumerate(TEXTS, 1000)) + [(2000 + i, prose(i, 80)) for i in range(60)]
+    path = scratch_dir(spark, "tokens")
+    T.write_tokens(documents(rows), path, PATH)
+    found = sorted(T.token_digest(spark, path).collect(), key=lambda r: r.start)
+    ids = [r.doc_id for r in found]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i))
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1]]
+    expected = sorted(
+        (str(i), len(x), zlib.crc32(struct.pack(f"<{len(x)}I", *x))) for (i, _), x in zip(rows, whole([t for _, t in rows]))
+    )
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in found) == expected
+
+
+def test_given_order(spark, documents):
+    rows = [(i, prose(i, 20)) for i in range(40)]
+    path = scratch_dir(spark, "tokens")
+    T.write_tokens(documents(rows), path, PATH, order=[-F.col("doc_id")])
+    found = sorted(T.token_digest(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == list(range(39, -1, -1))
+
+
+def test_empty_table(spark, documents):
+    path = scratch_dir(spark, "tokens")
+    T.write_tokens(documents([(1, "x")]).where("false"), path, PATH)
+    assert T.token_digest(spark, path).collect() == []
