@@ -33,7 +33,7 @@ SIMILARITY = (85, 100)
 # Bits of a hash that name its fragment.
 FRAGMENT_BITS = 2
 # Rows of 8 bytes that may be broadcast; more of them join by a shuffle.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 
 WORD = rf"[^{SPACE_CLASS}]+"
 
@@ -91,13 +91,15 @@ def _screened(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     per task.  A chance collision of hashes only lets a class through in vain.
     """
     spark = rows.sparkSession
-    last = f"element_at(_set, {_prefix('_n', similarity)})"
+    last = f"get(_set, {_prefix('_n', similarity)} - 1)"
+    # conditions on what is aggregated: others Spark would move below the hashing of
+    # n-grams, which would then run twice
     heads = store(
         spark,
-        rows.where("_n > 0")
-        .select(*CLASS, F.expr(f"filter(_set, h -> {_fragment('h')} <= {_fragment(last)}) as _head"))
+        rows.select(*CLASS, F.expr(f"filter(_set, h -> {_fragment('h')} <= {_fragment(last)}) as _head"))
         .groupBy(*CLASS)
-        .agg(F.first("_head").alias("_head")),
+        .agg(F.first("_head").alias("_head"))
+        .where(F.size("_head") > 0),
         "heads",
     )
     tokens = heads.select("_n", "_first", F.expr("explode_outer(_head) as _gram"))
@@ -284,9 +286,9 @@ def ngram_components(
     sets = store(
         spark,
         _classes(chosen, "_source", "_text", n)
-        .where("_n > 0")
         .groupBy(*CLASS)
         .agg(F.first("_set").alias("_set"))
+        .where(F.size("_set") > 0)
         .select(F.monotonically_increasing_id().alias("c"), F.col("_n").alias("n"), "_first", "_second", "_set"),
         "sets",
     )
