@@ -115,7 +115,7 @@ def test_bad_files_fail_the_batch_unless_skipped(site):
         site.run(files_per_batch=10)
     records = H.stream_archives(site.spark, site.root, "CRAWL", 10, skip_bad_files=True)
     H.harvest(records, "CRAWL", site.table, site.checkpoint, STAMP).awaitTermination()
-    assert len(site.contacts()) == 6
+    assert len(site.contacts()) == 5
 
 
 def test_categories_are_read_anew_for_every_batch(site):
