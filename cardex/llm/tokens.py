@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,20 +26,36 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from cardex.llm import arrays
+from cardex.llm.common import store
 from cardex.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
+_END = array("I", [END_ID]).tobytes()
 # Bytes of text of a block (one document more at most).
 BLOCK_BYTES = 8 * 1024 * 1024
+# Bytes of text encoded at a time (one document more at most).
+SLICE_BYTES = 4 * 1024 * 1024
 # Words whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 
 MAGIC = b"CXTOK1\x00\n"
 # partition, number in the partition, documents, tokens, distinct ids, data bytes
 _HEADER = struct.Struct("<8s6q")
 
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Words that fall into pieces of plain letters, digits and marks.
+_PLAIN = re.compile(r"[!-~ß-öø-ÿ]+")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+_BYTES = _byte_characters()
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -128,8 +145,8 @@ class Encoder:
     """Ids of texts, the same as encoding each text whole, with words remembered.
 
     The tokenizer never joins characters across white space, and it lower-cases.  So a
-    text's ids are those of its words; words of ASCII letters, digits and marks fall
-    into pieces that its model encodes one by one.  Other words are encoded by the
+    text's ids are those of its words; words of plain Latin letters, digits and marks
+    fall into pieces that its model encodes one by one.  Other words are encoded by the
     tokenizer itself, and so is a whole text in which a special token may stand.
     """
 
@@ -138,80 +155,94 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.known: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        # ids as bytes of unsigned 32-bit integers, so that many join at once
+        self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else "".join(_BYTES[b] for b in piece.encode())
+        found = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        return found
 
-    def _remember(self, words: list[str]) -> None:
-        others = []
+    def _remember(self, words: list[bytes]) -> None:
+        others, pieces = [], self.pieces
         for word in words:
-            if not (word.isascii() and word.isprintable()):
+            text = word.decode()
+            if not text.isascii():
+                text = text.lower()
+            if _PLAIN.fullmatch(text):
+                parts = [pieces.get(p) or self._piece(p) for p in _PIECES.findall(text)]
+                self.known[word] = parts[0] if len(parts) == 1 else b"".join(parts)
+            else:
                 others.append(word)
-                continue
-            ids: list[int] = []
-            for piece in _PIECES.findall(word):
-                found = self.pieces.get(piece)
-                if found is None:
-                    found = self.pieces[piece] = [t.id for t in self.model.tokenize(piece)]
-                ids += found
-            self.known[word] = ids
         if others:
-            self.known.update(zip(others, self._joined(others)))
+            self.known.update(zip(others, self._joined([w.decode() for w in others])))
 
-    def _joined(self, words: list[str]) -> list[list[int]]:
+    def _joined(self, words: list[str]) -> list[bytes]:
         """Ids of words encoded as one text, told apart by their places in it."""
         encoded = self.tokenizer.encode("\n".join(words), add_special_tokens=False)
         ends = np.cumsum([len(w) + 1 for w in words])
         starts = np.array([start for start, _ in encoded.offsets], np.int64)
         cuts = np.searchsorted(starts, ends)
-        ids, found, at = encoded.ids, [], 0
-        for cut in cuts:
-            found.append(ids[at:cut])
-            at = cut
-        return found
+        ids = np.array(encoded.ids, np.uint32)
+        return [part.tobytes() for part in np.split(ids, cuts[:-1])]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's with the end id last, and how many each text has."""
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(~special), texts, "") if special.any() else texts
-        flat, places = arrays.words(pc.ascii_lower(plain))
+        flat, places = arrays.words(_parted(pc.ascii_lower(plain)))
         codes, distinct = arrays.codes(flat)
-        words = distinct.to_pylist()
+        words = _byte_strings(distinct)
         if len(self.known) > REMEMBERED:
             self.known.clear()
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
-        self._remember([w for w in words if w not in self.known])
-        per_word = [self.known[w] for w in words]
-        sizes = np.array([len(ids) for ids in per_word], np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        table = np.fromiter((i for ids in per_word for i in ids), np.uint32, int(starts[-1]))
-        # every word's ids, and the end id behind each text's last word
-        lengths = sizes[codes] if len(codes) else np.zeros(0, np.int64)
-        counts = arrays.sums(lengths, places)
-        flat_ids = table[_ranges(starts[:-1][codes], lengths)] if len(codes) else table[:0]
-        if special.any():
-            return self._with_whole(texts, special, flat_ids, counts)
-        ends = np.cumsum(counts)
-        return np.insert(flat_ids, ends, END_ID), counts + 1
-
-    def _with_whole(self, texts, special, flat_ids, counts) -> tuple[np.ndarray, np.ndarray]:
-        parts, at = [], 0
-        whole = iter(self._whole(texts.filter(pa.array(special)).to_pylist()))
-        for own, count in zip(special, counts):
-            ids = np.array(next(whole), np.uint32) if own else flat_ids[at : at + count]
-            at += count
-            parts.append(np.append(ids, np.uint32(END_ID)))
-        return np.concatenate(parts).astype(np.uint32), np.array([len(p) for p in parts], np.int64)
-
-
-def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers from each start on, as many as its length, one after another."""
-    ends = np.cumsum(lengths)
-    shift = np.repeat(starts - np.concatenate([[0], ends[:-1]]), lengths)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + shift
+        known = self.known
+        self._remember([w for w in words if w not in known])
+        per_word = [*map(known.__getitem__, words), _END]
+        # the end id behind each text's last word
+        flow = np.insert(codes, places[1:], len(words))
+        ids = np.frombuffer(b"".join(map(per_word.__getitem__, flow.tolist())), np.uint32)
+        sizes = np.fromiter(map(len, per_word), np.int64, len(per_word)) // 4
+        counts = arrays.sums(sizes[codes], places) + 1
+        return self._with_whole(texts, special, ids, counts) if special.any() else (ids, counts)
+
+    def _with_whole(self, texts, special, ids, counts) -> tuple[np.ndarray, np.ndarray]:
+        marked = texts.filter(pa.array(special)).to_pylist()
+        whole = iter(self.tokenizer.encode_batch(marked, add_special_tokens=False))
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        parts = [np.array([*next(whole).ids, END_ID], np.uint32) if own else p for own, p in zip(special, parts)]
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
+
+def _byte_strings(values: pa.Array) -> list[bytes]:
+    data, places = arrays.text_bytes(values)
+    held, cuts = data.tobytes(), places.tolist()
+    return [held[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+_LETTERS, _STOPS, _GAPS = (np.isin(np.arange(256), list(c)) for c in (range(97, 123), b".,", b" \t\n\x0b\x0c\r"))
+
+
+def _parted(texts: pa.Array) -> pa.Array:
+    """The texts with a space before a stop or comma between a letter and white space.
+
+    There the tokenizer begins a new piece anyway, and far fewer words are distinct.
+    """
+    data, places = arrays.text_bytes(texts)
+    if len(data) < 2:
+        return texts
+    # a text's last character is followed by the next text's first, which is no matter:
+    # it stays with its word then
+    found = np.flatnonzero(_STOPS[data[1:-1]] & _LETTERS[data[:-2]] & _GAPS[data[2:]]) + 1
+    # of a text's own characters only
+    owner = np.searchsorted(places, found, side="right") - 1
+    own = (found > places[owner]) & (found + 1 < places[owner + 1])
+    found = found[own]
+    moved = places + np.searchsorted(found, places, side="left")
+    buffers = [None, pa.py_buffer(moved.astype(np.int32)), pa.py_buffer(np.insert(data, found, 32))]
+    return pa.Array.from_buffers(pa.string(), len(texts), buffers)
 
 
 # Of the worker's process, which handles many tasks: what it remembers stays.
@@ -237,7 +268,7 @@ def _blocks(path: str):
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
         for batch in batches:
-            for part in arrays.slices(batch, "_text"):
+            for part in arrays.slices(batch, "_text", SLICE_BYTES):
                 texts = arrays.filled(part["_text"])
                 found, lengths = own.encode(texts)
                 keys += [None if k is None else k.encode() for k in part["_key"].to_pylist()]
@@ -306,6 +337,10 @@ def block_starts(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in found], pa.schema([(n, pa.int64()) for n in names]))
 
     heads = _files(spark, path).select(F.substring("content", 1, _HEADER.size).alias("content")).mapInArrow(run, schema)
+    return _starts(heads)
+
+
+def _starts(heads: DataFrame) -> DataFrame:
     before = Window.rowsBetween(Window.unboundedPreceding, -1)
     within = heads.select(
         "partition",
@@ -370,7 +405,10 @@ def token_digest(spark: SparkSession, path: str, id_col: str = "doc_id", id_type
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
-    return digests.join(block_starts(spark, path), ["partition", "number"]).select(
+    # stored, so that the files are decoded once for the rows and for what precedes them
+    digests = store(spark, digests, "digests")
+    sizes = digests.groupBy("partition", "number").agg(F.sum("n_tokens").alias("tokens"))
+    return digests.join(_starts(sizes), ["partition", "number"]).select(
         id_col, (F.col("start") + F.col("place")).alias("start"), "n_tokens", "ids_crc32"
     )
 
