@@ -108,11 +108,14 @@ def store(spark: SparkSession, frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back: cuts the lineage."""
     path = scratch_dir(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    stored = spark.read.schema(frame.schema).parquet(path)
+    stored.stored_path = path
+    return stored
 
 
-def rows_bytes(frame: DataFrame, *columns: str) -> tuple[int, int]:
-    """Rows, and bytes of the named text or binary columns, counted by a Spark job."""
-    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0))
-    row = frame.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return row[0], row[1]
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``store`` wrote for frames that nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.stored_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardex.llm.common import store
+from cardex.llm.common import discard, store
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     state = _state(edges)
     while state[0]:
-        edges = store(spark, _small_star(_large_star(edges)), "edges")
+        before, edges = edges, store(spark, _small_star(_large_star(edges)), "edges")
+        discard(before)
         if state == (state := _state(edges)):
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cardex.llm.common import SPACE_CLASS, ascii_lower, let, store, words_sql
+from cardex.llm.common import SPACE_CLASS, ascii_lower, discard, let, store, words_sql
 from cardex.llm.components import components
 
 NGRAM = 4
@@ -33,7 +33,7 @@ SIMILARITY = (85, 100)
 # Bits of a hash that name its fragment.
 FRAGMENT_BITS = 2
 # Rows of 8 bytes that may be broadcast; more of them join by a shuffle.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 
 WORD = rf"[^{SPACE_CLASS}]+"
 
@@ -123,12 +123,10 @@ def _screened(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
             f" f -> named_struct('f', f, 'upto', size(filter(_head, h -> {_fragment('h')} <= f))))) as _cut"
         ),
     ).select("_first", "_n", F.col("_cut.f").alias("_fragment"), F.col("_cut.upto").alias("_upto"))
-    return (
-        met.join(own, ["_first", "_n", "_fragment"])
-        .where(f"_upto - _met < {_prefix('_n', similarity)}")
-        .select("_first", "_n")
-        .distinct()
-    )
+    found = met.join(own, ["_first", "_n", "_fragment"]).where(f"_upto - _met < {_prefix('_n', similarity)}")
+    screened = store(spark, found.select("_first", "_n").distinct(), "screened")
+    discard(heads, shared)
+    return screened
 
 
 def _postings(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -154,7 +152,9 @@ def _postings(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         "prefixes",
     )
     useful = prefixes.groupBy("_gram").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1")
-    return store(spark, prefixes.join(useful.select("_gram"), "_gram", "left_semi"), "postings")
+    postings = store(spark, prefixes.join(useful.select("_gram"), "_gram", "left_semi"), "postings")
+    discard(counts, prefixes)
+    return postings
 
 
 def _may_link(similarity: tuple[int, int]) -> str:
@@ -184,29 +184,29 @@ def _star_pairs(postings: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     )
 
 
-def _cross_pairs(postings: DataFrame, labels: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _marked(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings with the component that each class is in by now."""
+    joined = postings.join(labels.withColumnRenamed("node", "c"), "c", "left").select(
+        "_gram", "c", "n", "place", F.coalesce("component", "c").alias("component")
+    )
+    return store(postings.sparkSession, joined, "marked")
+
+
+def _cross_pairs(marked: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """``a, b``: all pairs of a list that may link and are in different components.
 
     Sizes are joined by classes of their logarithm, as a pair's sizes lie within a
     factor; lists whose classes are all of one component drop out first.
     """
     num, den = similarity
-    marked = store(
-        postings.sparkSession,
-        postings.join(labels.withColumnRenamed("node", "c"), "c", "left").select(
-            "_gram", "c", "n", "place", F.coalesce("component", "c").alias("component")
-        ),
-        "marked",
-    )
     mixed = (
         marked.groupBy("_gram")
         .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
         .where("_low <> _high")
         .select("_gram")
     )
-    left = marked.join(mixed, "_gram", "left_semi").withColumn(
-        "size_class", F.expr(f"cast(floor(ln(n) / ln({den}D / {num}D)) as int)")
-    )
+    classes = f"cast(floor(ln(n) / ln({den}D / {num}D)) as int)" if num < den else "n"
+    left = marked.join(mixed, "_gram", "left_semi").withColumn("size_class", F.expr(classes))
     # the larger of a pair is at most one size class above; rounding may add another
     right = left.withColumn("size_class", F.explode(F.array(*(F.col("size_class") + k for k in (0, -1, -2)))))
     return (
@@ -250,8 +250,10 @@ def _class_links(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     star = store(spark, _star_pairs(postings, similarity), "star")
     links = store(spark, _verified(star, segments, similarity), "links")
     labels = components(links)
-    rest = _cross_pairs(postings, labels, similarity).join(star, ["a", "b"], "left_anti")
+    marked = _marked(postings, labels)
+    rest = _cross_pairs(marked, similarity).join(star, ["a", "b"], "left_anti")
     more = store(spark, _verified(rest, segments, similarity), "links")
+    discard(marked, postings, star, links)
     if more.isEmpty():
         return labels
     joined = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
@@ -276,7 +278,7 @@ def ngram_components(
     spark = documents.sparkSession
     rows = _classes(documents, id_col, text_col, n)
     members = store(spark, rows.select("_id", *CLASS), "members")
-    screened = store(spark, _screened(rows, similarity), "screened")
+    screened = _screened(rows, similarity)
     classes = members.where("_n > 0").groupBy(*CLASS).agg(F.min("_id").alias("_id"))
     wanted = store(spark, classes.join(screened, ["_first", "_n"], "left_semi"), "wanted")
     ids = _small(wanted.select(F.col("_id").alias("_wanted")).distinct())
@@ -300,6 +302,7 @@ def ngram_components(
         .select(*CLASS, F.col("component").alias("_component")),
         "named",
     )
+    discard(sets, screened, wanted)
     by_component = (
         named.join(classes, CLASS).groupBy("_component").agg(F.min("_id").alias("_smallest"))
     )
