@@ -29,7 +29,7 @@ PARTS_PER_SOURCE = 4
 # Default weights are the sources' sizes to this power: large sources are damped.
 DAMPING = 0.5
 # Rows of a window of running sizes.
-CHUNK_ROWS = 50_000
+CHUNK_ROWS = 5_000
 
 
 def default_parts(sizes: Mapping[str | None, int]) -> dict[str | None, int]:
