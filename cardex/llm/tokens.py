@@ -37,7 +37,7 @@ BLOCK_BYTES = 8 * 1024 * 1024
 # Bytes of text encoded at a time (one document more at most).
 SLICE_BYTES = 4 * 1024 * 1024
 # Words whose ids a worker remembers.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 
 MAGIC = b"CXTOK1\x00\n"
 # partition, number in the partition, documents, tokens, distinct ids, data bytes
