@@ -15,7 +15,8 @@ Within a list of classes that share an n-gram, every class is first compared wit
 list's most central one.  What these links connect needs no further comparison within
 itself; all remaining pairs, between different components, are compared after that.
 So a large group of near copies costs a comparison or two for each, and no link
-between components is lost.
+between components is lost.  That is enough for ``ngram_components``; ``ngram_join``
+and ``ngram_links`` compare all candidate pairs and return or count every link.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SIMILARITY = (85, 100)
 FRAGMENT_BITS = 2
 # Rows of 8 bytes that may be broadcast; more of them join by a shuffle.
 BROADCAST_ROWS = 200_000
+# Classes of one list that a block holds; the pairs of two blocks are made together.
+BLOCK = 500
 
 WORD = rf"[^{SPACE_CLASS}]+"
 
@@ -219,8 +222,37 @@ def _cross_pairs(marked: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, segments: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``a, b`` that link: overlaps counted per fragment and summed per pair."""
+def _all_pairs(postings: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``a, b``: all pairs of a list that may link.
+
+    Lists are dealt by hash into blocks, and a task joins two blocks of one list, so a
+    list of any length makes tasks of at most about ``BLOCK`` times ``BLOCK`` pairs.
+    """
+    lists = postings.groupBy("_gram").agg(F.expr(f"cast(ceil(count(1) / {BLOCK}) as int) as _blocks"))
+    dealt = store(
+        postings.sparkSession,
+        postings.join(lists, "_gram").withColumn("_block", F.expr("cast(pmod(xxhash64(c), _blocks) as int)")),
+        "dealt",
+    )
+    others = F.expr("explode(sequence(0, _blocks - 1))")
+    left = dealt.withColumn("_other", others)
+    right = dealt.withColumn("_mine", F.col("_block")).withColumn("_block", others).withColumnRenamed("_mine", "_other")
+    pairs = store(
+        postings.sparkSession,
+        left.alias("x")
+        .join(right.alias("y"), ["_gram", "_block", "_other"])
+        .where("(x.n < y.n or x.n = y.n and x.c < y.c)")
+        .where(_may_link(similarity))
+        .select(F.expr("least(x.c, y.c) as a"), F.expr("greatest(x.c, y.c) as b"))
+        .distinct(),
+        "pairs",
+    )
+    discard(dealt)
+    return pairs
+
+
+def _overlaps(pairs: DataFrame, segments: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``a, b, _overlap`` of pairs that link: counted per fragment and summed per pair."""
     num, den = similarity
     left = segments.select(F.col("c").alias("a"), F.col("n").alias("n_a"), "_fragment", F.col("_grams").alias("_left"))
     right = segments.select(F.col("c").alias("b"), F.col("n").alias("n_b"), "_fragment", F.col("_grams").alias("_right"))
@@ -231,15 +263,18 @@ def _verified(pairs: DataFrame, segments: DataFrame, similarity: tuple[int, int]
         .groupBy("a", "b", "n_a", "n_b")
         .agg(F.sum("_partial").alias("_overlap"))
         .where(f"{den}L * _overlap >= {num}L * (n_a + n_b - _overlap)")
-        .select("a", "b")
+        .select("a", "b", "_overlap")
     )
 
 
-def _class_links(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``node, component`` over the classes ``sets(c, n, _set)`` that have links."""
-    spark = sets.sparkSession
-    postings = _postings(sets, similarity)
-    segments = sets.select(
+def _verified(pairs: DataFrame, segments: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``a, b`` that link."""
+    return _overlaps(pairs, segments, similarity).select("a", "b")
+
+
+def _segments(sets: DataFrame) -> DataFrame:
+    """``c, n, _fragment, _grams``: the sets of ``sets(c, n, _set)`` cut into fragments."""
+    return sets.select(
         "c",
         "n",
         F.expr(
@@ -247,6 +282,13 @@ def _class_links(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
             f" f -> named_struct('f', f, 'grams', filter(_set, h -> {_fragment('h')} = f)))) as _segment"
         ),
     ).select("c", "n", F.col("_segment.f").alias("_fragment"), F.col("_segment.grams").alias("_grams"))
+
+
+def _class_links(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``node, component`` over the classes ``sets(c, n, _set)`` that have links."""
+    spark = sets.sparkSession
+    postings = _postings(sets, similarity)
+    segments = _segments(sets)
     star = store(spark, _star_pairs(postings, similarity), "star")
     links = store(spark, _verified(star, segments, similarity), "links")
     labels = components(links)
@@ -260,21 +302,11 @@ def _class_links(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     return components(joined)
 
 
-def ngram_components(
-    documents: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    n: int = NGRAM,
-    similarity: tuple[int, int] = SIMILARITY,
-) -> DataFrame:
-    """``id_col, n_shingles, component_id`` for every document.
-
-    ``component_id`` is the smallest id among the documents reachable by links, the
-    document's own included.  Documents with equal sets are linked; documents with NULL,
-    empty or wordless text have no n-grams and are linked with nothing.  A NULL id is
-    never the smallest unless the component has no other.  Repeated rows each get their
-    row; other columns are ignored; an empty table gives an empty result.
-    """
+def _screened_sets(
+    documents: DataFrame, id_col: str, text_col: str, n: int, similarity: tuple[int, int]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members (``_id`` and class), classes with their smallest ``_id``, and the sets
+    ``c, n, _first, _second, _set`` of the classes that may have links."""
     spark = documents.sparkSession
     rows = _classes(documents, id_col, text_col, n)
     members = store(spark, rows.select("_id", *CLASS), "members")
@@ -294,6 +326,27 @@ def ngram_components(
         .select(F.monotonically_increasing_id().alias("c"), F.col("_n").alias("n"), "_first", "_second", "_set"),
         "sets",
     )
+    discard(screened, wanted)
+    return members, classes, sets
+
+
+def ngram_components(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n: int = NGRAM,
+    similarity: tuple[int, int] = SIMILARITY,
+) -> DataFrame:
+    """``id_col, n_shingles, component_id`` for every document.
+
+    ``component_id`` is the smallest id among the documents reachable by links, the
+    document's own included.  Documents with equal sets are linked; documents with NULL,
+    empty or wordless text have no n-grams and are linked with nothing.  A NULL id is
+    never the smallest unless the component has no other.  Repeated rows each get their
+    row; other columns are ignored; an empty table gives an empty result.
+    """
+    spark = documents.sparkSession
+    members, classes, sets = _screened_sets(documents, id_col, text_col, n, similarity)
     labels = _class_links(sets.select("c", "n", "_set"), similarity)
     named = store(
         spark,
@@ -302,7 +355,7 @@ def ngram_components(
         .select(*CLASS, F.col("component").alias("_component")),
         "named",
     )
-    discard(sets, screened, wanted)
+    discard(sets)
     by_component = (
         named.join(classes, CLASS).groupBy("_component").agg(F.min("_id").alias("_smallest"))
     )
@@ -316,6 +369,73 @@ def ngram_components(
     )
 
 
+def ngram_join(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n: int = NGRAM,
+    similarity: tuple[int, int] = SIMILARITY,
+) -> tuple[DataFrame, DataFrame]:
+    """Every link: the pairs of classes ``a, b, overlap`` and the members ``id_col, class``.
+
+    Documents with equal sets are one class, ``STRUCT<n, first, second>`` with ``n`` the
+    size of the set, and NULL without words.  Two documents are linked if their classes
+    are equal or a pair; each pair of different classes is there once, with ``a < b`` and
+    the number of n-grams that they share.  Members hold a row for every document's.
+    """
+    spark = documents.sparkSession
+    members, _, sets = _screened_sets(documents, id_col, text_col, n, similarity)
+    shapes = sets.select("c", "n", "_set")
+    postings = _postings(shapes, similarity)
+    pairs = _all_pairs(postings, similarity)
+    links = store(spark, _overlaps(pairs, _segments(shapes), similarity), "links")
+    names = sets.select(
+        "c", F.struct("n", F.col("_first").alias("first"), F.col("_second").alias("second")).alias("_class")
+    )
+    ends = links.join(names.select(F.col("c").alias("a"), F.col("_class").alias("_x")), "a").join(
+        names.select(F.col("c").alias("b"), F.col("_class").alias("_y")), "b"
+    )
+    found = store(
+        spark,
+        ends.select(
+            F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"), F.col("_overlap").alias("overlap")
+        ),
+        "class_pairs",
+    )
+    discard(postings, pairs, links, sets)
+    named = F.struct(F.col("_n").alias("n"), F.col("_first").alias("first"), F.col("_second").alias("second"))
+    return found, members.select(F.col("_id").alias(id_col), F.when(F.col("_n") > 0, named).alias("class"))
+
+
+def ngram_links(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n: int = NGRAM,
+    similarity: tuple[int, int] = SIMILARITY,
+) -> DataFrame:
+    """``id_col, n_shingles, n_links`` for every document: how many other rows it is linked with.
+
+    Rows of equal sets count, repeated rows too; documents without words have no links.
+    """
+    pairs, members = ngram_join(documents, id_col, text_col, n, similarity)
+    sizes = members.where("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("_size"))
+    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = (
+        both.join(sizes.withColumnRenamed("class", "b"), "b")
+        .groupBy(F.col("a").alias("class"))
+        .agg(F.sum("_size").alias("_others"))
+    )
+    linked = sizes.join(others, "class", "left").select(
+        "class", (F.col("_size") - 1 + F.coalesce("_others", F.lit(0))).alias("_links")
+    )
+    return members.join(linked, "class", "left").select(
+        id_col,
+        F.coalesce(F.col("class.n"), F.lit(0)).cast("bigint").alias("n_shingles"),
+        F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"),
+    )
+
+
 def one_per_component(documents: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The documents whose id is their component's smallest; NULL ids stay.
 

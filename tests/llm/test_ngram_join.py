@@ -77,3 +77,46 @@ def test_components_of_long_chains(spark):
     links = spark.createDataFrame(chain, "a long, b long")
     found = {r.node: r.component for r in components(links).collect()}
     assert found == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
+
+
+def all_links(docs, n=4, num=85, den=100):
+    """Sets by row, and the pairs of rows that link, compared one by one."""
+    sets = []
+    for _, text in docs:
+        w = (text or "").translate(plain.LOWER).split()
+        sets.append(frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) or frozenset([tuple(w)] * bool(w)))
+    pairs = [(i, j) for j in range(len(sets)) for i in range(j) if sets[i] and den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j])]
+    return sets, pairs
+
+
+@pytest.mark.parametrize("block", [N.BLOCK, 3])
+def test_every_link_is_returned(documents, monkeypatch, block):
+    monkeypatch.setattr(N, "BLOCK", block)
+    docs = rows() + [(40_000, ""), (40_001, None), (40_002, "one two")]
+    docs += [(60_000 + k, edited(prose(77, 200), 0.003, 900 + k)) for k in range(20)]
+    sets, expected = all_links(docs)
+    pairs, members = N.ngram_join(documents(docs))
+    number = {i: k for k, (i, _) in enumerate(docs)}
+    chosen = {}
+    for r in members.collect():
+        assert (r["class"] is None) == (not sets[number[r.doc_id]])
+        chosen.setdefault(r["class"], []).append(number[r.doc_id])
+    chosen.pop(None)
+    assert all(len({sets[k] for k in group}) == 1 for group in chosen.values())
+    found = [(chosen[r.a][0], chosen[r.b][0], r.overlap) for r in pairs.collect()]
+    wanted = {frozenset((sets[i], sets[j])) for i, j in expected if sets[i] != sets[j]}
+    assert len(found) == len(wanted) > 100
+    assert {frozenset((sets[i], sets[j])) for i, j, _ in found} == wanted
+    assert all(overlap == len(sets[i] & sets[j]) for i, j, overlap in found)
+
+
+def test_links_are_counted_per_document(documents, odd_rows):
+    docs = rows()[::2] + odd_rows + [(50_000, rows()[30][1])] * 3
+    sets, expected = all_links(docs)
+    links = [0] * len(docs)
+    for i, j in expected:
+        links[i] += 1
+        links[j] += 1
+    found = N.ngram_links(documents(docs)).collect()
+    assert odd(tuple(r) for r in found) == odd((i, len(s), k) for (i, _), s, k in zip(docs, sets, links))
+    assert N.ngram_links(documents(docs).where("false")).collect() == []
