@@ -2,10 +2,10 @@
 
 Rules decide what they cover; the pages that they decide are also the labels.  Per host
 the paths form a tree of templates: segments are first generalised by their characters,
-and where a node still has many rare children, by a wildcard.  Neighbouring branches of a
-host whose labels do not tell them apart are merged, and a branch is rejected if its
-labelled share of blocked pages, smoothed towards the share of its template on all
-hosts, is high enough and rests on labelled pages.
+and where a node still has many rare children, these by a wildcard.  Neighbouring
+branches of a host whose labels do not tell them apart are merged, and a branch is
+rejected if its labelled share of blocked pages, smoothed towards the share of its
+template on all hosts, is high enough and rests on labelled pages.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ RULES = (
 
 # Levels of the tree; deeper segments share their ancestor's template.
 DEPTH = 4
-# A node's children become a wildcard if there are more than this many, and each holds
-# on average no more than the given share of the node's pages.
+# A node's rare children become a wildcard if there are more than this many; rare is a
+# child that holds no more than the given share of the node's pages.
 MANY_CHILDREN = 20
 RARE_SHARE = 0.1
 # Two branches whose shares differ by fewer standard errors are merged.
@@ -78,9 +78,9 @@ def templates(pages: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``pages(_host, _path, ...)`` with ``_template``: its leaf in the host's tree.
 
     Level by level, a node's children are counted (partially before the shuffle, so a
-    host with a third of all pages is a few rows per task) and either kept or replaced
-    by a wildcard.  Only distinct templates of a host are joined back, by a table of its
-    nodes that are wildcards.
+    host with a third of all pages is a few rows per task).  Where many are rare, these
+    are replaced by a wildcard; a child that is not rare stays beside it.  Only distinct
+    templates of a host are joined back, by a table of its nodes with a wildcard.
     """
     spark = pages.sparkSession
     shapes = f"transform(slice(filter(split(_path, '/'), s -> s <> ''), 1, {depth}), s -> {_shape('s')})"
@@ -91,21 +91,31 @@ def templates(pages: DataFrame, depth: int = DEPTH) -> DataFrame:
     for level in range(depth):
         child = F.get("_shape", F.lit(level))
         node = ["_host", "_template"]
-        children = (
-            counts.where(child.isNotNull())
-            .groupBy(*node, child.alias("_child"))
-            .agg(F.sum("_pages").alias("_pages"))
+        children = store(
+            spark,
+            counts.where(child.isNotNull()).groupBy(*node, child.alias("_child")).agg(F.sum("_pages").alias("_pages")),
+            "children",
+        )
+        many = (
+            children.groupBy(*node)
+            .agg(F.count(F.lit(1)).alias("_children"), F.sum("_pages").alias("_all"))
+            .where(F.col("_children") > MANY_CHILDREN)
+        )
+        large = F.col("_pages") > RARE_SHARE * F.col("_all")
+        # fewer than 1 / RARE_SHARE children of a node are large
+        wild = (
+            children.join(many, node)
             .groupBy(*node)
-            .agg(F.count(F.lit(1)).alias("_children"), F.sum("_pages").alias("_all"), F.max("_pages").alias("_most"))
-            .where((F.col("_children") > MANY_CHILDREN) & (F.col("_most") <= RARE_SHARE * F.col("_all")))
-            .select(*node, F.lit(True).alias("_wild"))
+            .agg(F.count_if(~large).alias("_rare"), F.collect_list(F.when(large, F.col("_child"))).alias("_large"))
+            .where(F.col("_rare") > MANY_CHILDREN)
+            .select(*node, "_large")
         )
         step = F.when(child.isNull(), F.array().cast("array<string>")).when(
-            F.col("_wild"), F.array(F.lit("*"))
+            F.col("_large").isNotNull() & ~F.array_contains("_large", child), F.array(F.lit("*"))
         ).otherwise(F.array(child))
         counts = store(
             spark,
-            counts.join(children, node, "left").select(
+            counts.join(wild, node, "left").select(
                 "_host", "_shape", "_pages", F.concat("_template", step).alias("_template")
             ),
             "templates",

@@ -68,6 +68,20 @@ def test_variable_segments_become_wildcards(pages):
     assert {found[i] for i in range(100, 140)} == {"/one/home", "/two/home"}
 
 
+def test_a_hot_child_stays_beside_the_wildcard(pages):
+    words = ["".join(chr(97 + (i * k) % 26) for k in (3, 5, 7, 11, 1)) for i in range(60)]
+    rows = [(i, f"http://a.com/en/{w}") for i, w in enumerate(words)]
+    rows += [(100 + i, "http://a.com/en/about") for i in range(30)]
+    rows += [(200 + i, f"http://b.org/en/{w[::-1]}x") for i, w in enumerate(words)]
+    rows += [(300 + i, f"http://c.org/fr/{w}") for i, w in enumerate(words)]
+    rules = [("block", "com", "/en/")]
+    found = {r.page_id: r for r in U.url_filter(pages(rows), rules=rules).collect()}
+    assert {found[i].template for i in [*range(60), *range(200, 260)]} == {"/en/*"}
+    assert {found[i].template for i in range(100, 130)} == {"/en/about"}
+    assert {found[i].verdict for i in range(200, 260)} == {"block"}
+    assert {found[i].verdict for i in range(300, 360)} == {"allow"}
+
+
 def test_similar_branches_share_their_labels(spark):
     rows = [("h", "/a/{n}", 1)] * 30 + [("h", "/a/{n}.html", 1)] * 2 + [("h", "/a/new", None)]
     rows += [("g", "/b/{n}", 0)] * 30 + [("g", "/c/{n}", 0)] * 10
