@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardex.llm.common import joined_spans, let, matches_sql
+from cardex.llm.common import joined_spans, let, matches_sql, raw
 
 # The patterns of the base kinds, written so that Java's matcher neither recurses nor
 # starts anew within a run it has just seen fail; they match the same spans.
@@ -21,7 +21,31 @@ IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # The kinds that the method adds.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
+# How an account number begins; where it ends follows from its country or its checksum.
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"
+IBAN_RUN = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}"
+# Letters and digits of an account number by country; those of another country may have
+# any number.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 NATIONAL_PHONE = r"(?<![0-9+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-]*[0-9])"
 
@@ -29,15 +53,13 @@ BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn", "national_phone")
 KINDS = (*BASE, *ADDED)
 
-# Score of a span by its form alone, of a confirmed checksum, of context for or against.
-FORM_SCORE = {"iban": 0.4, "ssn": 0.4, "national_phone": 0.5}
-CHECKSUM_SCORE = 0.5
+# Score of a span by its form alone, and of context for or against.
+FORM_SCORE = {"ssn": 0.4, "national_phone": 0.5}
 CONTEXT_SCORE = 0.3
 MIN_SCORE = 0.7
 # Code points before and after a span in which context words count.
 REACH = 40
 FOR = {
-    "iban": r"(?i)\b(iban|bic|swift|bank|account|konto|compte|cuenta)\b",
     "ssn": r"(?i)\b(ssn|social security|tax id|taxpayer)\b",
     "national_phone": r"(?i)\b(phone|tel|telephone|call|mobile|cell|fax|telefon|telefono|teléfono)\b",
 }
@@ -79,24 +101,54 @@ def _kept(spans: str, condition: str) -> str:
 
 
 def _score(kind: str, text: str) -> str:
-    """SQL DOUBLE: form, checksum and the words within ``REACH`` of a span ``s``."""
+    """SQL DOUBLE: form and the words within ``REACH`` of a span ``s``."""
     near = (
         f"concat(substr({text}, greatest(s.start - {REACH}, 0) + 1, least(s.start, {REACH})),"
         f" ' ', substr({text}, s.end + 1, {REACH}))"
     )
-    checksum = f"if({mod97_sql('s.value')}, {CHECKSUM_SCORE}D, -1D)" if kind == "iban" else "0D"
     words = f"if(n rlike r'{FOR[kind]}', {CONTEXT_SCORE}D, 0D) - if(n rlike r'{AGAINST}', {CONTEXT_SCORE}D, 0D)"
-    return f"{FORM_SCORE[kind]}D + {checksum} + {let('n', near, words)}"
+    return f"{FORM_SCORE[kind]}D + {let('n', near, words)}"
+
+
+def _ibans(text: str) -> str:
+    """SQL: spans of account numbers whose remainder is right.
+
+    From every beginning all ends before which a group ends are tried, of a listed
+    country only the one at its length; the longest that passes counts.
+    """
+    lengths = ", ".join(f"'{c}', {n}" for n, codes in IBAN_LENGTHS.items() for c in codes.split())
+    compact = "replace(substr(v, 1, e), ' ', '')"
+    ends = (
+        f"filter(sequence(15, length(regexp_extract(v, {raw(IBAN_RUN)}, 0))), e -> substr(v, e, 1) <> ' '"
+        " and not substr(v, e + 1, 1) rlike '[A-Za-z0-9]'"
+        f" and length({compact}) between 15 and 34"
+        f" and length({compact}) = coalesce(map({lengths})[substr(v, 1, 2)], length({compact}))"
+        f" and {mod97_sql(compact)})"
+    )
+    # 34 letters and digits with a space before each but the first, and what follows
+    span = let(
+        "v",
+        f"substr({text}, s.start + 1, 68)",
+        let(
+            "m",
+            f"array_max({ends})",
+            "if(m is null, null, named_struct('start', s.start, 'end', s.start + m, 'value', substr(v, 1, m)))",
+        ),
+    )
+    return f"filter(transform({matches_sql(text, IBAN)}, s -> {span}), s -> s is not null)"
+
+
 
 
 def _validated(kind: str, text: str) -> str:
     """SQL: the spans of one kind that pass its checks."""
+    if kind == "iban":
+        return _ibans(text)
     pattern = {
         "email": EMAIL,
         "ip": IP,
         "card": CARD,
         "phone": PHONE,
-        "iban": IBAN,
         "ssn": SSN,
         "national_phone": NATIONAL_PHONE,
     }[kind]

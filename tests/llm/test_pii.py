@@ -44,6 +44,29 @@ def test_checksums_and_context(spark, documents):
     assert added(spark, documents, "order 523-555-1055") == []
 
 
+def test_account_numbers_end_where_their_country_says(spark, documents):
+    number = "DE89 3704 0044 0532 0130 00"
+    for text in (
+        f"IBAN {number} BIC COBADEFFXXX",
+        f"{number} EUR 500",
+        f"{number} 2024",
+        "DE89370400440532013000 2024",
+        f"invoice order {number} part 7 version 2",
+        f"{number} GB82 WEST 1234 5698 7654 32 A",
+        f"GB11 {number}",
+        "NO93 8601 1117 947 B",
+        "MT84 MALT 0110 0001 2345 MTLC AST0 01S 2024-01-01",
+    ):
+        (row,) = P.pii_spans(documents([(1, text)])).collect()
+        found = [s.value for s in row.spans if s.kind == "iban"]
+        assert found and all(text[s.start : s.end] == s.value for s in row.spans)
+        assert len(found) == 1 + (" GB82" in text)
+        assert found[0] == (number if number in text else number.replace(" ", "") if "DE" in text else text.rsplit(" ", 1)[0])
+    # a wrong number, one of another country's length, and one that goes on
+    for text in (f"{number[:-1]}1 BIC", "GB89 3704 0044 0532 0130 0", "DE89370400440532013000x"):
+        assert "iban" not in added(spark, documents, text)
+
+
 def test_masking(spark, documents):
     rows = [(1, "to a@b.cd or 10.0.0.1!"), (2, None), (3, "clean")]
     assert sorted((r.doc_id, r.text) for r in P.masked(documents(rows)).collect()) == [
