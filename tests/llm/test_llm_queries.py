@@ -21,7 +21,7 @@ def read(name, columns):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_oracle(spark, name):
     with duckdb.connect() as db:
-        for table in ("documents", "pages", "benchmark", "labels"):
+        for table in ("documents", "pages", "benchmark", "labels", "embeddings"):
             db.execute(f"CREATE VIEW {table} AS FROM '{FOLDER}/{table}.parquet'")
         result = db.sql(ORACLES[name])
         columns = sorted(result.columns)
