@@ -63,6 +63,11 @@ def url_partials(contacts: DataFrame) -> DataFrame:
     return contacts.groupBy(*DOMAIN_KEY, "url").agg(*_counters())
 
 
+def summed_url_partials(partials: DataFrame) -> DataFrame:
+    """A3: ``url_partials`` of several batches as those of one."""
+    return partials.groupBy(*DOMAIN_KEY, "url").agg(*_summed_counters())
+
+
 def merge_url_partials(partials: DataFrame) -> DataFrame:
     """``domain_stats`` of all the contacts that ``partials`` were made from."""
     return partials.groupBy(*DOMAIN_KEY).agg(

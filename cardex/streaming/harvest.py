@@ -1,10 +1,10 @@
 """Incremental harvest of archives and incremental domain statistics: ST1, ST2.
 
-Every micro-batch of a stream owns one folder of the contacts table and one of the
-statistics.  A stream is known by the id that Spark keeps in its checkpoint, so any
-number of crawls, each with its own checkpoint, fill one table.  A batch that is retried
-replaces its folders, so a crash between writing and committing has no effect on the
-result, whatever the extraction date of the retry.
+Every micro-batch of a stream owns one folder of the contacts table and adds to the
+stream's merged statistics.  A stream is known by the id that Spark keeps in its
+checkpoint, so any number of crawls, each with its own checkpoint, fill one table.  A
+batch that is retried replaces what it stored, so a crash between writing and committing
+has no effect on the result, whatever the extraction date of the retry.
 
 A new checkpoint is a new stream: it harvests all files of its crawl again and adds
 their contacts to what other streams stored.  Where a checkpoint was lost, name the
@@ -14,7 +14,6 @@ streams to read, and leave the one out whose place the new one takes.
 import json
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,15 +22,17 @@ from pyspark.sql.types import StructType
 from cardex.operators.contacts import contacts
 from cardex.operators.enrich import enrich
 from cardex.operators.lookup import read_categories, with_categories
-from cardex.operators.stats import merge_url_partials, url_partials
+from cardex.operators.stats import url_partials
 from cardex.operators.tables import ROWS_PER_FILE, table_rows
-from cardex.schemas import CONTACTS_TABLE, TABLE_ORDER, TABLE_PARTITIONS, URL_STATS
+from cardex.schemas import CONTACTS_TABLE, TABLE_ORDER, TABLE_PARTITIONS
 from cardex.sources.archives import (
     ARCHIVE_SUFFIX,
     BOUNDARY,
     archive_glob,
     records_from_lines,
 )
+from cardex.storage import existing_table
+from cardex.streaming.merged import add_batch, merged_domain_stats
 
 FILES_PER_BATCH = 100
 
@@ -91,8 +92,8 @@ def harvest(
     """ST1: load the contacts of all records not yet harvested, then stop.
 
     With ``stats_path`` also ST2: each batch adds its counters per (domain,
-    extraction_date, url).  They are made from the stored contacts of the batch, so the
-    extraction runs once, and cost nothing for what earlier batches hold.  With
+    extraction_date, url) to the merged ones, see ``streaming.merged``.  They are made
+    from the stored contacts of the batch, so the extraction runs once.  With
     ``categories_path`` (J1b) the dimension is read anew for every batch, and the batch's
     contacts with their categories are stored below ``categorised_path``.
     """
@@ -113,9 +114,7 @@ def harvest(
         )
         stored = spark.read.schema(CONTACTS_TABLE).parquet(folder)
         if stats_path:
-            url_partials(stored).write.mode("overwrite").parquet(
-                _batch_folder(stats_path, stream, batch_id)
-            )
+            add_batch(url_partials(stored), stats_path, stream, batch_id)
         if categories_path and categorised_path:
             with_categories(stored, read_categories(spark, categories_path)).write.mode(
                 "overwrite"
@@ -129,29 +128,22 @@ def harvest(
     )
 
 
-def _stored(spark: SparkSession, path: str, schema: StructType, streams: list[str] | None) -> DataFrame:
-    """What the streams stored; nothing if none has stored anything yet."""
-    whole = StructType([*schema.fields, *StructType().add("harvest_stream", "string")])
-    try:
-        rows = spark.read.schema(whole).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    if streams is not None:
-        rows = rows.where(F.col("harvest_stream").isin(streams))
-    return rows.select(schema.names)
-
-
 def harvested_contacts(
     spark: SparkSession, table_path: str, streams: list[str] | None = None
 ) -> DataFrame:
     """ST1: everything harvested so far, or by the named streams only."""
-    return _stored(spark, table_path, CONTACTS_TABLE, streams)
+    whole = StructType([*CONTACTS_TABLE.fields, *StructType().add("harvest_stream", "string")])
+    rows = existing_table(spark, table_path, whole)
+    if streams is not None:
+        rows = rows.where(F.col("harvest_stream").isin(streams))
+    return rows.select(CONTACTS_TABLE.names)
 
 
 def harvested_domain_stats(
     spark: SparkSession, stats_path: str, streams: list[str] | None = None
 ) -> DataFrame:
-    """ST2: exact domain statistics of everything harvested so far."""
-    return merge_url_partials(_stored(spark, stats_path, URL_STATS, streams))
+    """ST2: exact domain statistics of everything harvested so far.
+
+    The folders to read grow with the logarithm of the number of batches.
+    """
+    return merged_domain_stats(spark, stats_path, streams)

@@ -1,0 +1,108 @@
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+
+from cardex.operators.stats import domain_stats, url_partials
+from cardex.schemas import CONTACTS_TABLE
+from cardex.streaming import merged
+
+STAMP = datetime(2024, 1, 1)
+
+
+def contacts(spark, *rows):
+    """(domain, url) pairs as contacts; a domain of '' is that of a phone."""
+    full = [(u, "", "", "", f"a@{d}" if d else "", "" if d else "123", "email" if d else "phone",
+             d, STAMP, "202401", "C") for d, u in rows]
+    return spark.createDataFrame(full, CONTACTS_TABLE)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def batch(spark, n):
+    return contacts(spark, (f"d{n % 3}", f"u{n % 5}"), ("d0", f"u{n}"), ("", "u0"))
+
+
+def test_twenty_batches_in_few_folders(spark, tmp_path):
+    path, all_rows = str(tmp_path), None
+    for n in range(20):
+        new = batch(spark, n)
+        all_rows = new if all_rows is None else all_rows.unionByName(new)
+        merged.add_batch(url_partials(new), path, "s", n)
+        live = merged.live_folders(spark, path)
+        assert len(live) <= (merged.FANOUT - 1) * 3
+    assert rows(merged.merged_domain_stats(spark, path)) == rows(domain_stats(all_rows))
+    plan = merged.merged_domain_stats(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
+    # an earlier state, and nothing left of states that are no longer kept
+    assert rows(merged.merged_domain_stats(spark, path, as_of=18)) == rows(
+        domain_stats(all_rows.limit(57))
+    )
+    kept = {p.name for p in Path(path, "harvest_stream=s", "manifests").iterdir()}
+    assert len(kept) == merged.KEPT_MANIFESTS
+    assert merged.sweep(spark, path, "s") == []
+
+
+def test_levels():
+    class Folder:
+        def __init__(self, level):
+            self.level = level
+
+    def after(n, fanout):
+        folders = []
+        for _ in range(n):
+            gone, level = merged.folders_to_merge(folders, fanout)
+            folders = [f for f in folders if f not in gone] + [Folder(level)]
+        return sorted(f.level for f in folders)
+
+    # as the digits of the number of batches
+    assert after(3, 4) == [0, 0, 0] and after(4, 4) == [1] and after(16, 4) == [2]
+    assert after(27, 4) == [0, 0, 0, 1, 1, 2]
+    assert after(1023, 2) == list(range(10))
+
+
+@pytest.mark.parametrize("crash", ["write", "publish", "expire"])
+def test_a_crash_changes_nothing_and_the_repeat_adds_once(spark, tmp_path, monkeypatch, crash):
+    path = str(tmp_path)
+    for n in range(7):
+        merged.add_batch(url_partials(batch(spark, n)), path, "s", n)
+    before = rows(merged.merged_domain_stats(spark, path))
+
+    def fail(*args, **kwargs):
+        raise OSError("lost")
+
+    # batch 7 merges four folders
+    if crash == "write":
+        broken = url_partials(batch(spark, 7)).selectExpr("*", "raise_error('lost') AS x").drop("x")
+        broken = broken.withColumn("url", broken.url + 0)
+        with pytest.raises(Exception):
+            merged.add_batch(broken, path, "s", 7)
+    else:
+        monkeypatch.setattr(merged, "publish" if crash == "publish" else "_expire", fail)
+        with pytest.raises(OSError):
+            merged.add_batch(url_partials(batch(spark, 7)), path, "s", 7)
+        monkeypatch.undo()
+    if crash != "expire":
+        assert rows(merged.merged_domain_stats(spark, path)) == before
+    # the repeat may find other contacts; it replaces what the batch added
+    merged.add_batch(url_partials(contacts(spark, ("new", "u"))), path, "s", 7)
+    assert rows(merged.merged_domain_stats(spark, path)) == sorted(before + [("new", STAMP, 1, 1, 0, 1)])
+    merged.sweep(spark, path, "s")
+    assert len(rows(merged.merged_domain_stats(spark, path))) == len(before) + 1
+    merged.add_batch(url_partials(batch(spark, 8)), path, "s", 8)
+    assert ("new", STAMP, 1, 1, 0, 1) in rows(merged.merged_domain_stats(spark, path))
+
+
+def test_streams_are_apart(spark, tmp_path):
+    path = str(tmp_path)
+    assert merged.merged_domain_stats(spark, path).collect() == []
+    for stream in ("a", "b"):
+        merged.add_batch(url_partials(contacts(spark, (stream, "u"), ("x", "u"))), path, stream, 0)
+    assert [r[0] for r in rows(merged.merged_domain_stats(spark, path))] == ["a", "b", "x"]
+    assert rows(merged.merged_domain_stats(spark, path, ["a"])) == [
+        ("a", STAMP, 1, 1, 0, 1), ("x", STAMP, 1, 1, 0, 1)
+    ]
+    # one URL in two batches is one URL
+    assert ("x", STAMP, 2, 2, 0, 1) in rows(merged.merged_domain_stats(spark, path))
