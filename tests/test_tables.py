@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 from glob import glob
 from pathlib import Path
@@ -5,6 +6,7 @@ from pathlib import Path
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql.functions import lit
 
 from cardex.operators import tables
 from cardex.operators.contacts import contacts
@@ -147,3 +149,95 @@ def test_catalog_table(spark, stored, tmp_path):
     tables.create_contacts_table(spark, "contact_data.held", path)
     assert spark.table("contact_data.held").count() == 2 * stored[JANUARY, "A"].count()
     spark.sql("DROP TABLE contact_data.held")
+
+
+@pytest.fixture(scope="module")
+def months(spark, stored, tmp_path_factory):
+    """A table of six months."""
+    path = str(tmp_path_factory.mktemp("months") / "table")
+    for month in range(1, 7):
+        rows_of = stored[JANUARY, "A"].withColumn("extraction_date", lit(datetime(2024, month, 15)))
+        tables.append_contacts(rows_of, path)
+    return path
+
+
+def scanned_months(spark, df):
+    """The months of the folders that the plan reads, by its partition filters."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    (filters,) = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
+    return sorted(set(re.findall(r"20240\d", filters)))
+
+
+def test_dates_prune_months(spark, months):
+    since, until = datetime(2024, 2, 10), datetime(2024, 4, 1)
+    all_rows = tables.read_contacts(spark, months)
+    expected = rows(all_rows.where("extraction_date >= '2024-02-10' AND extraction_date < '2024-04-01'"))
+    read = tables.read_contacts(spark, months, since, until)
+    assert rows(read) == expected and {r.ym for r in read.collect()} == {"202402", "202403"}
+    # April may hold the last hours of March of another time zone
+    assert scanned_months(spark, read) == ["202402", "202404"]
+    assert rows(tables.read_contacts(spark, months, until=since)) == rows(all_rows.where("ym = '202401'"))
+    assert rows(tables.read_contacts(spark, months, since=datetime(2024, 6, 1))) == rows(all_rows.where("ym = '202406'"))
+    query = tables.query_contacts(spark, months, "SELECT * FROM c", "c", since, until)
+    assert rows(query) == expected
+
+    all_rows.createOrReplaceTempView("six_months")
+    tables.register_contacts_between(spark, "six_months")
+    called = spark.sql("SELECT * FROM contacts_between(TIMESTAMP'2024-02-10', TIMESTAMP'2024-04-01')")
+    assert rows(called) == expected and called.columns == CONTACTS_TABLE.names
+    assert scanned_months(spark, called) == ["202402", "202404"]
+
+
+@pytest.mark.parametrize("zone", ["Pacific/Kiritimati", "Etc/GMT+12"])
+def test_dates_in_any_time_zone(spark, months, stored, tmp_path, zone):
+    # written by a session of one zone, read by that of another
+    before = spark.conf.get("spark.sql.session.timeZone")
+    moments = [datetime(2024, 3, 1), datetime(2024, 2, 29, 23, 59), datetime(2024, 3, 31, 23)]
+    path = str(tmp_path / "table")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for moment in moments:
+            tables.append_contacts(stored[JANUARY, "A"].limit(1).withColumn("extraction_date", lit(moment)), path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    found = tables.read_contacts(spark, path, datetime(2024, 2, 29), datetime(2024, 4, 1))
+    assert found.count() == 3
+
+
+def rows_read(df):
+    """Rows that the scan of a collected frame gave to the rest of its plan."""
+    plan = df._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return rows_read_of(plan.executedPlan())
+    return rows_read_of(plan)
+
+
+def rows_read_of(plan):
+    while plan.children().size():
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_lookup_reads_few_row_groups(spark, tmp_path):
+    # more values than a dictionary page holds, so that Bloom filters are written
+    n, files = 200_000, 20
+    path = str(tmp_path / "table")
+    people = spark.range(n).selectExpr(
+        "'u' AS url", "'f' AS warc_filename", "cast(id AS string) AS warc_record_id", "'t' AS timestamp",
+        "if(id % 2 = 0, concat(sha2(cast(id AS string), 256), '@mail.org'), NULL) AS email",
+        "if(id % 2 = 1, conv(substring(sha2(cast(id AS string), 256), 1, 12), 16, 10), NULL) AS phone_number",
+        "if(id % 2 = 0, 'email', 'phone') AS contact_type",
+        "if(id % 2 = 0, concat('d', id % 997), NULL) AS domain",
+        "TIMESTAMP'2024-01-01' AS extraction_date", "'C' AS source_crawl",
+    )
+    tables.append_contacts(people, path, batch_size=n // files, partitions=files)
+    table = tables.read_contacts(spark, path)
+    (someone,) = people.where("warc_record_id = '4242'").collect()
+    (other,) = people.where("warc_record_id = '4243'").collect()
+    for given in ({"email": someone.email}, {"phone_number": other.phone_number}):
+        found = tables.lookup_contacts(table, **given)
+        assert len(found.collect()) == 1
+        assert rows_read(found) <= 3 * n // files
+    assert tables.lookup_contacts(table, email="nobody@mail.org").collect() == []
