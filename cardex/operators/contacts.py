@@ -32,6 +32,11 @@ def _phone_rows(text: str) -> str:
 _ROWS = {"email": _email_rows, "phone": _phone_rows}
 
 
+def contact_rows_sql(text: str, types: Sequence[str] = ("email", "phone")) -> str:
+    """SQL: ARRAY<STRUCT<email, phone_number, contact_type>> of a text's contacts."""
+    return f"concat({', '.join(_ROWS[t](text) for t in types)})"
+
+
 def records_with_contacts(records: DataFrame) -> DataFrame:
     """Provenance, ``emails`` and ``phone_numbers`` of records that have any."""
     found = (
@@ -53,8 +58,7 @@ def contacts(records: DataFrame, types: Sequence[str] = ("email", "phone")) -> D
     Name the one type you need in ``types``: the other's patterns are then not run,
     which a filter on ``contact_type`` afterwards cannot achieve.
     """
-    rows = ", ".join(_ROWS[t]("content") for t in types)
-    return records.select(*PROVENANCE, F.expr(f"inline(concat({rows}))"))
+    return records.select(*PROVENANCE, F.expr(f"inline({contact_rows_sql('content', types)})"))
 
 
 def email_contacts(records: DataFrame) -> DataFrame:

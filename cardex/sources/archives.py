@@ -10,7 +10,7 @@ comes up short of its ``Content-Length`` and is put together again from the line
 follow in the same task), and bodies stored with HTTP transfer or content encodings.
 """
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,6 +40,9 @@ LONGEST_VALUE = 2**31 - 16
 # Bytes of repaired records per Arrow batch, as many as Spark puts into one.
 OUTPUT_BYTES = 64 * 1024 * 1024
 
+# Columns of a line that tell of the end of its file, see ``sources.quarantine``.
+LAST_LINE = ("ends",)
+
 # Executors need not have this package installed for the repair.
 cloudpickle.register_pickle_by_value(http_encodings)
 
@@ -141,7 +144,7 @@ def payload_bounds(lines: DataFrame) -> DataFrame:
             F.col("_metadata.file_name").alias("file_name"),
             F.col("value").cast("binary").alias("raw"),
         )
-        .withColumn("headers", _headers())
+        .withColumn("headers", record_headers())
         .withColumn("start", F.octet_length("headers") + len(_END_OF_HEADERS))
         .select(
             "file_path",
@@ -166,6 +169,11 @@ def repaired(located: DataFrame, skip_long_records: bool = False) -> DataFrame:
     ends: the declared length is taken at its word.  What exceeds ``LONGEST_VALUE``
     raises an error, or with ``skip_long_records`` keeps its headers only and is marked.
     """
+    return located.mapInArrow(repairing(skip_long_records), located.schema)
+
+
+def repairing(skip_long_records: bool = False) -> Callable:
+    """The Arrow function of ``repaired``."""
     boundary, most = BOUNDARY.encode(), LONGEST_VALUE
 
     def repair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,6 +203,8 @@ def repaired(located: DataFrame, skip_long_records: bool = False) -> DataFrame:
                 else:
                     held["missing"] -= len(boundary) + len(row["raw"])
                     held["bytes"] += len(boundary)
+                    # of the columns that others add, what the last line says holds
+                    held.update({name: row[name] for name in LAST_LINE if name in row})
                 take(held, row["raw"])
                 if held["missing"] <= 0:
                     done.append(whole(held))
@@ -237,7 +247,7 @@ def repaired(located: DataFrame, skip_long_records: bool = False) -> DataFrame:
         missing = max(row["missing"], 0)
         return {**row, "raw": raw, "length": length, "missing": missing}
 
-    return located.mapInArrow(repair, located.schema)
+    return repair
 
 
 def decoded(body: Column) -> Column:
@@ -258,7 +268,7 @@ def decoded(body: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(restored)
 
 
-def _headers() -> Column:
+def record_headers() -> Column:
     return F.substring_index(F.col("raw").cast("string"), _END_OF_HEADERS, 1)
 
 
@@ -289,14 +299,23 @@ def parse_records(located: DataFrame) -> DataFrame:
     Lines without a readable type are dropped with the other record types.  A response
     without a target URI is kept, with a NULL url.
     """
-    responses = located.withColumn("headers", _headers()).where(
-        (_header("WARC-Type") == "response") & ~F.col("too_long")
-    )
+    typed = located.withColumn("headers", record_headers())
+    return record_columns(typed.where((record_type() == "response") & ~F.col("too_long")))
+
+
+def record_type() -> Column:
+    """The type of a record by its ``headers``; '' if they do not say."""
+    return _header("WARC-Type")
+
+
+def record_columns(responses: DataFrame, *kept: str) -> DataFrame:
+    """D1 columns of whole lines with their ``headers``, behind the ``kept`` ones."""
     uri = F.regexp_replace(_header("WARC-Target-URI"), "^<(.*)>$", "$1")
     filename = _header("WARC-Filename")
     length = F.least("length", F.lit(_MAX)).cast("int")
     return (
         responses.select(
+            *kept,
             F.nullif(uri, F.lit("")).alias("url"),
             F.when(filename != "", filename)
             .otherwise(F.col("file_name"))
@@ -307,6 +326,7 @@ def parse_records(located: DataFrame) -> DataFrame:
         )
         .withColumn("body", _http_body("payload"))
         .select(
+            *kept,
             "url",
             "warc_filename",
             "warc_record_id",
@@ -333,10 +353,10 @@ def archive_report(
     """
     lines = read_lines(spark, paths, suffix, skip_bad_files=True)
     lines = repaired(payload_bounds(lines), skip_long_records=True)
-    kind = _header("WARC-Type")
+    kind = record_type()
     counts = (
-        lines.withColumn("headers", _headers())
-        .groupBy(_same_path("file_path").alias("_path"))
+        lines.withColumn("headers", record_headers())
+        .groupBy(same_path("file_path").alias("_path"))
         .agg(
             F.count_if(kind == "response").alias("responses"),
             F.count_if((kind != "response") & (kind != "")).alias("others"),
@@ -346,13 +366,13 @@ def archive_report(
         )
     )
     return (
-        files.withColumn("_path", _same_path("path"))
+        files.withColumn("_path", same_path("path"))
         .join(counts, "_path", "left")
         .drop("_path")
         .na.fill(0, REPORTED)
     )
 
 
-def _same_path(column: str) -> Column:
+def same_path(column: str) -> Column:
     """Spark's sources write local paths with one slash or three."""
     return F.regexp_replace(column, "^file:/+", "/")
