@@ -12,14 +12,18 @@ from cardex.operators.enrich import enrich
 from cardex.operators.lookup import read_categories, with_categories
 from cardex.operators.stats import counted, run_metrics
 from cardex.operators.tables import append_contacts, create_contacts_table, write_snapshot
+from cardex.operators.versions import load_version
+from cardex.schemas import LISTING
 from cardex.session import build_session
-from cardex.sources.archives import (
-    ARCHIVE_SUFFIX,
-    REPORTED,
-    archive_glob,
-    archive_report,
-    list_archives,
-    read_archives,
+from cardex.sources.archives import ARCHIVE_SUFFIX, archive_glob, list_archives, read_archives
+from cardex.sources.ledger import finish, next_archives
+from cardex.sources.quarantine import (
+    COUNTED,
+    file_counts,
+    outcomes,
+    pass_contacts,
+    rejected,
+    store_pass,
 )
 
 logger = logging.getLogger(__name__)
@@ -43,6 +47,8 @@ def run_job(
     repair: bool = True,
     skip_bad_files: bool = False,
     skip_long_records: bool = False,
+    ledger_path: str | None = None,
+    versioned: bool = False,
 ) -> dict | None:
     """Harvest a crawl; None if it has no archives.
 
@@ -55,36 +61,63 @@ def run_job(
     ``categorised_path``.
 
     With ``metrics_path`` a JSON row of exact run metrics is stored there in a folder of
-    the run, which a retried run replaces.  If files or records may be skipped, the row
-    also counts the incomplete and unreadable ones, for which the archives are read once
-    more; by default they fail the job.
+    the run, which a retried run replaces.
+
+    Bad files and overlong records fail the job, unless they may be skipped.  What was
+    wrong is then stored beside the snapshot by the same pass, see
+    ``sources.quarantine``, with the rejected records in a folder of their own, and the
+    metrics count it; bodies are repaired in any case.
+
+    With ``ledger_path`` (L1) the run takes only archives that no finished run has read,
+    and enters them once all its outputs are stored; ``limit_files`` then means the
+    next so many.
+
+    With ``versioned`` the load is published at once and replaces a former load of the
+    same run, see ``operators.versions``; such a table has no catalog entry.
 
     The archives are read once, for the snapshot.  The table is loaded from the
     snapshot, which also takes the place of a cache: losing executors costs no second
     extraction.
     """
+    if versioned and table:
+        raise ValueError("a versioned table is read by operators.versions, not by a catalog")
     run_time = run_time or datetime.now(timezone.utc)
     run_id = f"{crawl_id}_{run_time:%Y%m%d_%H%M%S}"
-    archives = list_archives(spark, archive_root, crawl_id, limit_files, suffix)
+    if ledger_path:
+        archives = next_archives(spark, archive_root, crawl_id, ledger_path, limit_files, suffix)
+        # what is entered in the end is what is read now
+        listing = f"{output_path.rstrip('/')}/listing_{run_time:%Y%m%d_%H%M%S}"
+        archives.write.mode("overwrite").parquet(listing)
+        archives = spark.read.schema(LISTING).parquet(listing)
+    else:
+        archives = list_archives(spark, archive_root, crawl_id, limit_files, suffix)
     if archives.isEmpty():
         logger.error("no archives found for crawl %s", crawl_id)
         return None
-    if limit_files:
+    if limit_files or ledger_path:
         paths = [row.path for row in archives.select("path").collect()]
     else:
         paths = archive_glob(archive_root, crawl_id)
 
-    records, records_seen = counted(
-        read_archives(spark, paths, suffix, repair, skip_bad_files, skip_long_records), "records"
-    )
-    found, contacts_seen = counted(contacts(records), "contacts")
+    skipping = skip_bad_files or skip_long_records
+    if skipping:
+        passed = f"{output_path.rstrip('/')}/pass_{run_time:%Y%m%d_%H%M%S}"
+        store_pass(outcomes(spark, paths, suffix, skip_bad_files, skip_long_records), passed)
+        found = pass_contacts(spark, passed)
+        rejected(spark, passed, archives).write.parquet(passed.replace("/pass_", "/rejected_"))
+    else:
+        records, records_seen = counted(read_archives(spark, paths, suffix, repair), "records")
+        found = contacts(records)
+    found, contacts_seen = counted(found, "contacts")
     snapshot = write_snapshot(
         enrich(found, run_time, crawl_id), output_path, run_time, partition_count
     )
     stored = spark.read.parquet(snapshot)
     if table and table_path:
         create_contacts_table(spark, table, table_path)
-    if table_path:
+    if table_path and versioned:
+        load_version(stored, table_path, run_id, replace_months=overwrite_run)
+    elif table_path:
         append_contacts(stored, table_path, overwrite_run=overwrite_run)
     if table and table_path:
         spark.catalog.recoverPartitions(table)
@@ -92,6 +125,10 @@ def run_job(
         with_categories(stored, read_categories(spark, categories_path)).write.mode(
             "overwrite"
         ).parquet(f"{categorised_path.rstrip('/')}/run={run_id}")
+    counts = {}
+    if skipping:
+        totals = file_counts(spark, passed, archives)
+        counts = totals.agg(*(F.sum(name).alias(name) for name in COUNTED)).first().asDict()
     if metrics_path:
         run = {
             "run_id": run_id,
@@ -99,16 +136,15 @@ def run_job(
             "crawl_id": crawl_id,
             "output_path": snapshot,
         }
-        if skip_bad_files or skip_long_records:
-            report = archive_report(spark, archives, paths, suffix)
-            run |= report.agg(*(F.sum(name).alias(name) for name in REPORTED)).first().asDict()
-        run_metrics(stored).withColumns({k: F.lit(v) for k, v in run.items()}).coalesce(1).write.mode(
-            "overwrite"
-        ).json(f"{metrics_path.rstrip('/')}/run={run_id}")
+        run_metrics(stored).withColumns(
+            {k: F.lit(v) for k, v in (run | counts).items()}
+        ).coalesce(1).write.mode("overwrite").json(f"{metrics_path.rstrip('/')}/run={run_id}")
+    if ledger_path:
+        finish(archives, ledger_path, run_id)
     result = {
         "run_id": run_id,
         "snapshot": snapshot,
-        "records": records_seen.get["rows"],
+        "records": counts["responses"] if skipping else records_seen.get["rows"],
         "contacts": contacts_seen.get["rows"],
     }
     logger.info("%(records)d records, %(contacts)d contacts in %(snapshot)s", result)
@@ -143,13 +179,19 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--skip-bad-files",
         action="store_true",
-        help="keep what can be read of damaged files instead of failing",
+        help="keep what can be read of damaged files, and store what was wrong",
     )
     parser.add_argument(
         "--skip-long-records",
         action="store_true",
         help="leave out records beyond 2 GB instead of failing",
     )
+    parser.add_argument("--ledger-path", help="take the next archives that no run has read")
+    parser.add_argument(
+        "--versioned",
+        action="store_true",
+        help="publish the load at once in a table of versions",
+    )
     return parser.parse_args(argv)
 
 

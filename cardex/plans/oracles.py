@@ -160,6 +160,18 @@ _WORKLOADS = """
 
 _LPAD7, _LPAD10 = "lpad(CAST(doc_id AS VARCHAR), 7, '0')", "lpad(CAST(doc_id AS VARCHAR), 10, '0')"
 
+_DIRTY = r"""
+        SELECT CASE WHEN page_id % 7 <> 4 THEN url END AS url,
+               CASE WHEN page_id % 7 = 0 THEN page_id || '.warc.gz' ELSE 'file' END
+                   AS warc_filename,
+               CASE WHEN page_id % 7 <> 4 THEN CAST(page_id AS VARCHAR) END AS warc_record_id,
+               CASE page_id % 7
+                   WHEN 1 THEN html || E'\r\nWARC/1.0\r\nWARC-Type: response\r\n\r\n'
+                               || 'after@boundary.org'
+                   WHEN 3 THEN html || 'end' ELSE html END AS content,
+               '2024-01-01T00:00:00Z' AS timestamp
+        FROM pages WHERE page_id % 7 <> 5"""
+
 ORACLES = {
     "extract_emails_documents": f"SELECT doc_id, unnest({_emails('text')}) AS email"
     " FROM documents",
@@ -253,17 +265,39 @@ ORACLES = {
         SELECT count(*) AS responses, count(*) AS others, CAST(0 AS BIGINT) AS incomplete,
                CAST(0 AS BIGINT) AS unreadable, CAST(0 AS BIGINT) AS too_long
         FROM ({_ALL})""",
-    "dirty_archive_records": r"""
-        SELECT CASE WHEN page_id % 7 <> 4 THEN url END AS url,
-               CASE WHEN page_id % 7 = 0 THEN page_id || '.warc.gz' ELSE 'file' END
-                   AS warc_filename,
-               CASE WHEN page_id % 7 <> 4 THEN CAST(page_id AS VARCHAR) END AS warc_record_id,
-               CASE page_id % 7
-                   WHEN 1 THEN html || E'\r\nWARC/1.0\r\nWARC-Type: response\r\n\r\n'
-                               || 'after@boundary.org'
-                   WHEN 3 THEN html || 'end' ELSE html END AS content,
-               '2024-01-01T00:00:00Z' AS timestamp
-        FROM pages WHERE page_id % 7 <> 5""",
+    "dirty_archive_records": _DIRTY,
+    "archive_quarantine": f"""{_contacts(_DIRTY)}
+        SELECT 'no type' AS reason, false AS kept, url, CAST(page_id AS VARCHAR) AS warc_record_id,
+               CAST(1 AS BIGINT) AS records
+        FROM pages WHERE page_id % 7 = 5
+        UNION ALL
+        SELECT reason, NULL, NULL, NULL, CAST(records AS BIGINT) FROM (
+            SELECT 'responses' AS reason, count(*) AS records FROM records
+            UNION ALL SELECT 'unreadable', count(*) FROM pages WHERE page_id % 7 = 5
+            UNION ALL SELECT unnest(['others', 'incomplete', 'too_long', 'cut_short']), 0
+            UNION ALL SELECT 'contacts', count(*) FROM contacts)""",
+    "ledger_runs": f"""
+        SELECT url, warc_record_id, count(*) AS times, CAST(0 AS BIGINT) AS archives_left
+        FROM ({_ALL}) GROUP BY ALL""",
+    "merged_batch_stats": f"{_contacts(_ALL)} {_STATS}",
+    "contacts_between_dates": f"""{_contacts(_ALL)}
+        SELECT strftime(extracted, '%Y%m') AS ym, coalesce(domain, '') AS domain, contact_type,
+               count(*) AS contacts
+        FROM (SELECT *, extraction_date + to_months(CAST(CAST(warc_record_id AS BIGINT) % 5 AS INT))
+                            AS extracted FROM enriched)
+        WHERE extracted >= TIMESTAMP '2024-02-01' AND extracted < TIMESTAMP '2024-04-01' GROUP BY ALL""",
+    "contacts_versions": f"""{_contacts(_ALL)},
+        loads AS (
+            SELECT v AS version, '202401' AS ym, e.*
+            FROM enriched e, (VALUES (1), (2)) t(v) WHERE warc_filename = 'pages'
+            UNION ALL
+            SELECT v, '202402', e.* FROM enriched e, (VALUES (2), (3)) t(v)
+            WHERE warc_filename = 'documents'
+            UNION ALL
+            SELECT 3, '202401', * FROM enriched WHERE warc_filename = 'documents')
+        SELECT version, warc_filename, ym, contact_type, count(*) AS contacts,
+               count(DISTINCT url) AS urls
+        FROM loads GROUP BY ALL""",
     "contacts_table_in_catalog": f"""{_contacts(_ALL)}
         SELECT strftime(extraction_date, '%Y%m') AS ym, source_crawl,
                count(*) AS contacts, CAST(0 AS BIGINT) AS unsorted

@@ -13,12 +13,13 @@ from pyspark.sql.window import Window
 
 from cardex.functions import extract_emails, extract_phones, register_functions
 from cardex.operators import contacts as C
-from cardex.operators import costs, lookup, stats, tables
+from cardex.operators import costs, lookup, stats, tables, versions
 from cardex.operators.enrich import enrich
 from cardex.session import scratch_dir
-from cardex.sources import archives
+from cardex.sources import archives, ledger, quarantine
 from cardex.sources.tables import documents_as_records, pages_as_records
 from cardex.streaming import harvest as H
+from cardex.streaming import merged
 
 STAMP = datetime(2024, 1, 1, tzinfo=timezone.utc)
 CRAWL = "CRAWL-2024-01"
@@ -316,6 +317,44 @@ def contacts_table_in_catalog(spark, folder):
     )
 
 
+def contacts_between_dates(spark, folder):
+    """K4: contacts extracted in two of five months, of their folders only."""
+    path, view = scratch_dir(spark, "months"), f"stored_{uuid.uuid4().hex}"
+    later = F.expr("timestampadd(MONTH, cast(warc_record_id AS bigint) % 5, extraction_date)")
+    snapshot = tables.write_snapshot(
+        enriched(spark, folder).withColumn("extraction_date", later), scratch_dir(spark, "staged"), STAMP
+    )
+    tables.append_contacts(spark.read.parquet(snapshot), path)
+    tables.read_contacts(spark, path).createOrReplaceTempView(view)
+    tables.register_contacts_between(spark, view, f"between_{view}")
+    return spark.sql(
+        "SELECT ym, domain, contact_type, count(*) AS contacts"
+        f" FROM between_{view}(TIMESTAMP'2024-02-01 00:00:00', TIMESTAMP'2024-04-01 00:00:00')"
+        " GROUP BY ym, domain, contact_type"
+    )
+
+
+def contacts_versions(spark, folder):
+    """K3, K1: three loads, the last replacing a month, and the table as of each."""
+    path, staged = scratch_dir(spark, "versions"), scratch_dir(spark, "staged")
+    snapshot = spark.read.parquet(tables.write_snapshot(enriched(spark, folder), staged, STAMP))
+    later = F.lit(STAMP) + F.make_interval(months=F.lit(1))
+    of_pages = snapshot.where("warc_filename = 'pages'")
+    of_documents = snapshot.where("warc_filename = 'documents'")
+    versions.load_version(of_pages, path, "pages")
+    versions.load_version(of_documents.withColumn("extraction_date", later), path, "documents")
+    versions.load_version(of_documents, path, "instead", replace_months=True)
+    found = None
+    for number in (1, 2, 3):
+        state = (
+            versions.read_version(spark, path, number)
+            .groupBy(F.lit(number).alias("version"), "warc_filename", "ym", "contact_type")
+            .agg(F.count(F.lit(1)).alias("contacts"), F.count_distinct("url").alias("urls"))
+        )
+        found = state if found is None else found.unionByName(state)
+    return found
+
+
 # --- archives and streams ---
 
 
@@ -452,6 +491,58 @@ def archive_report(spark, folder):
     return report.agg(*(F.sum(c).alias(c) for c in archives.REPORTED))
 
 
+def archive_quarantine(spark, folder):
+    """S2d, S2e: what was wrong in ``write_dirty_archives``, and totals, of one pass."""
+    root, path = scratch_dir(spark, "dirty"), scratch_dir(spark, "pass")
+    write_dirty_archives(spark, folder, segment(root, 0))
+    quarantine.store_pass(
+        quarantine.outcomes(spark, archives.archive_glob(root, CRAWL), suffix=WRITTEN_SUFFIX), path
+    )
+    files = archives.list_archives(spark, root, CRAWL, suffix=WRITTEN_SUFFIX)
+    wrong = quarantine.rejected(spark, path, files).select(
+        "reason", "kept", "url", "warc_record_id", F.lit(1).cast("bigint").alias("records")
+    )
+    totals = (
+        quarantine.file_counts(spark, path, files)
+        .agg(*(F.sum(c).alias(c) for c in quarantine.COUNTED))
+        .unpivot([], quarantine.COUNTED, "reason", "records")
+    )
+    contacts = quarantine.pass_contacts(spark, path).agg(
+        F.lit("contacts").alias("reason"), F.count(F.lit(1)).alias("records")
+    )
+    return wrong.unionByName(totals.unionByName(contacts), allowMissingColumns=True)
+
+
+def ledger_runs(spark, folder):
+    """L1: three runs with a limit, each taking the next archives; how often each record."""
+    root, path = scratch_dir(spark, "archives"), scratch_dir(spark, "ledger")
+    write_archives(pages(spark, folder).repartition(2), segment(root, 0))
+    write_archives(documents(spark, folder).repartition(4), segment(root, 1))
+    found = None
+    for run in range(3):
+        taken = ledger.next_archives(spark, root, CRAWL, path, 2, WRITTEN_SUFFIX).collect()
+        paths = [row.path for row in taken]
+        read = archives.read_archives(spark, paths, suffix=WRITTEN_SUFFIX)
+        found = read if found is None else found.unionByName(read)
+        ledger.finish(spark.createDataFrame(taken, archives.LISTING), path, f"run-{run}")
+    left = ledger.next_archives(spark, root, CRAWL, path, 2, WRITTEN_SUFFIX).count()
+    return found.groupBy("url", "warc_record_id").agg(
+        F.count(F.lit(1)).alias("times"), F.lit(left).cast("bigint").alias("archives_left")
+    )
+
+
+def merged_batch_stats(spark, folder):
+    """A3, ST2: twenty batches of contacts, merged in storage; equals ``domain_stats``."""
+    path, staged = scratch_dir(spark, "merged"), scratch_dir(spark, "batches")
+    number = F.pmod(F.xxhash64("warc_filename", "warc_record_id"), F.lit(20))
+    enriched(spark, folder).withColumn("batch", number).write.partitionBy("batch").parquet(staged)
+    batches = spark.read.parquet(staged)
+    for batch in range(20):
+        partials = stats.url_partials(batches.where(F.col("batch") == batch))
+        merged.add_batch(partials, path, "stream", batch)
+    return merged.merged_domain_stats(spark, path)
+
+
 def _harvest_twice(spark: SparkSession, folder: str) -> tuple[str, str]:
     """Two runs on one checkpoint: pages, then also documents; then one with nothing new."""
     root = scratch_dir(spark, "archives")
@@ -608,10 +699,15 @@ QUERIES = {
         contacts_table_roundtrip,
         parquet_snapshot_roundtrip,
         contacts_table_in_catalog,
+        contacts_between_dates,
+        contacts_versions,
         archive_records,
         dirty_archive_records,
         archive_listing,
         archive_report,
+        archive_quarantine,
+        ledger_runs,
+        merged_batch_stats,
         incremental_harvest,
         incremental_domain_stats,
         incremental_two_crawls,

@@ -83,6 +83,8 @@ def test_arguments():
         "repair": True,
         "skip_bad_files": False,
         "skip_long_records": False,
+        "ledger_path": None,
+        "versioned": False,
     }
     options = "--no-repair --skip-bad-files --skip-long-records --table a.b"
     args = parse_arguments([*required, *options.split()])
@@ -107,6 +109,8 @@ def test_damaged_files_fail_the_job_or_are_counted(spark, tmp_path):
     # one row, though the run was repeated
     (row,) = spark.read.json(metrics).collect()
     assert (row.run_id, row.responses, row.incomplete) == ("CRAWL_20240101_120000", 1, 0)
+    (bad,) = spark.read.parquet(str(tmp_path / "out" / "rejected_*")).collect()
+    assert bad.file_path.endswith("bad.warc.gz") and bad.reason == "unreadable file"
 
 
 def test_table_and_categories(spark, tmp_path):

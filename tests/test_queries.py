@@ -15,6 +15,7 @@ FOLDER = TESTDATA / os.environ.get("TEST_SF", "sf0.01")
 SPARK_TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
+    "boolean": "BOOLEAN",
     "string": "VARCHAR",
     "double": "DOUBLE",
     "timestamp": "TIMESTAMP",
