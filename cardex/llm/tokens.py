@@ -11,6 +11,7 @@ ranks at once.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from array import array
@@ -48,6 +49,46 @@ _PLAIN = re.compile(r"[!-~ß-öø-ÿ]+")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
+# The parts of a tokenizer whose texts may be encoded word by word.
+_BY_WORDS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def by_words(settings: dict) -> bool:
+    """Whether a tokenizer, given by its file's content, never joins two words.
+
+    Known for one normaliser with one splitter, for a model without chance whose special
+    tokens begin with a mark that no other piece holds.
+    """
+    model = settings["model"]
+    return (
+        all(settings.get(part) == known for part, known in _BY_WORDS.items())
+        and model.get("type") == "BPE"
+        and not model.get("dropout")
+        and all(t["content"].startswith("<|") and not t["normalized"] for t in settings["added_tokens"])
+    )
+
+
 def _byte_characters() -> dict[int, str]:
     """The characters that stand for bytes in a byte-level vocabulary."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -144,16 +185,21 @@ def decode_block(content: bytes) -> tuple[list[bytes | None], np.ndarray, np.nda
 class Encoder:
     """Ids of texts, the same as encoding each text whole, with words remembered.
 
-    The tokenizer never joins characters across white space, and it lower-cases.  So a
-    text's ids are those of its words; words of plain Latin letters, digits and marks
-    fall into pieces that its model encodes one by one.  Other words are encoded by the
-    tokenizer itself, and so is a whole text in which a special token may stand.
+    A tokenizer that ``by_words`` knows never joins characters across white space, and
+    it lower-cases.  So a text's ids are those of its words; words of plain Latin
+    letters, digits and marks fall into pieces that its model encodes one by one.  Other
+    words are encoded by the tokenizer itself, and so is a whole text in which a special
+    token may stand.  Any other tokenizer gets all texts whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # whole texts, whatever the file says
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_words = by_words(json.loads(self.tokenizer.to_str()))
         self.model = self.tokenizer.model
         # ids as bytes of unsigned 32-bit integers, so that many join at once
         self.known: dict[bytes, bytes] = {}
@@ -189,6 +235,8 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's with the end id last, and how many each text has."""
+        if not self.by_words:
+            return self._whole(texts)
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(~special), texts, "") if special.any() else texts
         flat, places = arrays.words(_parted(pc.ascii_lower(plain)))
@@ -208,6 +256,11 @@ class Encoder:
         counts = arrays.sums(sizes[codes], places) + 1
         return self._with_whole(texts, special, ids, counts) if special.any() else (ids, counts)
 
+    def _whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
+        parts = [np.array([*e.ids, END_ID], np.uint32) for e in found]
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
     def _with_whole(self, texts, special, ids, counts) -> tuple[np.ndarray, np.ndarray]:
         marked = texts.filter(pa.array(special)).to_pylist()
         whole = iter(self.tokenizer.encode_batch(marked, add_special_tokens=False))

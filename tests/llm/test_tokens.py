@@ -1,5 +1,7 @@
+import json
 import struct
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,20 +25,46 @@ TEXTS = [
 ]
 
 
-def whole(texts):
+VOCABULARIES = sorted(str(p) for p in Path(PATH).parent.glob("*.json"))
+
+
+def whole(texts, path=PATH):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer = Tokenizer.from_file(path)
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [T.END_ID] for t in texts]
 
 
-def encoded(texts):
-    ids, counts = T.encoder(PATH).encode(pa.array(texts, pa.string()))
+def encoded(texts, path=PATH):
+    ids, counts = T.encoder(path).encode(pa.array(texts, pa.string()))
     return [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])]
 
 
-def test_same_ids_as_whole_texts():
-    assert encoded(TEXTS) == whole(TEXTS)
+@pytest.mark.parametrize("path", VOCABULARIES)
+def test_same_ids_as_whole_texts(path):
+    texts = [*TEXTS, "", " ", "Plain words, twice plain words.\n\n  Indented", prose(3, 200)]
+    assert encoded(texts, path) == whole(texts, path)
+
+
+def test_words_are_remembered_only_where_that_is_known_to_be_right():
+    assert len(VOCABULARIES) >= 2
+    assert [p for p in VOCABULARIES if T.encoder(p).by_words] == [PATH]
+    settings = json.loads(Path(PATH).read_text())
+    assert T.by_words(settings)
+    for part in ("normalizer", "pre_tokenizer"):
+        assert not T.by_words({**settings, part: None})
+    settings["added_tokens"][0]["content"] = "token"
+    assert not T.by_words(settings)
+
+
+def test_files_of_another_vocabulary(spark, documents):
+    (other,) = [p for p in VOCABULARIES if p != PATH]
+    rows = [(i, t) for i, t in enumerate([*TEXTS, None, "", prose(5, 90)])]
+    path = scratch_dir(spark, "tokens")
+    T.write_tokens(documents(rows), path, other)
+    found = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in T.token_digest(spark, path).collect()}
+    expected = whole([t for _, t in rows], other)
+    assert found == {i: (len(x), zlib.crc32(struct.pack(f"<{len(x)}I", *x))) for i, x in enumerate(expected)}
 
 
 @settings(max_examples=150, deadline=None)
