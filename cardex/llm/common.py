@@ -48,18 +48,20 @@ def _running(values: str, start: str) -> str:
     return f"aggregate({values}, array({start}), (acc, v) -> {step})"
 
 
-def prefix_sums(values: str) -> str:
+def prefix_sums(values: str, zero: str = "0") -> str:
     """SQL: for each element of an INT array the sum of those before it.
 
+    ``zero`` is 0 in the type of the sums, ``0L`` for those of BIGINT.
+
     Runs of about the square root of the length are summed one by one and then
     shifted, so that a document with very many matches takes no quadratic time.
     """
     size = "cast(ceil(sqrt(size(vs))) as int)"
     runs = f"transform(sequence(0, cast((size(vs) - 1) div n as int)), b -> slice(vs, b * n + 1, n))"
-    sums = f"transform(rs, r -> {_running('r', '0')})"
+    sums = f"transform(rs, r -> {_running('r', zero)})"
     totals = "transform(ss, s -> element_at(s, -1))"
     shifted = "flatten(transform(ss, (s, i) -> transform(slice(s, 1, size(s) - 1), x -> x + os[i])))"
-    body = let("n", size, let("rs", runs, let("ss", sums, let("os", _running(totals, "0"), shifted))))
+    body = let("n", size, let("rs", runs, let("ss", sums, let("os", _running(totals, zero), shifted))))
     return let("vs", values, f"if(size(vs) = 0, vs, {body})")
 
 
