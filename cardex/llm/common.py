@@ -65,6 +65,51 @@ def prefix_sums(values: str, zero: str = "0") -> str:
     return let("vs", values, f"if(size(vs) = 0, vs, {body})")
 
 
+def cut_many(text: str, ranges: str) -> str:
+    """SQL ARRAY<STRING>: what ``text`` holds in each STRUCT<start, end> of an array.
+
+    Starts must not decrease.  To find a place in a text Spark walks to it, so ranges
+    are cut in runs: each run's part of the text once, and the ranges from that.
+    """
+    runs = "transform(sequence(0, cast((size(rgs) - 1) div rn as int)), b -> slice(rgs, b * rn + 1, rn))"
+    part = f"substr({text}, r0[0].start + 1, array_max(transform(r0, x -> x.end)) - r0[0].start)"
+    cut = "transform(r0, x -> substr(part, x.start - r0[0].start + 1, x.end - x.start))"
+    cuts = f"flatten(transform({runs}, r0 -> {let('part', part, cut)}))"
+    body = let("rn", "cast(ceil(sqrt(size(rgs))) as int)", cuts)
+    return let("rgs", ranges, f"if(size(rgs) = 0, cast(array() as array<string>), {body})")
+
+
+def counts_up_to(points: str, values: str, inclusive: bool) -> str:
+    """SQL ARRAY<INT>: for each point how many values are less, or also equal.
+
+    Both are INT arrays in any order; the time is that of sorting them.
+    """
+    value, point = (0, 1) if inclusive else (1, 0)
+    events = (
+        f"sort_array(concat(transform({values}, v -> named_struct('at', v, 'o', {value}, 'i', -1)),"
+        f" transform({points}, (p, i) -> named_struct('at', p, 'o', {point}, 'i', i))))"
+    )
+    counts = let(
+        "sums",
+        prefix_sums("transform(events, e -> if(e.i < 0, 1, 0))"),
+        "transform(sort_array(filter(transform(events, (e, k) -> named_struct('i', e.i, 'n', sums[k])),"
+        " x -> x.i >= 0)), x -> x.n)",
+    )
+    return let("events", events, counts)
+
+
+def with_clear(frame: DataFrame, name: str, spans: str, others: str) -> DataFrame:
+    """``frame`` with the spans of one column that overlap none of another column's.
+
+    Takes columns, not expressions: Spark's analyzer allows a limited depth.
+    """
+    begun = counts_up_to(f"transform({spans}, x -> x.end)", f"transform({others}, x -> x.start)", False)
+    ended = counts_up_to(f"transform({spans}, x -> x.start)", f"transform({others}, x -> x.end)", True)
+    # bound by ``let``: Spark would move a column into the lambda, and count for each span
+    kept = let("begun", begun, let("ended", ended, f"filter({spans}, (x, j) -> begun[j] = ended[j])"))
+    return frame.withColumn(name, F.expr(f"if(size({spans}) = 0 or size({others}) = 0, {spans}, {kept})"))
+
+
 def matches_sql(text: str, pattern: str, group: int = 0) -> str:
     """SQL: ARRAY<STRUCT<start, end, value>> of the leftmost non-overlapping matches.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardex.llm.common import joined_spans, let, matches_sql, raw
+from cardex.llm.common import counts_up_to, cut_many, joined_spans, let, matches_sql, raw, with_clear
 
 # The patterns of the base kinds, written so that Java's matcher neither recurses nor
 # starts anew within a run it has just seen fail; they match the same spans.
@@ -100,14 +100,13 @@ def _kept(spans: str, condition: str) -> str:
     return f"filter({spans}, s -> {condition})"
 
 
-def _score(kind: str, text: str) -> str:
-    """SQL DOUBLE: form and the words within ``REACH`` of a span ``s``."""
-    near = (
-        f"concat(substr({text}, greatest(s.start - {REACH}, 0) + 1, least(s.start, {REACH})),"
-        f" ' ', substr({text}, s.end + 1, {REACH}))"
-    )
+def _scored(kind: str, spans: str, text: str) -> str:
+    """SQL: the spans that form and the words within ``REACH`` of them speak for."""
+    before = cut_many(text, f"transform(fs, s -> named_struct('start', greatest(s.start - {REACH}, 0), 'end', s.start))")
+    after = cut_many(text, f"transform(fs, s -> named_struct('start', s.end, 'end', s.end + {REACH}))")
     words = f"if(n rlike r'{FOR[kind]}', {CONTEXT_SCORE}D, 0D) - if(n rlike r'{AGAINST}', {CONTEXT_SCORE}D, 0D)"
-    return f"{FORM_SCORE[kind]}D + {let('n', near, words)}"
+    enough = let("n", "concat(before[j], ' ', after[j])", f"{FORM_SCORE[kind]}D + {words} >= {MIN_SCORE}D - 1e-9D")
+    return let("fs", spans, let("before", before, let("after", after, f"filter(fs, (s, j) -> {enough})")))
 
 
 def _ibans(text: str) -> str:
@@ -126,18 +125,18 @@ def _ibans(text: str) -> str:
         f" and {mod97_sql(compact)})"
     )
     # 34 letters and digits with a space before each but the first, and what follows
+    texts = cut_many(text, "transform(fs, s -> named_struct('start', s.start, 'end', s.start + 68))")
     span = let(
         "v",
-        f"substr({text}, s.start + 1, 68)",
+        "texts[j]",
         let(
             "m",
             f"array_max({ends})",
             "if(m is null, null, named_struct('start', s.start, 'end', s.start + m, 'value', substr(v, 1, m)))",
         ),
     )
-    return f"filter(transform({matches_sql(text, IBAN)}, s -> {span}), s -> s is not null)"
-
-
+    found = let("texts", texts, f"filter(transform(fs, (s, j) -> {span}), s -> s is not null)")
+    return let("fs", matches_sql(text, IBAN), found)
 
 
 def _validated(kind: str, text: str) -> str:
@@ -162,7 +161,7 @@ def _validated(kind: str, text: str) -> str:
         return _kept(found, check)
     if kind == "phone":
         return _kept(found, f"length({_digits('s.value')}) between 10 and 15")
-    return _kept(found, f"{_score(kind, text)} >= {MIN_SCORE}D - 1e-9D")
+    return _scored(kind, found, text)
 
 
 def _tagged(kind: str, spans: str) -> str:
@@ -184,34 +183,45 @@ def pii_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     base = ", ".join(_tagged(k, _validated(k, "_t")) for k in BASE)
     added = ", ".join(_tagged(k, _validated(k, "_t")) for k in ADDED)
-    clear = "filter(a, x -> not exists(b, y -> x.start < y.end and y.start < x.end))"
-    both = let(
-        "b",
-        f"array_sort(concat({base}))",
-        let("a", f"concat({added})", f"named_struct('base', b, 'spans', array_sort(concat(b, {clear})))"),
-    )
-    return (
-        documents.select(F.col(id_col), F.col(text_col), F.expr(f"coalesce({text_col}, '') as _t"))
-        .select(id_col, text_col, F.expr(f"{both} as _found"))
-        .select(id_col, text_col, "_found.base", "_found.spans")
+    found = documents.select(
+        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.expr(f"coalesce({text_col}, '') as _t")
+    ).select("_id", "_text", F.expr(f"array_sort(concat({base})) as _base"), F.expr(f"concat({added}) as _added"))
+    return with_clear(found, "_clear", "_added", "_base").select(
+        F.col("_id").alias(id_col),
+        F.col("_text").alias(text_col),
+        F.col("_base").alias("base"),
+        F.expr("array_sort(concat(_base, _clear)) as spans"),
     )
 
 
 def masked(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, text_col`` with every span replaced by its kind in angle brackets.
 
-    Of overlapping spans the first is masked and those that begin within it vanish
-    with it.  A text without spans, or NULL, stays as it is.
+    Spans that overlap are masked as one, under the kind of the first.  A text without
+    spans, or NULL, stays as it is.
     """
-    spans = (
-        "aggregate(spans, named_struct('at', 0, 'parts', cast(array() as array<string>)),"
-        " (acc, s) -> if(s.start < acc.at, acc, named_struct('at', s.end, 'parts', concat(acc.parts,"
-        f" array(substr({text_col}, acc.at + 1, s.start - acc.at), concat('<', s.kind, '>')))))"
-        f", acc -> concat(array_join(acc.parts, ''), substr({text_col}, acc.at + 1)))"
+    # a span begins a region if all that began before it have ended
+    ended = counts_up_to("transform(spans, s -> s.start)", "transform(spans, s -> s.end)", True)
+    firsts = let("ended", ended, "filter(sequence(0, size(spans) - 1), k -> ended[k] = k)")
+    regions = (
+        "transform(firsts, (k, j) -> named_struct('kind', spans[k].kind, 'start', spans[k].start, 'end',"
+        " array_max(transform(slice(spans, k + 1, coalesce(get(firsts, j + 1), size(spans)) - k), s -> s.end))))"
     )
-    found = pii_spans(documents, id_col, text_col)
-    return found.select(
-        id_col, F.expr(f"if(size(spans) = 0, {text_col}, {spans})").alias(text_col)
+    gaps = (
+        "transform(concat(regions, array(named_struct('kind', '', 'start', length(_m), 'end', 0))),"
+        " (r, j) -> named_struct('start', if(j = 0, 0, regions[j - 1].end), 'end', r.start))"
+    )
+    parts = "transform(kept, (g, j) -> if(j < size(regions), array(g, concat('<', regions[j].kind, '>')), array(g)))"
+    none = "size(spans) = 0"
+    found = pii_spans(documents, id_col, text_col).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_m"), "spans")
+    return (
+        found.select("*", F.expr(f"if({none}, null, {firsts}) AS firsts"))
+        .select("*", F.expr(f"{regions} AS regions"))
+        .select("*", F.expr(f"if({none}, null, {cut_many('_m', gaps)}) AS kept"))
+        .select(
+            F.col("_id").alias(id_col),
+            F.expr(f"if({none}, _m, array_join(flatten({parts}), ''))").alias(text_col),
+        )
     )
 
 

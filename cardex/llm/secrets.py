@@ -4,8 +4,10 @@ One model is trained on labelled random strings, the other on labelled ordinary
 identifiers; a token's score is the mean log-likelihood ratio of its character
 transitions.  The labelled samples are bounded: random strings are what the base rules
 find plus generated digests, ordinary ones are words of a sample of documents and
-identifiers put together from them.  Finding, scoring and training counts are SQL
-expressions; scoring is one pass over the text without a shuffle.
+identifiers put together from them.  The threshold depends on a token's length and on
+whether it holds a digit, as short tokens and mere letters tell less.  Finding, scoring
+and training counts are SQL expressions; scoring is one pass over the text without a
+shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardex.llm.common import joined_spans, let, matches_sql, raw
+from cardex.llm.common import joined_spans, let, matches_sql, raw, with_clear
 
 ASSIGN = (
     r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -25,22 +27,29 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
 MIN_ASSIGNED = 6
 KINDS = ("assign", "access", "hex", "markov")
 
-# Tokens the models judge: long enough to tell, of several kinds of characters.
-MIN_TOKEN = 20
-TOKEN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}+"
-MIXED = r"^(?=.*[0-9])(?=.*[A-Za-z])"
+# Tokens the models judge: runs of such characters, so names and values, and the parts
+# of a path, are tokens of their own.
+MIN_TOKEN = 16
+TOKEN = rf"(?<![A-Za-z0-9+_-])[A-Za-z0-9+_-]{{{MIN_TOKEN},}}+"
+# Classes of tokens with a threshold of their own: from these lengths on, each with and
+# without a digit.
+LENGTHS = (16, 20, 28, 40)
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-# Labelled rows a model is fitted on: documents whose words are taken, words of each,
-# secrets found by the base rules, generated random strings.
+# Labelled rows a model is fitted on: documents whose words are taken and words of each,
+# documents searched for secrets by the base rules and secrets of them, generated random
+# strings of each kind.
 SAMPLE_DOCUMENTS = 2000
 WORDS_PER_DOCUMENT = 60
+SECRET_DOCUMENTS = 20_000
 # Words from this length on may be secrets that no base rule names.
 LONGEST_WORD = 16
 SAMPLE_SECRETS = 5000
 GENERATED = 2000
-# Share of held-out ordinary identifiers that may score above the threshold.
+# Share of held-out ordinary identifiers of a class that may score above its threshold,
+# and the least threshold.
 FALSE_ALARMS = 0.001
+LEAST_THRESHOLD = 0.5
 
 
 def _base_spans(text: str) -> dict[str, str]:
@@ -77,29 +86,35 @@ def transitions_sql(token: str) -> str:
     return let("cs", codes, pairs)
 
 
-def labelled_samples(documents: DataFrame, text_col: str = "text") -> DataFrame:
+def _chosen(documents: DataFrame, most: int, rows: int) -> DataFrame:
+    """About ``most`` of the documents by the hash ``_order`` of id and text."""
+    return documents.where(F.pmod("_order", F.lit(max(1, rows // most))) == 0)
+
+
+def labelled_samples(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``token, label``: at most a fixed number of labelled random and ordinary strings.
 
-    Documents are chosen by a hash of text and row content, so the sample is the same in
-    every run, and copies of one text are as likely as any other row.
+    Documents are chosen by a hash of id and text, words by a hash from all over them,
+    so the sample is the same in every run, and copies of one text are as likely as any
+    other row.  Other columns are ignored.
     """
     spark = documents.sparkSession
     rows = documents.count()
-    one_in = max(1, rows // SAMPLE_DOCUMENTS)
-    order = F.xxhash64(*[F.col(c) for c in documents.columns if c != text_col], F.xxhash64(text_col))
-    word = r"[A-Za-z0-9]{5,}"
+    texts = documents.select(
+        F.xxhash64(F.col(id_col), F.xxhash64(text_col)).alias("_order"), F.col(text_col).alias("_text")
+    )
+    found_words = f"array_distinct(regexp_extract_all(_text, {raw('[A-Za-z0-9]{5,}')}, 0))"
+    hashed = f"transform({found_words}, w -> named_struct('h', xxhash64(w, _order), 'w', w))"
     words = (
-        documents.where(F.pmod(order, F.lit(one_in)) == 0)
-        .select(
-            order.alias("_order"),
-            F.expr(f"slice(regexp_extract_all({text_col}, {raw(word)}, 0), 1, {WORDS_PER_DOCUMENT}) as ws"),
-        )
+        _chosen(texts, SAMPLE_DOCUMENTS, rows)
+        .select("_order", F.expr(f"transform(slice(sort_array({hashed}), 1, {WORDS_PER_DOCUMENT}), x -> x.w) as ws"))
         .orderBy("_order")
         .limit(SAMPLE_DOCUMENTS)
     )
     styles = (
         "array(w, concat_ws('_', w, n, m), concat_ws('-', w, n, m), concat(lower(w), initcap(n), initcap(m)),"
-        " concat_ws('_', upper(w), upper(n), i), concat_ws('/', w, n, m, i))"
+        " concat_ws('_', upper(w), upper(n), i), concat_ws('_', w, n), concat(lower(w), initcap(n)),"
+        " lower(concat(w, n)), upper(concat_ws('_', w, n)), concat_ws('-', lower(w), lower(n), i))"
     )
     names = let(
         "l",
@@ -109,7 +124,8 @@ def labelled_samples(documents: DataFrame, text_col: str = "text") -> DataFrame:
     )
     ordinary = words.select(F.expr(f"explode_outer({names}) as token"), F.lit(0).alias("label"))
     found = (
-        documents.select(F.expr(f"explode_outer({_all_base(f'coalesce({text_col}, {raw(str())})')}) as s"))
+        _chosen(texts, SECRET_DOCUMENTS, rows)
+        .select(F.expr(f"explode_outer({_all_base(f'coalesce(_text, {raw(str())})')}) as s"))
         .where("s is not null")
         .select(F.expr("regexp_replace(s.value, '[^A-Za-z0-9+/_=-]', '') as token"))
         .groupBy("token")
@@ -121,13 +137,19 @@ def labelled_samples(documents: DataFrame, text_col: str = "text") -> DataFrame:
     )
     digest = F.sha2(F.col("id").cast("string"), 512)
     bits = F.base64(F.unhex(digest))
+    # digests of digests, for long runs of letters only
+    more = F.base64(F.unhex(F.concat(digest, F.sha2(digest, 512), F.sha2(F.concat(digest, digest), 512))))
+    length = (F.col("id") % 25 + MIN_TOKEN).cast("int")
+    letters = F.regexp_replace(more, "[^A-Za-z]", "")
     generated = spark.range(GENERATED).select(
         F.explode(
             F.array(
                 F.substring(bits, 1, 40),
                 F.substring(digest, 1, 40),
-                F.substring(F.regexp_replace(bits, "[+/=]", ""), 1, 32),
+                F.substring(F.regexp_replace(bits, "[+/=]", ""), F.lit(1), length),
                 F.upper(F.substring(F.regexp_replace(bits, "[+/=a-z]", ""), 1, 24)),
+                F.substring(letters, F.lit(1), length),
+                F.substring(F.regexp_replace(letters, "[A-Z]", ""), F.lit(1), length),
             )
         ).alias("token"),
         F.lit(1).alias("label"),
@@ -160,22 +182,30 @@ def score_sql(token: str, table: list[float]) -> str:
     return let("ts", transitions_sql(token), f"if(size(ts) = 0, 0D, {total} / size(ts))")
 
 
+def class_sql(token: str) -> str:
+    """SQL INT: the class of a token's threshold, -1 if it is too short to be judged."""
+    length = "".join(f" when length({token}) >= {n} then {k}" for k, n in reversed(list(enumerate(LENGTHS))))
+    return f"(case{length} else -1 end * 2 + if(length({token}) >= {MIN_TOKEN} and {token} rlike '[0-9]', 1, 0))"
+
+
 class MarkovModel:
-    """Log ratios of all transitions and the threshold on their mean."""
+    """Log ratios of all transitions and each class's threshold on their mean."""
 
-    def __init__(self, table: list[float], threshold: float):
+    def __init__(self, table: list[float], thresholds: list[float]):
         self.table = table
-        self.threshold = threshold
+        self.thresholds = thresholds
 
     def is_random(self, token: str) -> str:
-        return f"({score_sql(token, self.table)} >= {self.threshold}D)"
+        limits = ", ".join(f"{x}D" for x in self.thresholds)
+        return f"({score_sql(token, self.table)} >= array({limits})[{class_sql(token)}])"
 
 
 def fit(samples: DataFrame) -> MarkovModel:
-    """Train on four fifths of the samples, set the threshold on the held-out fifth.
+    """Train on four fifths of the samples, set the thresholds on the held-out fifth.
 
     What reaches the driver is one count per label and transition (the alphabet bounds
-    them) and one quantile.  Without samples nothing counts as random.
+    them) and a quantile of each class.  A class without ordinary tokens takes the
+    strictest threshold of the others.
     """
     held_out = F.pmod(F.xxhash64("token"), F.lit(5)) == 0
     counts = (
@@ -187,12 +217,13 @@ def fit(samples: DataFrame) -> MarkovModel:
         .collect()
     )
     table = _log_ratios(counts)
-    judged = F.length("token") >= MIN_TOKEN
-    scored = samples.where(held_out & judged & (F.col("label") == 0)).select(
-        F.expr(f"{score_sql('token', table)} as score")
+    scored = samples.where(held_out & (F.length("token") >= MIN_TOKEN) & (F.col("label") == 0)).select(
+        F.expr(f"{class_sql('token')} as class"), F.expr(f"{score_sql('token', table)} as score")
     )
-    quantile = scored.agg(F.percentile_approx("score", 1 - FALSE_ALARMS, 10000)).first()[0]
-    return MarkovModel(table, max(0.5, 0.0 if quantile is None else round(quantile, 4)))
+    quantiles = scored.groupBy("class").agg(F.percentile_approx("score", 1 - FALSE_ALARMS, 10000).alias("limit"))
+    limits = {r["class"]: max(LEAST_THRESHOLD, round(r["limit"], 4)) for r in quantiles.collect()}
+    strictest = max(limits.values(), default=LEAST_THRESHOLD)
+    return MarkovModel(table, [limits.get(k, strictest) for k in range(2 * len(LENGTHS))])
 
 
 def secret_spans(
@@ -208,18 +239,15 @@ def secret_spans(
     overlap no base span.  NULL text is searched as '' and has empty lists; repeated
     rows and NULL ids stay rows of their own; other columns are ignored.
     """
-    tokens = f"filter({matches_sql('_t', TOKEN)}, s -> s.value rlike '{MIXED}')"
-    clear = "filter(c, x -> not exists(b, y -> x.start < y.end and y.start < x.end))"
-    random = _tagged("markov", f"filter({clear}, s -> {model.is_random('s.value')})")
-    both = let(
-        "b",
-        _all_base("_t"),
-        let("c", tokens, f"named_struct('base', b, 'spans', array_sort(concat(b, {random})))"),
+    tokens = matches_sql("_t", TOKEN)
+    random = _tagged("markov", f"filter(_clear, s -> {model.is_random('s.value')})")
+    found = documents.select(F.col(id_col).alias("_id"), F.expr(f"coalesce({text_col}, '') as _t")).select(
+        "_id", F.expr(f"{_all_base('_t')} as _base"), F.expr(f"{tokens} as _tokens")
     )
-    return (
-        documents.select(F.col(id_col), F.expr(f"coalesce({text_col}, '') as _t"))
-        .select(id_col, F.expr(f"{both} as _found"))
-        .select(id_col, "_found.base", "_found.spans")
+    return with_clear(found, "_clear", "_tokens", "_base").select(
+        F.col("_id").alias(id_col),
+        F.col("_base").alias("base"),
+        F.expr(f"array_sort(concat(_base, {random})) as spans"),
     )
 
 

@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import plain
 from cardex.llm import pii as P
@@ -76,6 +78,33 @@ def test_masking(spark, documents):
     ]
 
 
+def test_overlapping_spans_are_masked_as_one(spark, documents):
+    text = "x a@1.2.3.4 y +1 4111 1111 1111 1111 z"
+    (row,) = P.pii_spans(documents([(1, text)])).collect()
+    covered = {p for s in row.spans for p in range(s.start, s.end)}
+    assert len(row.spans) == 2
+    (masked,) = P.masked(documents([(1, text)])).collect()
+    left = "".join(c for p, c in enumerate(text) if p not in covered)
+    assert re.sub("<[a-z_]+>", "", masked.text) == left
+
+
+def test_time_grows_with_the_text(spark, documents):
+    one = "mail a{0}@b.cd call 523-555-1055 card 4111 1111 1111 1111 DE89 3704 0044 0532 0130 00 ssn 123-45-6789; "
+
+    def seconds(n):
+        table = documents([(1, "".join(one.format(i) for i in range(n)))]).cache()
+        table.count()
+        start = time.perf_counter()
+        (row,) = P.masked(table).selectExpr("length(text) AS size").collect()
+        return time.perf_counter() - start, row.size
+
+    seconds(100)
+    (few, few_size), (many, many_size) = seconds(1000), seconds(4000)
+    assert many_size == 4 * few_size
+    # four times the text; quadratic work would take sixteen times
+    assert many < 8 * few + 1
+
+
 def test_empty_table_and_plan(spark, documents):
     found = P.pii_spans(documents([(1, "x")]).where("false"))
     assert found.collect() == []

@@ -1,5 +1,6 @@
 import random
 import string
+import time
 
 import plain
 from cardex.llm import secrets as S
@@ -19,7 +20,7 @@ TEXTS = [
 
 def test_base_spans(spark, documents, odd_rows):
     rows = odd_rows + list(enumerate(TEXTS, 100))
-    model = S.MarkovModel([0.0] * (len(S.ALPHABET) + 1) ** 2, 99.0)
+    model = S.MarkovModel([0.0] * (len(S.ALPHABET) + 1) ** 2, [99.0] * 8)
     found = S.secret_spans(documents(rows), model).collect()
     expected = odd((i, plain.secrets(t)) for i, t in rows)
     assert odd((r.doc_id, [(s.kind, s.start, s.end) for s in r.base]) for r in found) == expected
@@ -41,9 +42,56 @@ def test_models_tell_random_strings_from_identifiers(spark, documents):
     assert {(s.kind, s.start, s.end) for i in range(40) for s in found[i]} <= {("markov", start, start + 32)}
 
 
+def trained(documents):
+    rows = [(i, f"{prose(i, 60)} token = {RANDOM.randbytes(20).hex()}") for i in range(300)]
+    return S.fit(S.labelled_samples(documents(rows)))
+
+
+def test_letters_only_short_and_assigned_strings(spark, documents):
+    model = trained(documents)
+    rows, expected = [], {}
+    for i in range(30):
+        letters = "".join(RANDOM.choices(string.ascii_letters, k=32))
+        short = "".join(RANDOM.choices(string.ascii_letters + string.digits, k=18))
+        value = "".join(RANDOM.choices(string.ascii_letters + string.digits, k=24))
+        name = "_".join(prose(i, 3).split())
+        rows += [(3 * i, f"a {letters} b"), (3 * i + 1, f"a {short} b"), (3 * i + 2, f"https://h.org/{name}/{value} {name}={value}")]
+        expected |= {3 * i: [letters], 3 * i + 1: [short], 3 * i + 2: [value, value]}
+    found = {r.doc_id: [s.value for s in r.spans] for r in S.secret_spans(documents(rows), model).collect()}
+    caught = [sum(found[i] == expected[i] for i in range(k, 90, 3)) for k in range(3)]
+    assert caught[0] >= 27 and caught[1] >= 24 and caught[2] >= 27
+
+
+def test_tables_with_columns_of_any_kind(spark, documents):
+    frame = spark.sql(
+        "SELECT id AS doc_id, 'token = 0123456789abcdef0123456789' AS text, map('k', id) AS m, id AS `a.b`,"
+        " 1 AS _text, 2 AS _order, 3 AS token, 4 AS _base FROM range(30)"
+    )
+    found = S.secret_spans(frame, S.fit(S.labelled_samples(frame))).collect()
+    assert len(found) == 30 and all([s.kind for s in r.base] == ["assign", "hex"] for r in found)
+
+
+def test_time_grows_with_the_text(spark, documents):
+    model = S.MarkovModel([9.0] * (len(S.ALPHABET) + 1) ** 2, [0.0] * 8)
+
+    def seconds(n):
+        text = "".join(f"token = abcdef{i:06} Abcdefghijklmnop{i:06} " for i in range(n))
+        table = documents([(1, text)]).cache()
+        table.count()
+        start = time.perf_counter()
+        (row,) = S.secret_spans(table, model).selectExpr("size(base) AS base", "size(spans) AS spans").collect()
+        assert (row.base, row.spans) == (n, 2 * n)
+        return time.perf_counter() - start
+
+    seconds(100)
+    few, many = seconds(2500), seconds(10_000)
+    # four times the text; quadratic work would take sixteen times
+    assert many < 8 * few + 1
+
+
 def test_added_spans_leave_base_spans_alone(spark, documents):
     text = "token = " + "0123456789abcdef" * 3
-    model = S.MarkovModel([9.0] * (len(S.ALPHABET) + 1) ** 2, 0.0)
+    model = S.MarkovModel([9.0] * (len(S.ALPHABET) + 1) ** 2, [0.0] * 8)
     (row,) = S.secret_spans(documents([(1, text + " x " + "Z9" * 12)]), model).collect()
     assert [s.kind for s in row.spans] == ["assign", "hex", "markov"]
     assert [s.kind for s in row.base] == ["assign", "hex"]
@@ -56,6 +104,6 @@ def test_nothing_to_train_on(spark, documents):
 
 
 def test_no_python_runs(spark, documents):
-    model = S.MarkovModel([0.0] * (len(S.ALPHABET) + 1) ** 2, 0.0)
+    model = S.MarkovModel([0.0] * (len(S.ALPHABET) + 1) ** 2, [0.0] * 8)
     plan = S.secret_spans(documents([(1, "x")]), model)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
