@@ -115,21 +115,22 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP3_SQL = r"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+lines AS (
+  SELECT r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents),
+  FROM rows),
 keyed AS (
-  SELECT doc_id, pos, line,
+  SELECT r, doc_id, pos, line,
          translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM lines),
 shared AS (
   SELECT key FROM keyed WHERE length(key) >= 1
-  GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+  GROUP BY key HAVING count(DISTINCT r) >= 10),
 marked AS (
   SELECT k.*, s.key IS NOT NULL AS dropped FROM keyed k LEFT JOIN shared s ON k.key = s.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY r, doc_id
 """

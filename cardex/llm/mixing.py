@@ -69,8 +69,8 @@ def phases(blocks: Mapping[str | None, int], parts: Mapping[str | None, int]) ->
     """``(source, phase, first, last, parts, period, offset, slots)`` of every phase.
 
     A source's blocks ``first`` to ``last`` (exclusive) fall into the phase; a phase ends
-    with the last block of a source.  One row for each source and phase, so this grows
-    with the number of sources only.
+    with the last block of a source.  One row for each source and phase: independent of
+    the number of documents, but it grows with the square of the number of sources.
     """
     left = {s: n for s, n in blocks.items() if n > 0}
     done = dict.fromkeys(left, 0)

@@ -436,13 +436,42 @@ def ngram_links(
     )
 
 
-def one_per_component(documents: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents whose id is their component's smallest; NULL ids stay.
+def without_near_duplicates(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    n: int = NGRAM,
+    similarity: tuple[int, int] = SIMILARITY,
+) -> DataFrame:
+    """One row of every group of linked documents, with all columns.
 
-    Give it the result of ``ngram_components``.  Rows that share the kept id all stay.
+    The one with the smallest id stays, NULL being greater than any; among texts of one
+    id a hash of the text decides, and of rows equal in both any single one stays.
+    Documents without words are linked with nothing and all stay, repeated rows too.
     """
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct()
-    return documents.join(kept, documents[id_col].eqNullSafe(kept["_kept"]), "left_semi")
+    names = [f"_c{k}" for k in range(len(documents.columns))]
+    id_name, text_name = (names[documents.columns.index(c)] for c in (id_col, text_col))
+    rank = F.struct(
+        F.col(id_name).isNull().alias("unknown"),
+        F.coalesce(F.col(id_name), F.lit(0)).alias("id"),
+        F.xxhash64(F.coalesce(F.col(text_name), F.lit(""))).alias("written"),
+    )
+    rows = documents.toDF(*names).withColumn("_rank", rank)
+    found = ngram_components(rows.select("_rank", text_name), "_rank", text_name, n, similarity)
+    winners = store(
+        documents.sparkSession,
+        found.where("_rank = component_id")
+        .groupBy("_rank")
+        .agg(((F.count(F.lit(1)) > 1) & (F.max("n_shingles") > 0)).alias("_again")),
+        "winners",
+    )
+    left = rows.join(winners.where("not _again"), "_rank", "left_semi").select(names)
+    again = winners.where("_again")
+    if not again.isEmpty():
+        # rows equal in id and text win together: combined before they are shuffled
+        several = rows.join(again, "_rank", "left_semi").dropDuplicates(["_rank"])
+        left = left.unionByName(several.select(names))
+    return left.toDF(*documents.columns)
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

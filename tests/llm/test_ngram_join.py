@@ -61,8 +61,7 @@ def test_a_large_group_makes_few_comparisons(spark, documents):
 
 def test_one_per_component(documents):
     docs = rows()
-    found = N.ngram_components(documents(docs))
-    kept = N.one_per_component(documents(docs), found)
+    kept = N.without_near_duplicates(documents(docs))
     assert kept.columns == documents(docs[:1]).columns
     assert {r.doc_id for r in kept.collect()} == {i for i, _, c in plain.components(docs) if i == c}
 
