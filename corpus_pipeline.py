@@ -4,7 +4,8 @@ Each stage calls one operator; what it returns is written as Parquet and read ag
 the next one's documents.  All but the last return the columns of documents, extra ones
 included, and an empty table for an empty one.  Texts that are NULL, empty or without
 words fail the quality rules; the later stages keep them, as they are neither linked
-nor contaminated.  Repeated rows share their fate; NULL ids and sources are kept.
+nor contaminated.  Repeated rows with words are a group, of which one stays; NULL ids and
+sources are kept.
 """
 
 from __future__ import annotations
@@ -28,9 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents the one with the smallest id."""
-    found = ngram_join.ngram_components(docs, n=NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
-    return ngram_join.one_per_component(docs, found)
+    """Of every group of linked documents the one with the smallest id, as one row."""
+    return ngram_join.without_near_duplicates(docs, n=NEAR_SHINGLE, similarity=NEAR_SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
