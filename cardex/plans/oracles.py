@@ -246,6 +246,10 @@ ORACLES = {
     "category_counts": f"""{_contacts(_ALL)} {_CATEGORIES}
         SELECT category, contact_type, count(*) AS count FROM categorised
         GROUP BY category, contact_type""",
+    "contacts_by_bucket": f"""{_contacts(_ALL)} {_CATEGORIES}
+        SELECT domain, category, subcategory, is_business, country_code, count(*) AS count,
+               count(*) AS contact_count, count(DISTINCT url) AS unique_urls
+        FROM categorised GROUP BY ALL""",
     "contacts_table_roundtrip": f"""{_contacts(_ALL)}
         SELECT coalesce(domain, '') AS domain, coalesce(email, '') AS email,
                coalesce(phone_number, '') AS phone_number, contact_type,

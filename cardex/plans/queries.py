@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from cardex.functions import extract_emails, extract_phones, register_functions
 from cardex.operators import contacts as C
-from cardex.operators import costs, lookup, stats, tables, versions
+from cardex.operators import buckets, costs, lookup, stats, tables, versions
 from cardex.operators.enrich import enrich
 from cardex.session import scratch_dir
 from cardex.sources import archives, ledger, quarantine
@@ -260,6 +260,19 @@ def contacts_with_category_shuffled(spark, folder):
     return joined.select(*CONTACT, "domain", *lookup.ATTRIBUTES)
 
 
+def contacts_by_bucket(spark, folder):
+    """J1, A2 over tables bucketed by domain: categories and statistics of every domain."""
+    name, path = f"laid_{uuid.uuid4().hex}", scratch_dir(spark, "buckets")
+    snapshot = tables.write_snapshot(enriched(spark, folder), scratch_dir(spark, "staged"), STAMP)
+    buckets.store_by_domain(spark.read.parquet(snapshot), categories(spark, folder), name, path, 8)
+    found = buckets.categorised(spark, name).groupBy("domain", *lookup.ATTRIBUTES).count()
+    counted = buckets.domain_stats_by_bucket(spark, name)
+    same = found["domain"].eqNullSafe(counted["domain"])
+    return found.join(counted, same).select(
+        found["domain"], *lookup.ATTRIBUTES, "count", "contact_count", "unique_urls"
+    )
+
+
 def category_counts(spark, folder):
     """Contacts per category of a stored dimension."""
     path = scratch_dir(spark, "categories")
@@ -696,6 +709,7 @@ QUERIES = {
         contacts_with_category,
         contacts_with_category_shuffled,
         category_counts,
+        contacts_by_bucket,
         contacts_table_roundtrip,
         parquet_snapshot_roundtrip,
         contacts_table_in_catalog,
