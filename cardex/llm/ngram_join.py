@@ -199,22 +199,34 @@ def _cross_pairs(marked: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """``a, b``: all pairs of a list that may link and are in different components.
 
     Sizes are joined by classes of their logarithm, as a pair's sizes lie within a
-    factor; lists whose classes are all of one component drop out first.
+    factor; lists whose classes are all of one component drop out first.  Long lists are
+    dealt into blocks, as in ``_all_pairs``.
     """
     num, den = similarity
     mixed = (
         marked.groupBy("_gram")
-        .agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        .agg(
+            F.min("component").alias("_low"),
+            F.max("component").alias("_high"),
+            F.expr(f"cast(ceil(count(1) / {BLOCK}) as int) as _blocks"),
+        )
         .where("_low <> _high")
-        .select("_gram")
+        .select("_gram", "_blocks")
     )
     classes = f"cast(floor(ln(n) / ln({den}D / {num}D)) as int)" if num < den else "n"
-    left = marked.join(mixed, "_gram", "left_semi").withColumn("size_class", F.expr(classes))
+    dealt = (
+        marked.join(mixed, "_gram")
+        .withColumn("size_class", F.expr(classes))
+        .withColumn("_mine", F.expr("cast(pmod(xxhash64(c), _blocks) as int)"))
+    )
+    others = F.expr("explode(sequence(0, _blocks - 1))")
+    left = dealt.withColumn("_block", F.col("_mine")).withColumn("_other", others)
+    right = dealt.withColumn("_block", others).withColumn("_other", F.col("_mine"))
     # the larger of a pair is at most one size class above; rounding may add another
-    right = left.withColumn("size_class", F.explode(F.array(*(F.col("size_class") + k for k in (0, -1, -2)))))
+    right = right.withColumn("size_class", F.explode(F.array(*(F.col("size_class") + k for k in (0, -1, -2)))))
     return (
         left.alias("x")
-        .join(right.alias("y"), ["_gram", "size_class"])
+        .join(right.alias("y"), ["_gram", "size_class", "_block", "_other"])
         .where("x.component <> y.component and (x.n < y.n or x.n = y.n and x.c < y.c)")
         .where(_may_link(similarity))
         .select(F.expr("least(x.c, y.c) as a"), F.expr("greatest(x.c, y.c) as b"))

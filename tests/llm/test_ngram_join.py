@@ -59,6 +59,13 @@ def test_a_large_group_makes_few_comparisons(spark, documents):
     assert 100 < star < 1500 < 150 * 149 / 2
 
 
+def test_long_lists_in_blocks(documents, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 7)
+    docs = rows()
+    found = N.ngram_components(documents(docs)).collect()
+    assert odd(map(tuple, found)) == odd(plain.components(docs))
+
+
 def test_one_per_component(documents):
     docs = rows()
     kept = N.without_near_duplicates(documents(docs))
