@@ -44,6 +44,51 @@ def test_phases_place_every_block_once():
             assert deviations([s for _, s in sorted(phase)], {s: parts[s] for s in sources}) < 1
 
 
+def plain_slots(blocks, parts):
+    """{(source, block): slot}, slot by slot: of the released blocks the first due runs."""
+    found, slot, done = {}, 0, collections.Counter()
+    while any(blocks[s] > done[s] for s in blocks):
+        # a phase lasts until a source has run out
+        live = sorted((s for s in blocks if blocks[s] > done[s]), key=lambda s: (s is not None, s or ""))
+        total, ran, began = sum(parts[s] for s in live), collections.Counter(), slot
+        while all(blocks[s] > done[s] for s in live):
+            at = slot - began
+            ready = [s for s in live if ran[s] * total // parts[s] <= at]
+            due = {s: -(-(ran[s] + 1) * total // parts[s]) for s in ready}
+            s = min(ready, key=lambda s: (due[s], live.index(s)))
+            found[s, done[s]] = slot
+            ran[s] += 1
+            done[s] += 1
+            slot += 1
+    return found
+
+
+def test_phases_equal_a_plain_schedule():
+    choice = random.Random(11)
+    for _ in range(80):
+        parts = {s: choice.randint(1, 9) for s in [None, "a", "b", "c", "d"][: choice.randint(1, 5)]}
+        blocks = {s: choice.randint(0, 50) for s in parts}
+        slots = {
+            (source, block): offset + (block - first) // own * period + within[(block - first) % own]
+            for source, _, first, last, own, period, offset, within in M.phases(blocks, parts)
+            for block in range(first, last)
+        }
+        assert slots == plain_slots(blocks, parts)
+
+
+def test_documents_equal_a_plain_schedule(documents):
+    rows = [(i, prose(i, 5 + i * 7 % 90)) for i in range(250)]
+    parts = {"src0": 5, "src1": 2, "src2": 1, None: 3}
+    found = M.mixed(documents(rows), parts=parts, block_chars=300).collect()
+    blocks = collections.Counter()
+    for source in parts:
+        own = sorted((r for r in found if r._source == source), key=lambda r: r._place)
+        assert [r._place for r in own] == [sum(r._size for r in own[:k]) for k in range(len(own))]
+        blocks[source] = -(-sum(r._size for r in own) // 300)
+    slots = plain_slots(blocks, parts)
+    assert all(r._slot == slots[r._source, r._place // 300] for r in found) and len(found) == 250
+
+
 def check(documents, rows, **options):
     table = documents(rows)
     found = M.mixed(table, block_chars=200, **options).collect()
