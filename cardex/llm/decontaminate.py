@@ -21,8 +21,10 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 # Words of a shingle; shorter windows are one shingle.
 SHINGLE = 5
-# Bytes of windows and shingles that one pass over the documents may broadcast.
+# Bytes of windows, or of their shingles' hashes, that may be broadcast; more are shuffled.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Bytes that a broadcast row takes beside its words.
+ROW_BYTES = 64
 # Keys of documents that may be broadcast; more of them join by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -86,24 +88,18 @@ def _all_sizes(words: DataFrame, sizes: list[int]) -> DataFrame:
     return reduce(DataFrame.unionAll, [document_shingles(words, size) for size in sizes])
 
 
-def necessary_shingles(words: DataFrame, shingles: DataFrame, sizes: list[int], parts: int) -> DataFrame:
+def necessary_shingles(words: DataFrame, shingles: DataFrame, sizes: list[int], small: bool) -> DataFrame:
     """``_window, _offset, _size, _hash``: of each window the shingle rarest in ``words``.
 
     Rarity is counted over all documents, partially before the shuffle.  A window with
-    a shingle that no document has cannot occur and is left out.
+    a shingle that no document has cannot occur and is left out.  ``small`` says that the
+    hashes of ``shingles`` may be broadcast; otherwise they meet the counts where those are.
     """
     wanted = shingles.select("_size", "_hash").distinct()
-    counts = [
-        _all_sizes(words.select("_words"), sizes)
-        .select("_size", "_hash")
-        .join(F.broadcast(part), ["_size", "_hash"], "left_semi")
-        for part in _split(wanted, parts)
-    ]
-    frequency = (
-        reduce(DataFrame.unionAll, counts)
-        .groupBy("_size", "_hash")
-        .agg(F.count(F.lit(1)).alias("_count"))
-    )
+    found = _all_sizes(words.select("_words"), sizes).select("_size", "_hash")
+    if small:
+        found = found.join(F.broadcast(wanted), ["_size", "_hash"], "left_semi")
+    frequency = found.groupBy("_size", "_hash").agg(F.count(F.lit(1)).alias("_count"))
     rarest = F.min(F.struct(F.coalesce("_count", F.lit(0)).alias("count"), "_offset", "_size", "_hash"))
     return (
         shingles.join(frequency, ["_size", "_hash"], "left")
@@ -114,11 +110,19 @@ def necessary_shingles(words: DataFrame, shingles: DataFrame, sizes: list[int],
     )
 
 
-def _split(frame: DataFrame, parts: int) -> list[DataFrame]:
-    """The frame by hash in pieces that are small enough to broadcast."""
-    if parts == 1:
-        return [frame]
-    return [frame.where(F.pmod("_hash", F.lit(parts)) == part) for part in range(parts)]
+def _candidates(words: DataFrame, prefixes: DataFrame, sizes: list[int]) -> DataFrame:
+    """``words`` with ``_pos, _offset, _length, _window`` where a prefix shingle stands.
+
+    Hashes and places alone are shuffled, the prefixes' side being too large to
+    broadcast; the words join the few documents that hold one.
+    """
+    placed = _all_sizes(words.select(KEY, "_words"), sizes).select(KEY, "_size", "_hash", "_pos")
+    met = (
+        placed.join(prefixes, ["_size", "_hash"])
+        .select(F.col(KEY).alias("_met_key"), "_pos", "_offset", "_length", "_window")
+        .distinct()
+    )
+    return words.join(met, F.col(KEY).eqNullSafe(F.col("_met_key")))
 
 
 def occurrences(
@@ -130,29 +134,38 @@ def occurrences(
 ) -> DataFrame:
     """``_row_key, _pos, _length, _window``: every occurrence of a window in a document.
 
-    The windows are broadcast in as many pieces as their measured size asks for, each
-    with a pass of its own over the documents.  The necessary shingles and the
-    occurrences are stored, as each is read more than once.
+    The documents are read once to count shingles and once to find the windows.  What
+    those passes join, the hashes of all shingles and then one necessary shingle with
+    each window, is broadcast up to ``broadcast_bytes`` and shuffled by hash beyond, with
+    a third pass for the words where a necessary shingle stands; no benchmark, however
+    large, takes more.  The necessary shingles and the occurrences are stored, as each is
+    read more than once.
     """
     shingles = window_shingles(windows, shingle)
-    width = F.octet_length(F.array_join("_window", " ")) + 16 * F.size("_window") + 32
-    measured = shingles.agg(F.sum(width).alias("bytes"), F.collect_set("_size").alias("sizes")).first()
+    hashes = F.greatest(F.size("_window") - shingle, F.lit(0)) + 1
+    width = F.octet_length(F.array_join("_window", " ")) + 16 * F.size("_window") + ROW_BYTES
+    measured = windows.select("_window").distinct().agg(
+        F.sum(width).alias("windows"),
+        (F.sum(hashes) * ROW_BYTES).alias("hashes"),
+        F.collect_set(F.least(F.size("_window"), F.lit(shingle))).alias("sizes"),
+    ).first()
     sizes = sorted(measured.sizes) or [shingle]
-    parts = -(-(measured.bytes or 0) // broadcast_bytes) or 1
     words = documents.select(KEY, F.expr(f"{_words(text_col)} as _words"))
     spark = documents.sparkSession
-    prefixes = store(spark, necessary_shingles(words, shingles, sizes, parts), "prefixes")
+    small = (measured.hashes or 0) <= broadcast_bytes
+    prefixes = store(spark, necessary_shingles(words, shingles, sizes, small), "prefixes")
     prefixes = prefixes.select("_size", "_hash", "_offset", "_window", F.size("_window").alias("_length"))
+    if (measured.windows or 0) <= broadcast_bytes:
+        near = _all_sizes(words, sizes).join(F.broadcast(prefixes), ["_size", "_hash"])
+    else:
+        near = _candidates(words, prefixes, sizes)
     start = F.col("_pos") - F.col("_offset")
-    found = [
-        _all_sizes(words, sizes)
-        .join(F.broadcast(part), ["_size", "_hash"])
-        .where((start >= 0) & (start + F.col("_length") <= F.size("_words")))
+    found = (
+        near.where((start >= 0) & (start + F.col("_length") <= F.size("_words")))
         .where(F.expr("slice(_words, _pos - _offset + 1, _length) = _window"))
         .select(KEY, start.alias("_pos"), "_length", "_window")
-        for part in _split(prefixes, parts)
-    ]
-    return store(spark, reduce(DataFrame.unionAll, found), "occurrences")
+    )
+    return store(spark, found, "occurrences")
 
 
 def contamination(

@@ -53,8 +53,32 @@ def test_against_brute_force(documents, items, odd_rows):
     check(documents, items, odd_rows + rows(), ITEMS)
 
 
-def test_in_several_passes(documents, items):
-    check(documents, items, rows()[:40], ITEMS, broadcast_bytes=2000)
+@pytest.mark.parametrize("limit", [0, 4500])
+def test_large_benchmarks_are_shuffled(documents, items, odd_rows, limit):
+    # 4500 bytes hold the windows, not the hashes of all their shingles
+    docs = odd_rows + rows()[:60] + rows()[-2:]
+    check(documents, items, docs + docs[-70:], ITEMS, broadcast_bytes=limit)
+
+
+def test_the_passes_do_not_grow_with_the_benchmark(spark, documents, items, monkeypatch):
+    plans = []
+
+    def stored(session, frame, name):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return frame
+
+    monkeypatch.setattr(D, "store", stored)
+    own = documents(rows()).selectExpr("doc_id as _row_key", "text as _text")
+    own.write.mode("overwrite").saveAsTable("searched_documents")
+    bench = items([(i, prose(i + 500, 30)) for i in range(40)])
+    for limit, least in ((D.BROADCAST_BYTES, 1), (0, 0)):
+        plans.clear()
+        windows = D.item_windows(bench, "item_id", "text", D.WINDOW)
+        D.occurrences(spark.table("searched_documents"), windows, "_text", broadcast_bytes=limit)
+        # the second plan holds the first, as nothing was stored
+        counted, whole = (p.count("searched_documents") for p in plans)
+        assert counted == 1 and whole == (2 if least else 3)
+    spark.sql("DROP TABLE searched_documents")
 
 
 def test_clean_documents(documents, items, monkeypatch):
