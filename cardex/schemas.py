@@ -82,3 +82,15 @@ URL_STATS = StructType(
         StructField("phone_count", LongType()),
     ]
 )
+
+# A2 as additive counters: what a batch adds to the statistics of a domain.
+DOMAIN_STATS = StructType(
+    _strings("domain")
+    + [StructField("extraction_date", TimestampType())]
+    + [
+        StructField("contact_count", LongType()),
+        StructField("email_count", LongType()),
+        StructField("phone_count", LongType()),
+        StructField("unique_urls", LongType()),
+    ]
+)

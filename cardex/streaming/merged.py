@@ -15,9 +15,11 @@ running and for reading an earlier state; older ones are deleted with each batch
 """
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cardex.operators.stats import merge_url_partials, summed_url_partials
 from cardex.schemas import URL_STATS
@@ -62,12 +64,19 @@ def folders_to_merge(folders: list[Row], fanout: int) -> tuple[list[Row], int]:
 
 
 def add_batch(
-    partials: DataFrame, path: str, stream: str, batch: int, fanout: int = FANOUT
+    partials: DataFrame,
+    path: str,
+    stream: str,
+    batch: int,
+    fanout: int = FANOUT,
+    schema: StructType = URL_STATS,
+    summed: Callable[[DataFrame], DataFrame] = summed_url_partials,
 ) -> None:
     """Publish a batch's ``url_partials`` as part of a stream's statistics.
 
     Batches of a stream come in order, from one writer, and a batch that is repeated
-    replaces itself; both hold for the micro-batches of one checkpoint.
+    replaces itself; both hold for the micro-batches of one checkpoint.  Other additive
+    counters can be stored too, by their ``schema`` and the function that sums them.
     """
     spark = partials.sparkSession
     root = _stream_path(path, stream)
@@ -76,8 +85,8 @@ def add_batch(
     held = list(previous.folders) if previous else []
     merged, level = folders_to_merge(held, fanout)
     if merged:
-        stored = spark.read.schema(URL_STATS).parquet(*(f"{root}/{f.path}" for f in merged))
-        partials = summed_url_partials(stored.unionByName(partials.select(URL_STATS.names)))
+        stored = spark.read.schema(schema).parquet(*(f"{root}/{f.path}" for f in merged))
+        partials = summed(stored.unionByName(partials.select(schema.names)))
     name = f"level={level}/batch={batch:012d}-{uuid.uuid4().hex}"
     partials.hint("rebalance").write.parquet(f"{root}/{name}")
     first = min((f.first for f in merged), default=batch)
