@@ -315,6 +315,8 @@ ORACLES = {
         FROM enriched""",
     "incremental_two_crawl_stats": f"{_contacts(_ALL)}"
     f" SELECT * REPLACE (coalesce(domain, '') AS domain) FROM ({_STATS})",
+    "state_store_domain_stats": f"{_contacts(_ALL)}"
+    f" SELECT * REPLACE (coalesce(domain, '') AS domain) FROM ({_STATS})",
     "incremental_harvest": f"""{_contacts(_ALL)}
         SELECT url, warc_record_id, coalesce(email, '') AS email,
                coalesce(phone_number, '') AS phone_number, contact_type,

@@ -19,7 +19,7 @@ from cardex.session import scratch_dir
 from cardex.sources import archives, ledger, quarantine
 from cardex.sources.tables import documents_as_records, pages_as_records
 from cardex.streaming import harvest as H
-from cardex.streaming import merged
+from cardex.streaming import merged, stateful
 
 STAMP = datetime(2024, 1, 1, tzinfo=timezone.utc)
 CRAWL = "CRAWL-2024-01"
@@ -585,6 +585,21 @@ def incremental_domain_stats(spark, folder):
     return H.harvested_domain_stats(spark, stats_path)
 
 
+def state_store_domain_stats(spark, folder):
+    """ST2: three runs on one checkpoint; contacts of one URL come in several of them."""
+    root, stats_path = scratch_dir(spark, "contacts"), scratch_dir(spark, "stats")
+    checkpoint, arrivals = scratch_dir(spark, "checkpoint"), scratch_dir(spark, "arrivals")
+    number = F.pmod(F.xxhash64("email", "phone_number", "warc_record_id"), F.lit(3))
+    enriched(spark, folder).withColumn("run", number).write.partitionBy("run").parquet(root)
+    stored = spark.read.parquet(root)
+    for run in range(3):
+        arrived = stored.where(F.col("run") == run).drop("run")
+        arrived.write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(arrived.schema).parquet(arrivals)
+        stateful.stream_stats(stream, stats_path, checkpoint).awaitTermination()
+    return stateful.streamed_domain_stats(spark, stats_path)
+
+
 def _harvest_two_crawls(spark: SparkSession, folder: str) -> tuple[str, str]:
     """Pages as one crawl and documents as another, each with its own checkpoint."""
     root = scratch_dir(spark, "archives")
@@ -726,6 +741,7 @@ QUERIES = {
         incremental_domain_stats,
         incremental_two_crawls,
         incremental_two_crawl_stats,
+        state_store_domain_stats,
         job_run_costs,
         job_run_cost_totals,
         estimated_costs,
