@@ -437,8 +437,10 @@ def write_dirty_archives(spark: SparkSession, folder: str, segment: str) -> None
     (
         table(spark, folder, "pages")
         .withColumn("payload", F.concat(http, body))
-        .select(F.concat(headers.cast("binary"), "payload").cast("string").alias("value"))
-        .write.option("lineSep", "\r\n\r\n")
+        .select(F.concat(headers.cast("binary"), "payload").cast("string").alias("value"), F.lit(0).alias("part"))
+        # by folder, as only then a first task without rows writes no empty archive
+        .write.partitionBy("part")
+        .option("lineSep", "\r\n\r\n")
         .option("compression", "gzip")
         .text(segment)
     )

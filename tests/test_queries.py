@@ -54,5 +54,22 @@ def test_query_equals_oracle(spark, name):
     assert found
 
 
+def test_scan_whose_first_task_has_no_rows(spark):
+    sizes = {"spark.sql.files.maxPartitionBytes": "100k", "spark.sql.files.openCostInBytes": "1k"}
+    before = {name: spark.conf.get(name) for name in sizes}
+    try:
+        for name, value in sizes.items():
+            spark.conf.set(name, value)
+        scanned = spark.read.parquet(f"{FOLDER}/pages.parquet").rdd.glom().map(len).collect()
+        found = entry.queries()["archive_quarantine"](spark, str(FOLDER))
+        positions = order(found.columns)
+        rows = sorted((tuple(r[i] for i in positions) for r in found.collect()), key=repr)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert scanned[0] == 0 and sum(scanned) > 0
+    assert rows == answers("archive_quarantine")[1]
+
+
 def test_flagship_query(spark):
     assert entry.entry(spark).count() > 1
