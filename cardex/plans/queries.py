@@ -26,6 +26,8 @@ CRAWL = "CRAWL-2024-01"
 OTHER_CRAWL = "CRAWL-2024-02"
 # The text writer names its files so; see ``write_archives``.
 WRITTEN_SUFFIX = ".txt.gz"
+# Stored bytes of a table for each archive that ``ledger_runs`` writes; texts take a few times as many.
+ARCHIVED_BYTES = 16 * 1024 * 1024
 CONTACT = ["url", "warc_record_id", "email", "phone_number", "contact_type"]
 
 
@@ -528,19 +530,31 @@ def archive_quarantine(spark, folder):
     return wrong.unionByName(totals.unionByName(contacts), allowMissingColumns=True)
 
 
+def _archives_for(spark: SparkSession, folder: str, name: str, least: int) -> int:
+    """How many archives a table is written as: one for each ``ARCHIVED_BYTES`` stored."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    stored = files.load(f"{folder}/{name}.parquet").agg(F.sum("length")).first()[0]
+    return max(least, -(-(stored or 0) // ARCHIVED_BYTES))
+
+
 def ledger_runs(spark, folder):
     """L1: three runs with a limit, each taking the next archives; how often each record."""
     root, path = scratch_dir(spark, "archives"), scratch_dir(spark, "ledger")
-    write_archives(pages(spark, folder).repartition(2), segment(root, 0))
-    write_archives(documents(spark, folder).repartition(4), segment(root, 1))
+    of_pages, of_documents = (_archives_for(spark, folder, n, k) for n, k in (("pages", 2), ("documents", 4)))
+    write_archives(pages(spark, folder).repartition(of_pages), segment(root, 0))
+    write_archives(documents(spark, folder).repartition(of_documents), segment(root, 1))
+    # a third of the archives each
+    limit = -(-(of_pages + of_documents) // 3)
     found = None
     for run in range(3):
-        taken = ledger.next_archives(spark, root, CRAWL, path, 2, WRITTEN_SUFFIX).collect()
+        taken = ledger.next_archives(spark, root, CRAWL, path, limit, WRITTEN_SUFFIX).collect()
+        if not taken:
+            break
         paths = [row.path for row in taken]
         read = archives.read_archives(spark, paths, suffix=WRITTEN_SUFFIX)
         found = read if found is None else found.unionByName(read)
         ledger.finish(spark.createDataFrame(taken, archives.LISTING), path, f"run-{run}")
-    left = ledger.next_archives(spark, root, CRAWL, path, 2, WRITTEN_SUFFIX).count()
+    left = ledger.next_archives(spark, root, CRAWL, path, limit, WRITTEN_SUFFIX).count()
     return found.groupBy("url", "warc_record_id").agg(
         F.count(F.lit(1)).alias("times"), F.lit(left).cast("bigint").alias("archives_left")
     )

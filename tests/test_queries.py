@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cardex.plans import queries
 from cardex.plans.oracles import ORACLES
 from cardex.plans.queries import QUERIES
 from conftest import TESTDATA
@@ -71,5 +72,19 @@ def test_scan_whose_first_task_has_no_rows(spark):
     assert rows == answers("archive_quarantine")[1]
 
 
+def test_archives_grow_in_number_not_in_size(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(queries, "ARCHIVED_BYTES", 100_000, raising=False)
+    monkeypatch.setattr(
+        queries.ledger, "finish", lambda df, *a, real=queries.ledger.finish: taken.append(df.collect()) or real(df, *a)
+    )
+    found = entry.queries()["ledger_runs"](spark, str(FOLDER))
+    positions = order(found.columns)
+    rows = sorted((tuple(r[i] for i in positions) for r in found.collect()), key=repr)
+    assert rows == answers("ledger_runs")[1]
+    stored = sum((FOLDER / f"{name}.parquet").stat().st_size for name in ("pages", "documents"))
+    assert len(taken) == 3 and sum(map(len, taken)) >= stored // 100_000
+
+
 def test_flagship_query(spark):
     assert entry.entry(spark).count() > 1
