@@ -2,8 +2,8 @@
 
 Rule statistics of every document come from one Arrow pass over the text.  The base
 rules reject on their own; the forest scores the rest by how few random splits set a
-document's statistics apart from a bounded sample, and the score's thresholds, one for
-each band of length, are calibrated on labelled rows.
+document's statistics apart from others, and the score's thresholds, one for each band
+of length, are calibrated on all labelled rows.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from cardex.llm import arrays
+from cardex.llm.common import discard, store
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -38,10 +39,10 @@ PRIOR_LETTERS = 5 * PRIOR_WORDS
 PRIOR_UPPER = PRIOR_LETTERS // 50
 PRIOR_LINES = 5
 
-# Labelled rows a forest is fitted and calibrated on.
-SAMPLE = 6000
 TREES = 128
+# Rows of each tree, and how many times as many are looked at to find the first ones.
 SUBSAMPLE = 256
+DRAWN = 1.4
 SEED = 4
 # Words from which on each band of length begins.
 BANDS = (0, 40, 120)
@@ -212,7 +213,15 @@ def _band(n_words: np.ndarray) -> np.ndarray:
 def grow(
     rows: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: int = SEED, ranges: bool = False
 ) -> Forest:
-    """An isolation forest of ``rows``; with fewer than two rows it has no trees.
+    """An isolation forest of ``rows``; with fewer than two rows it has no trees."""
+    random = np.random.default_rng(seed)
+    size = min(subsample, len(rows))
+    drawn = [rows[random.choice(len(rows), size, replace=False)] for _ in range(trees if size > 1 else 0)]
+    return grown(drawn, seed, ranges)
+
+
+def grown(drawn: list[np.ndarray], seed: int = SEED, ranges: bool = False) -> Forest:
+    """An isolation forest with a tree of each array of rows.
 
     With ``ranges``, a row whose first feature lies beyond all rows of a node is set
     apart there and then.
@@ -220,7 +229,7 @@ def grow(
     random = np.random.default_rng(seed)
     nodes: list[list[float]] = []
     roots = []
-    size = min(subsample, len(rows))
+    size = max(map(len, drawn), default=0)
     deepest = int(np.ceil(np.log2(max(size, 2))))
 
     def build(part: np.ndarray, depth: int) -> int:
@@ -241,9 +250,8 @@ def grow(
                     nodes.append([-1, 0.0, 0, 0, depth + 1, -np.inf, np.inf, 0])
         return number
 
-    if size > 1:
-        for _ in range(trees):
-            roots.append(build(rows[random.choice(len(rows), size, replace=False)], 0))
+    for part in drawn:
+        roots.append(build(part, 0))
     table = np.array(nodes or [[-1, 0, 0, 0, 0, 0, 0, 0]], float)
     whole = [table[:, k].astype(np.int64) for k in (0, 2, 3, 7)]
     return Forest(
@@ -260,58 +268,26 @@ def grow(
     )
 
 
-def calibrated(forest: Forest, rows: np.ndarray, n_words: np.ndarray, clean: np.ndarray) -> Forest:
-    """The forest with, per band, the threshold that tells labelled rows apart best.
-
-    Of the thresholds that reject at most ``FALSE_REJECTS`` of the clean rows, the one
-    with the most rejected bad rows less rejected clean ones.  Bands with hardly any
-    clean rows are as careful as the most careful other band.
-    """
-    scores, bands = forest.scores(rows), _band(n_words)
-    found: list[float | None] = []
-    for band in range(len(BANDS)):
-        good, bad = scores[(bands == band) & clean], np.sort(scores[(bands == band) & ~clean])
-        if len(good) < LEAST_CLEAN:
-            found.append(None)
-            continue
-        good = np.sort(good)
-        allowed = int(FALSE_REJECTS * len(good))
-        # halfway between the highest clean score that must stay and the next bad one
-        least = good[len(good) - 1 - allowed]
-        above = np.concatenate([bad[bad > least], [1.0]])
-        cuts = np.unique((np.concatenate([[least], above[:-1]]) + above) / 2)
-        gain = [
-            (bad >= c).mean() - (good >= c).mean() if len(bad) else -(good >= c).mean() for c in cuts
-        ]
-        found.append(float(cuts[int(np.argmax(gain))]))
-    known = [t for t in found if t is not None]
-    forest.thresholds = tuple(t if t is not None else max(known, default=0.75) for t in found)
-    return forest
-
-
-def fitted(rows: np.ndarray, n_words: np.ndarray, clean: np.ndarray, judged: np.ndarray) -> Forest:
-    """A forest on the first rates, with forests on the other statistics beside it.
+def _threshold(clean: np.ndarray, n_clean: int, bad: list, n_bad: int) -> float:
+    """The threshold that tells labelled rows apart best.
 
-    One forest on all would seldom split where a document is odd in a single statistic.
-    So each other statistic has a forest with the length, of clean rows, and as labelled
-    bad ones need not be odd there, it rejects what is odder than all but a share of
-    ``FALSE_REJECTS`` of the clean rows, divided by the forests.  Length alone is no reason.
+    ``clean`` are the highest scores of the ``n_clean`` clean rows, down to the lowest
+    that may be rejected and the next.  ``bad`` has the number and the least and greatest
+    score of the bad rows above each distinct one of these, up to the one after.  Of the
+    thresholds halfway from a clean score that stays to the next bad one, it is that
+    with the most rejected bad rows less rejected clean ones.
     """
-    forest = calibrated(grow(rows[:, :RATES]), rows[judged], n_words[judged], clean[judged])
-    good = rows[judged & clean]
-    length = rows.shape[1] - 1
-    if len(good) >= LEAST_CLEAN:
-        for column in range(RATES, length):
-            columns = np.array([column, length])
-            other = grow(good[:, columns], ranges=True)
-            other.feature = np.where(other.feature >= 0, columns[other.feature], -1)
-            other.ranged = column
-            scores = np.sort(other.scores(good))
-            least = scores[len(scores) - 1 - int(FALSE_REJECTS / (length - RATES) * len(scores))]
-            # halfway to the score of what is beyond all rows of every tree
-            other.thresholds = (float(least + 2.0 ** (-1 / other.normal)) / 2,) * len(BANDS)
-            forest.others += (other,)
-    return forest
+    edges = np.unique(clean)
+    if not bad:
+        return float(edges[0] + 1) / 2
+    best, found = 0.0, (max(edges[-1], max(b["most"] for b in bad)) + 1) / 2
+    rejected = 0
+    for b in sorted(bad, key=lambda b: -b["bin"]):
+        rejected += b["rows"]
+        gain = rejected / n_bad - (clean > edges[b["bin"]]).sum() / n_clean
+        if gain >= best:
+            best, found = gain, (edges[b["bin"]] + b["least"]) / 2
+    return float(found)
 
 
 def _per_batch(documents: DataFrame, id_col: str, text_col: str, columns: list[StructField], compute) -> DataFrame:
@@ -329,34 +305,161 @@ def _per_batch(documents: DataFrame, id_col: str, text_col: str, columns: list[S
     return source.mapInArrow(run, schema)
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest:
-    """A forest grown and calibrated on at most ``sample`` labelled rows.
+def _kinds() -> list[np.ndarray]:
+    """The features of each forest: the first rates, and each other one with the length."""
+    length = RATES + 3
+    return [np.arange(RATES), *(np.array([column, length]) for column in range(RATES, length))]
+
+
+_LABELLED = (*COUNTS, *MORE_COUNTS)
+
+
+def _counted(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Features, number of words, whether clean, whether judged by a forest."""
+    stats = {name: batch[name].to_numpy() for name in _LABELLED}
+    return features(stats), stats["n_words"], batch["_quality"].to_numpy() > 0, ~base_failed(stats)
+
 
-    They are the first by a hash of their ids; without labelled rows the forest has no
-    trees and rejects nothing.  What reaches the driver is their counts.
+def _drawn(labelled: DataFrame, n_rows: int, n_good: int) -> list[list[np.ndarray]]:
+    """For each forest the rows of each tree, ``SUBSAMPLE`` of all labelled ones.
+
+    A tree takes those that come first by a hash of its own; rows that cannot be among
+    them, by how many there are, do not leave their task.
     """
-    chosen = (
+    kinds = _kinds()
+
+    def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, _, clean, judged = _counted(batch)
+            order = batch["_order"].to_numpy().astype(np.uint64)
+            found = []
+            for kind in range(len(kinds)):
+                of = np.flatnonzero(judged & clean) if kind else np.arange(len(rows))
+                share = DRAWN * SUBSAMPLE / max(n_good if kind else n_rows, 1)
+                last = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
+                for tree in range(TREES):
+                    key = arrays.mixed(order[of] ^ arrays.mixed(np.array([kind * TREES + tree + 1]))[0])
+                    first = np.flatnonzero(key <= last)
+                    found.append((np.full(len(first), kind), np.full(len(first), tree), key[first] >> np.uint64(1), of[first]))
+            kind, tree, key, at = (np.concatenate(values) for values in zip(*found))
+            values = [kind.astype(np.int32), tree.astype(np.int32), key.astype(np.int64)]
+            values += [rows[at, column] for column in range(rows.shape[1])]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], names)
+
+    columns = [f"f{k}" for k in range(RATES + 4)]
+    names = ["kind", "tree", "key", *columns]
+    schema = "kind int, tree int, key bigint, " + ", ".join(f"{c} double" for c in columns)
+    found = labelled.mapInArrow(draw, schema).toArrow()
+    rows = np.column_stack([found[c].to_numpy() for c in columns])
+    kind, tree, key = (found[c].to_numpy() for c in names[:3])
+    # by the features too, as rows of one key may come in any order
+    order = np.lexsort([*rows.T, key])
+    rows, number = rows[order], (kind * TREES + tree)[order]
+    parts = [[rows[number == k * TREES + t][:SUBSAMPLE] for t in range(TREES)] for k in range(len(kinds))]
+    return [[p[:, kinds[k]] for p in of if len(p) > 1] for k, of in enumerate(parts)]
+
+
+def _calibrated(labelled: DataFrame, forest: Forest) -> Forest:
+    """The forest and those beside it with their thresholds, from all labelled rows.
+
+    Per band of the first one, at most ``FALSE_REJECTS`` of the clean rows may be
+    rejected; bands with hardly any clean rows are as careful as the most careful other
+    band.  The others reject what is odder than all but that share of all clean rows,
+    divided by the forests.
+    """
+    first, others = forest, forest.others
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, n_words, clean, judged = _counted(batch)
+            for kind, own in enumerate((first, *others)):
+                of = np.flatnonzero(judged & clean if kind else judged)
+                band = np.zeros(len(of)) if kind else _band(n_words[of])
+                values = [np.full(len(of), kind, np.int32), band.astype(np.int32), clean[of], own.scores(rows[of])]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["kind", "band", "clean", "score"])
+
+    spark = labelled.sparkSession
+    scored = store(spark, labelled.mapInArrow(score, "kind int, band int, clean boolean, score double"), "scored")
+    groups = scored.groupBy("kind", "band").agg(F.count_if("clean").alias("clean"), F.count_if(~F.col("clean")).alias("bad"))
+    sizes = {(r.kind, r.band): (r["clean"], r.bad) for r in groups.collect()}
+
+    def highest(kind: int, band: int, share: float) -> np.ndarray:
+        own = scored.where((F.col("kind") == kind) & (F.col("band") == band) & F.col("clean"))
+        top = own.orderBy(F.desc("score")).limit(int(share * sizes[kind, band][0]) + 1)
+        return top.select("score").toArrow()["score"].to_numpy()
+
+    bands = [b for b in range(len(BANDS)) if sizes.get((0, b), (0, 0))[0] >= LEAST_CLEAN]
+    tops = {b: highest(0, b, FALSE_REJECTS) for b in bands}
+    edges = {b: np.unique(top) for b, top in tops.items()}
+
+    def binned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            band, scores = batch["band"].to_numpy(), batch["score"].to_numpy()
+            for b, own in edges.items():
+                above = scores[(band == b) & (scores > own[0])]
+                bins = np.searchsorted(own, above, side="left") - 1
+                values = [pa.array(np.full(len(above), b, np.int32)), pa.array(bins.astype(np.int32)), pa.array(above)]
+                yield pa.RecordBatch.from_arrays(values, ["band", "bin", "score"])
+
+    bad = (
+        scored.where("kind = 0 and not clean").select("band", "score")
+        .mapInArrow(binned, "band int, bin int, score double")
+        .groupBy("band", "bin")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("score").alias("least"), F.max("score").alias("most"))
+        .collect()
+    )
+    found = {b: _threshold(tops[b], sizes[0, b][0], [r for r in bad if r.band == b], sizes[0, b][1]) for b in bands}
+    forest.thresholds = tuple(found.get(b, max(found.values(), default=0.75)) for b in range(len(BANDS)))
+    for kind, other in enumerate(others, 1):
+        least = highest(kind, 0, FALSE_REJECTS / len(others))[-1]
+        # halfway to the score of what is beyond all rows of every tree
+        other.thresholds = (float(least + 2.0 ** (-1 / other.normal)) / 2,) * len(BANDS)
+    discard(scored)
+    return forest
+
+
+def fit(documents: DataFrame, labels: DataFrame) -> Forest:
+    """A forest grown and calibrated on all labelled rows.
+
+    A forest on the first rates, with forests on the other statistics beside it: one on
+    all would seldom split where a document is odd in a single statistic.  So each other
+    statistic has a forest with the length, of clean rows, as labelled bad ones need not
+    be odd there.  Length alone is no reason.
+
+    Each tree has ``SUBSAMPLE`` rows, as isolation forests do, drawn from all; the
+    thresholds are from the scores of all.  Without labelled rows the forest has no trees
+    and rejects nothing.  Rows equal in id and counts are one.  What reaches the driver
+    is the trees' rows and the highest ``FALSE_REJECTS`` of the clean rows' scores.
+    """
+    known = (
         labels.where("doc_id is not null and quality is not null")
-        .groupBy("doc_id")
-        .agg(F.min("quality").alias("_quality"))
-        .withColumnRenamed("doc_id", "_label_id")
-        .orderBy(F.xxhash64("_label_id"), "_label_id")
-        .limit(sample)
+        .groupBy(F.col("doc_id").alias("_label_id"))
+        .agg(F.min("quality").cast("bigint").alias("_quality"))
     )
     texts = documents.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    rows = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_label_id")).select(
-        F.struct("_id", "_quality").alias("_key"), "_text"
+    columns = [StructField(name, LongType()) for name in _LABELLED]
+    # counted before they are joined, so no text is shuffled
+    counted = _per_batch(texts.where("_id is not null"), "_id", "_text", columns, statistics)
+    rows = counted.join(known, F.col("_id") == F.col("_label_id")).select("_id", "_quality", *_LABELLED).distinct()
+    labelled = store(
+        documents.sparkSession,
+        rows.select(F.xxhash64("_id", *_LABELLED).alias("_order"), "_quality", *_LABELLED),
+        "labelled",
     )
-    names = [*COUNTS, *MORE_COUNTS]
-    columns = [StructField(name, LongType()) for name in names]
-    counted = _per_batch(rows, "_key", "_text", columns, statistics)
-    # an id may stand for several rows: bounded, and the same in every run
-    order = [F.xxhash64("_key", *names), "_key"]
-    found = counted.orderBy(*order).limit(sample).select("_key._quality", *names).toPandas()
-    stats = {name: found[name].to_numpy(np.int64) for name in names}
-    table, clean = features(stats), found["_quality"].to_numpy(np.int64) > 0
-    judged = ~base_failed(stats)
-    return fitted(table, stats["n_words"], clean, judged)
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
+    n_rows, n_good = labelled.agg(F.count(F.lit(1)), F.count_if(~failed & (F.col("_quality") > 0))).first()
+    drawn = _drawn(labelled, n_rows, n_good) if n_rows > 1 else [[]]
+    forest = grown(drawn[0])
+    if len(forest.roots) and n_good >= LEAST_CLEAN:
+        for columns, parts in list(zip(_kinds(), drawn))[1:]:
+            other = grown(parts, ranges=True)
+            other.feature = np.where(other.feature >= 0, columns[other.feature], -1)
+            other.ranged = int(columns[0])
+            forest.others += (other,)
+    if len(forest.roots):
+        forest = _calibrated(labelled, forest)
+    discard(labelled)
+    return forest
 
 
 def quality_rules(

@@ -85,6 +85,42 @@ def test_each_statistic_may_reject(spark, documents):
     assert forest.rejects(Q.features(plain_texts), plain_texts["n_words"]).sum() <= 6
 
 
+def test_all_labelled_rows_count(spark, documents):
+    ids = [r.id for r in spark.sql("select id from range(7000) order by xxhash64(id), id").collect()]
+    # the last thousand by hash are clean, and odd in a statistic of their own
+    late = set(ids[6000:])
+    rows = [(i, odd_repeats(i) if i in late else junk(i) if i % 23 in (0, 5) else prose(i, 30 + i % 60)) for i in range(7000)]
+    clean = {i for i, t in rows if i in late or ("%" not in t and "!" not in t)}
+    labels = spark.createDataFrame([(i, int(i in clean)) for i, _ in rows], "doc_id long, quality int")
+    forest = Q.fit(documents(rows), labels)
+    kept = {r.doc_id for r in Q.quality_rules(documents(rows), forest).where("kept").collect()}
+    assert len(late & kept) > 980
+    assert len(clean - kept) <= 2 * Q.FALSE_REJECTS * len(clean)
+    assert len(kept - clean) <= 0.35 * (7000 - len(clean))
+
+
+def test_threshold_is_the_best_of_all():
+    random = np.random.default_rng(3)
+    for _ in range(50):
+        good, bad = random.normal(0.4, 0.05, 400).round(2), random.normal(0.5, 0.08, random.integers(0, 60)).round(2)
+        top = np.sort(good)[::-1][:21]
+        edges = np.unique(top)
+        bins = np.searchsorted(edges, bad[bad > edges[0]]) - 1
+        above = bad[bad > edges[0]]
+        groups = [
+            {"bin": b, "rows": int((bins == b).sum()), "least": above[bins == b].min(), "most": above[bins == b].max()}
+            for b in set(bins)
+        ]
+        cut = Q._threshold(top, len(good), groups, len(bad))
+
+        def gain(c):
+            return (bad >= c).sum() / max(len(bad), 1) - (good >= c).mean()
+
+        assert (good >= cut).sum() <= 20
+        if len(groups):
+            assert gain(cut) >= max(gain(c) for c in [*(above - 1e-9), 2.0] if c > edges[0]) - 1e-12
+
+
 def test_isolation():
     rows = np.random.default_rng(0).normal(size=(500, 4))
     rows[0] = 9
