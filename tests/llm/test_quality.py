@@ -1,5 +1,6 @@
 import random
 
+import corpus_pipeline
 import numpy as np
 import plain
 import pyarrow as pa
@@ -85,13 +86,25 @@ def test_each_statistic_may_reject(spark, documents):
     assert forest.rejects(Q.features(plain_texts), plain_texts["n_words"]).sum() <= 6
 
 
-def test_all_labelled_rows_count(spark, documents):
+def late_rows(spark):
+    """Rows, ids of clean ones, and of the last thousand by hash: clean, with a statistic of their own."""
     ids = [r.id for r in spark.sql("select id from range(7000) order by xxhash64(id), id").collect()]
-    # the last thousand by hash are clean, and odd in a statistic of their own
     late = set(ids[6000:])
     rows = [(i, odd_repeats(i) if i in late else junk(i) if i % 23 in (0, 5) else prose(i, 30 + i % 60)) for i in range(7000)]
     clean = {i for i, t in rows if i in late or ("%" not in t and "!" not in t)}
     labels = spark.createDataFrame([(i, int(i in clean)) for i, _ in rows], "doc_id long, quality int")
+    return rows, labels, clean, late
+
+
+def test_pipeline_fits_on_all_labelled_rows(spark, documents, tmp_path):
+    rows, labels, clean, late = late_rows(spark)
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, documents(rows), str(tmp_path)).collect()}
+    assert len(late & kept) > 980 and len(clean - kept) <= 2 * Q.FALSE_REJECTS * len(clean)
+
+
+def test_all_labelled_rows_count(spark, documents):
+    rows, labels, clean, late = late_rows(spark)
     forest = Q.fit(documents(rows), labels)
     kept = {r.doc_id for r in Q.quality_rules(documents(rows), forest).where("kept").collect()}
     assert len(late & kept) > 980
