@@ -114,3 +114,25 @@ def test_rows_beyond_the_bytes_are_left_out_not_long_ones(spark, documents, monk
     assert sum(few) <= 1000 and set(few) == {50}
     assert sum(half) <= 5000 and sum(everything) > 3000
     assert all(b.dtype == np.int32 for b in seen[0])
+
+
+def test_all_labelled_rows_train_and_calibrate(spark, documents, monkeypatch):
+    calibrated = []
+    monkeypatch.setattr(T, "calibrate", lambda n, scored, real=T.calibrate: calibrated.append(scored.count()) or real(n, scored))
+    # an insult of its own that the first rows by hash do not have
+    ids = [r.id for r in spark.sql("select id from range(6000) order by xxhash64(id), id").collect()]
+    late = set(ids[1500:])
+
+    def other(i):
+        words = prose(i, 40).split()
+        words[i % 30] = "zorgblat" if i in late else INSULTS[i % 5]
+        return " ".join(words) if i % 4 == 0 else prose(i, 40)
+
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(6000)], "doc_id long, toxic int")
+    network = T.fit(documents([(i, other(i)) for i in range(6000)]), labels, 300)
+    rows = [(i, prose(i, 40) + (" zorgblat" if i % 2 else "")) for i in range(20_000, 20_200)]
+    found = scored(documents, network, rows)
+    assert sum(r.predicted == i % 2 for i, r in found.items()) >= 190
+    assert calibrated[0] > 600
+    known = scored(documents, network, [(i, text(i)) for i in range(30_000, 30_200)])
+    assert sum(r.predicted == (i % 4 == 0) for i, r in known.items()) >= 180
