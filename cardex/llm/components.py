@@ -18,30 +18,27 @@ def components(links: DataFrame) -> DataFrame:
     links and a checksum reach the driver.  Only nodes that have links are returned.
     """
     spark = links.sparkSession
+    state = {
+        "rows": "count(1)",
+        "mixed": "bit_xor(xxhash64(a, b))",
+        "summed": f"sum(pmod(xxhash64(a, b), {1 << 20}))",
+    }
     edges = store(
         spark,
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "edges",
+        **state,
     )
-    state = _state(edges)
-    while state[0]:
-        before, edges = edges, store(spark, _small_star(_large_star(edges)), "edges")
+    while edges.measures["rows"]:
+        before, edges = edges, store(spark, _small_star(_large_star(edges)), "edges", **state)
         discard(before)
-        if state == (state := _state(edges)):
+        if before.measures == edges.measures:
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    mixed = F.xxhash64("a", "b")
-    row = edges.agg(
-        F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.sum(F.pmod(mixed, F.lit(1 << 20)))
-    ).first()
-    return tuple(row)
-
-
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))

@@ -80,11 +80,13 @@ def _classes(documents: DataFrame, id_col: str, text_col: str, n: int) -> DataFr
 
 
 CLASS = ["_n", "_first", "_second"]
+# A measure of stored frames.
+ROWS = {"rows": "count(1)"}
 
 
 def _small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The stored frame, to be broadcast if it has no more than ``rows`` rows."""
-    return F.broadcast(frame) if frame.count() <= rows else frame
+    """The frame, stored with its ``ROWS``, to be broadcast if it has no more than ``rows``."""
+    return F.broadcast(frame) if frame.measures["rows"] <= rows else frame
 
 
 def _screened(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -110,6 +112,7 @@ def _screened(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         spark,
         tokens.groupBy("_gram").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1").select("_gram"),
         "shared",
+        **ROWS,
     )
     # places in the order: in every fragment the unshared n-grams come first
     met = (
@@ -143,6 +146,7 @@ def _postings(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         spark,
         tokens.groupBy("_gram").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1"),
         "counts",
+        **ROWS,
     )
     by_class = Window.partitionBy("c")
     ordered = by_class.orderBy("_count", "_gram")
@@ -306,9 +310,9 @@ def _class_links(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     labels = components(links)
     marked = _marked(postings, labels)
     rest = _cross_pairs(marked, similarity).join(star, ["a", "b"], "left_anti")
-    more = store(spark, _verified(rest, segments, similarity), "links")
+    more = store(spark, _verified(rest, segments, similarity), "links", **ROWS)
     discard(marked, postings, star, links)
-    if more.isEmpty():
+    if not more.measures["rows"]:
         return labels
     joined = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     return components(joined)
@@ -324,10 +328,11 @@ def _screened_sets(
     members = store(spark, rows.select("_id", *CLASS), "members")
     screened = _screened(rows, similarity)
     classes = members.where("_n > 0").groupBy(*CLASS).agg(F.min("_id").alias("_id"))
-    wanted = store(spark, classes.join(screened, ["_first", "_n"], "left_semi"), "wanted")
-    ids = _small(wanted.select(F.col("_id").alias("_wanted")).distinct())
+    wanted = store(spark, classes.join(screened, ["_first", "_n"], "left_semi"), "wanted", **ROWS)
+    ids = wanted.select(F.col("_id").alias("_wanted")).distinct()
+    ids.measures = wanted.measures  # its rows at most
     chosen = documents.select(F.col(id_col).alias("_source"), F.col(text_col).alias("_text")).join(
-        ids, F.col("_source").eqNullSafe(F.col("_wanted")), "left_semi"
+        _small(ids), F.col("_source").eqNullSafe(F.col("_wanted")), "left_semi"
     )
     sets = store(
         spark,
@@ -476,10 +481,11 @@ def without_near_duplicates(
         .groupBy("_rank")
         .agg(((F.count(F.lit(1)) > 1) & (F.max("n_shingles") > 0)).alias("_again")),
         "winners",
+        again="count_if(_again)",
     )
     left = rows.join(winners.where("not _again"), "_rank", "left_semi").select(names)
     again = winners.where("_again")
-    if not again.isEmpty():
+    if winners.measures["again"]:
         # rows equal in id and text win together: combined before they are shuffled
         several = rows.join(again, "_rank", "left_semi").dropDuplicates(["_rank"])
         left = left.unionByName(several.select(names))

@@ -228,7 +228,8 @@ def grown(drawn: list[np.ndarray], seed: int = SEED, ranges: bool = False) -> Fo
     """
     random = np.random.default_rng(seed)
     nodes: list[list[float]] = []
-    roots = []
+    tables = [np.zeros((0, 8))]
+    roots = [0]
     size = max(map(len, drawn), default=0)
     deepest = int(np.ceil(np.log2(max(size, 2))))
 
@@ -244,26 +245,29 @@ def grown(drawn: list[np.ndarray], seed: int = SEED, ranges: bool = False) -> Fo
             if under.any() and not under.all():
                 left = build(part[under], depth + 1)
                 right = build(part[~under], depth + 1)
-                nodes[number][:4] = [feature, value, left, right]
+                nodes[number][:4] = [feature, value, roots[-1] + left, roots[-1] + right]
                 if ranges:
-                    nodes[number][5:] = [low[0], high[0], len(nodes)]
+                    nodes[number][5:] = [low[0], high[0], roots[-1] + len(nodes)]
                     nodes.append([-1, 0.0, 0, 0, depth + 1, -np.inf, np.inf, 0])
         return number
 
     for part in drawn:
-        roots.append(build(part, 0))
-    table = np.array(nodes or [[-1, 0, 0, 0, 0, 0, 0, 0]], float)
-    whole = [table[:, k].astype(np.int64) for k in (0, 2, 3, 7)]
+        build(part, 0)
+        tables.append(np.array(nodes, float))
+        roots.append(roots[-1] + len(nodes))
+        nodes.clear()
+    table = np.concatenate(tables) if drawn else np.array([[-1, 0, 0, 0, 0, 0, 0, 0]], float)
+    whole = [table[:, k].astype(np.int32) for k in (0, 2, 3, 7)]
     return Forest(
         whole[0],
-        table[:, 1],
+        table[:, 1].copy(),
         whole[1],
         whole[2],
-        table[:, 4],
-        np.array(roots, np.int64),
+        table[:, 4].copy(),
+        np.array(roots[:-1], np.int32),
         _path_of(size) or 1.0,
-        table[:, 5],
-        table[:, 6],
+        table[:, 5].copy(),
+        table[:, 6].copy(),
         whole[3],
     )
 
@@ -324,7 +328,8 @@ def _drawn(labelled: DataFrame, n_rows: int, n_good: int) -> list[list[np.ndarra
     """For each forest the rows of each tree, ``SUBSAMPLE`` of all labelled ones.
 
     A tree takes those that come first by a hash of its own; rows that cannot be among
-    them, by how many there are, do not leave their task.
+    them, by how many there are, do not leave their task, nor do features that the
+    tree's forest does not judge.
     """
     kinds = _kinds()
 
@@ -333,30 +338,36 @@ def _drawn(labelled: DataFrame, n_rows: int, n_good: int) -> list[list[np.ndarra
             rows, _, clean, judged = _counted(batch)
             order = batch["_order"].to_numpy().astype(np.uint64)
             found = []
-            for kind in range(len(kinds)):
+            for kind, columns in enumerate(kinds):
                 of = np.flatnonzero(judged & clean) if kind else np.arange(len(rows))
+                own = rows[of][:, columns]
                 share = DRAWN * SUBSAMPLE / max(n_good if kind else n_rows, 1)
                 last = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
-                for tree in range(TREES):
-                    key = arrays.mixed(order[of] ^ arrays.mixed(np.array([kind * TREES + tree + 1]))[0])
+                for tree in range(kind * TREES, (kind + 1) * TREES):
+                    key = arrays.mixed(order[of] ^ arrays.mixed(np.array([tree + 1]))[0])
                     first = np.flatnonzero(key <= last)
-                    found.append((np.full(len(first), kind), np.full(len(first), tree), key[first] >> np.uint64(1), of[first]))
-            kind, tree, key, at = (np.concatenate(values) for values in zip(*found))
-            values = [kind.astype(np.int32), tree.astype(np.int32), key.astype(np.int64)]
-            values += [rows[at, column] for column in range(rows.shape[1])]
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], names)
-
-    columns = [f"f{k}" for k in range(RATES + 4)]
-    names = ["kind", "tree", "key", *columns]
-    schema = "kind int, tree int, key bigint, " + ", ".join(f"{c} double" for c in columns)
-    found = labelled.mapInArrow(draw, schema).toArrow()
-    rows = np.column_stack([found[c].to_numpy() for c in columns])
-    kind, tree, key = (found[c].to_numpy() for c in names[:3])
-    # by the features too, as rows of one key may come in any order
-    order = np.lexsort([*rows.T, key])
-    rows, number = rows[order], (kind * TREES + tree)[order]
-    parts = [[rows[number == k * TREES + t][:SUBSAMPLE] for t in range(TREES)] for k in range(len(kinds))]
-    return [[p[:, kinds[k]] for p in of if len(p) > 1] for k, of in enumerate(parts)]
+                    sizes = np.full(len(first), len(columns))
+                    found.append((np.full(len(first), tree), key[first] >> np.uint64(1), sizes, own[first].ravel()))
+            tree, key, sizes, values = (np.concatenate(part) for part in zip(*found))
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            features_of = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            columns = [pa.array(tree.astype(np.int16)), pa.array(key.astype(np.int64)), features_of]
+            yield pa.RecordBatch.from_arrays(columns, ["tree", "key", "row"])
+
+    found = labelled.mapInArrow(draw, "tree smallint, key bigint, row array<double>").toArrow()
+    tree, key = found["tree"].to_numpy(), found["key"].to_numpy()
+    values = pc.list_flatten(found["row"]).to_numpy()
+    begins = np.cumsum(pc.list_value_length(found["row"]).to_numpy(), dtype=np.int64)
+    parts = []
+    for kind, columns in enumerate(kinds):
+        of = np.flatnonzero(tree // TREES == kind)
+        rows = values[begins[of][:, None] - np.arange(len(columns), 0, -1)]
+        # by the features too, as rows of one key may come in any order
+        order = np.lexsort([*rows.T, key[of], tree[of]])
+        ends = np.searchsorted(tree[of][order], np.arange(TREES + 1) + kind * TREES)
+        drawn = [rows[order[a:b][:SUBSAMPLE]] for a, b in zip(ends[:-1], ends[1:])]
+        parts.append([part for part in drawn if len(part) > 1])
+    return parts
 
 
 def _calibrated(labelled: DataFrame, forest: Forest) -> Forest:
@@ -379,16 +390,22 @@ def _calibrated(labelled: DataFrame, forest: Forest) -> Forest:
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["kind", "band", "clean", "score"])
 
     spark = labelled.sparkSession
-    scored = store(spark, labelled.mapInArrow(score, "kind int, band int, clean boolean, score double"), "scored")
-    groups = scored.groupBy("kind", "band").agg(F.count_if("clean").alias("clean"), F.count_if(~F.col("clean")).alias("bad"))
-    sizes = {(r.kind, r.band): (r["clean"], r.bad) for r in groups.collect()}
+    groups = [(0, b) for b in range(len(BANDS))] + [(kind, 0) for kind in range(1, len(others) + 1)]
+    rows_of = {
+        f"{name}_{kind}_{band}": f"count_if(kind = {kind} and band = {band} and {condition})"
+        for kind, band in groups
+        for name, condition in (("clean", "clean"), ("bad", "not clean"))
+    }
+    found = labelled.mapInArrow(score, "kind int, band int, clean boolean, score double")
+    scored = store(spark, found, "scored", **rows_of)
+    sizes = {(k, b): tuple(scored.measures[f"{name}_{k}_{b}"] for name in ("clean", "bad")) for k, b in groups}
 
     def highest(kind: int, band: int, share: float) -> np.ndarray:
         own = scored.where((F.col("kind") == kind) & (F.col("band") == band) & F.col("clean"))
         top = own.orderBy(F.desc("score")).limit(int(share * sizes[kind, band][0]) + 1)
         return top.select("score").toArrow()["score"].to_numpy()
 
-    bands = [b for b in range(len(BANDS)) if sizes.get((0, b), (0, 0))[0] >= LEAST_CLEAN]
+    bands = [b for b in range(len(BANDS)) if sizes[0, b][0] >= LEAST_CLEAN]
     tops = {b: highest(0, b, FALSE_REJECTS) for b in bands}
     edges = {b: np.unique(top) for b, top in tops.items()}
 
@@ -441,19 +458,21 @@ def fit(documents: DataFrame, labels: DataFrame) -> Forest:
     # counted before they are joined, so no text is shuffled
     counted = _per_batch(texts.where("_id is not null"), "_id", "_text", columns, statistics)
     rows = counted.join(known, F.col("_id") == F.col("_label_id")).select("_id", "_quality", *_LABELLED).distinct()
+    passed = f"n_words >= {MIN_WORDS} and 100 * n_repeat_words <= {MAX_REPEATED_PERCENT} * n_words"
     labelled = store(
         documents.sparkSession,
         rows.select(F.xxhash64("_id", *_LABELLED).alias("_order"), "_quality", *_LABELLED),
         "labelled",
+        rows="count(1)",
+        good=f"count_if({passed} and _quality > 0)",
     )
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    n_rows, n_good = labelled.agg(F.count(F.lit(1)), F.count_if(~failed & (F.col("_quality") > 0))).first()
+    n_rows, n_good = labelled.measures["rows"], labelled.measures["good"]
     drawn = _drawn(labelled, n_rows, n_good) if n_rows > 1 else [[]]
     forest = grown(drawn[0])
     if len(forest.roots) and n_good >= LEAST_CLEAN:
         for columns, parts in list(zip(_kinds(), drawn))[1:]:
             other = grown(parts, ranges=True)
-            other.feature = np.where(other.feature >= 0, columns[other.feature], -1)
+            other.feature = np.where(other.feature >= 0, columns[other.feature], -1).astype(np.int32)
             other.ranged = int(columns[0])
             forest.others += (other,)
     if len(forest.roots):

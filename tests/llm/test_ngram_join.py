@@ -49,6 +49,14 @@ def test_shuffled_joins_give_the_same(documents, monkeypatch):
     check(documents, rows()[::3])
 
 
+def test_no_jobs_that_only_count(documents, monkeypatch):
+    docs = documents(rows()[::3])
+    for action in ("count", "first", "isEmpty"):
+        monkeypatch.setattr(type(docs), action, None)
+    found = N.ngram_components(docs).collect()
+    assert odd(tuple(r) for r in found) == odd(plain.components(rows()[::3]))
+
+
 def test_a_large_group_makes_few_comparisons(spark, documents):
     base = prose(5, 200)
     docs = documents([(i, edited(base, 0.003, i)) for i in range(150)])

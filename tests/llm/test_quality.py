@@ -112,6 +112,22 @@ def test_all_labelled_rows_count(spark, documents):
     assert len(kept - clean) <= 0.35 * (7000 - len(clean))
 
 
+def test_trees_rows_reach_the_driver_with_their_own_features_only(spark, documents, monkeypatch):
+    rows = [(i, junk(i) if i % 23 in (0, 5) else prose(i, 30 + i % 60)) for i in range(2000)]
+    labels = spark.createDataFrame([(i, int("%" not in t and "!" not in t)) for i, t in rows], "doc_id long, quality int")
+    frames = type(labels)
+    sizes, to_arrow = [], frames.toArrow
+    monkeypatch.setattr(frames, "toArrow", lambda frame: sizes.append(found := to_arrow(frame)) or found)
+    monkeypatch.setattr(frames, "first", None)  # rows are counted while they are stored
+    forest = Q.fit(documents(rows), labels)
+    drawn = max(sizes, key=lambda t: t.nbytes)
+    kinds = 1 + len(forest.others)
+    assert len(forest.roots) == Q.TREES and kinds == 4
+    assert drawn.num_rows > kinds * Q.TREES * Q.SUBSAMPLE
+    # tree, key, offset and 2 to 4 features
+    assert drawn.nbytes < 40 * drawn.num_rows
+
+
 def test_threshold_is_the_best_of_all():
     random = np.random.default_rng(3)
     for _ in range(50):
