@@ -5,18 +5,23 @@ contains all of them, so one necessary shingle per window is enough to find ever
 candidate: the window's rarest in the corpus.  Documents' shingles join these prefix
 shingles, bounds on position and length drop what cannot hold the window, and the words
 themselves are compared at the end.
+
+Splitting texts into words is what takes the time.  Where the hashes of all shingles may
+be broadcast, one pass over the documents splits each once, counts its words and tells
+those with as many of the shingles as a window has; the steps above read these alone.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cardex.llm.common import KEY, ascii_lower, row_key, store, words_sql
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Each character by name: Java looks these up in a table, but compares with range by range.
+WORD = "[^" + "".join(rf"\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 # Words of an item's window; items with fewer words are one window.
 WINDOW = 10
 # Words of a shingle; shorter windows are one shingle.
@@ -27,6 +32,8 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_BYTES = 64
 # Keys of documents that may be broadcast; more of them join by a shuffle.
 BROADCAST_ROWS = 200_000
+# The same of their hashes, a BIGINT each.
+BROADCAST_HASHES = 1_000_000
 
 
 def _words(text: str) -> str:
@@ -50,10 +57,11 @@ def _hash_of(words: str, place: str, size: int) -> str:
     return f"xxhash64({', '.join(f'{words}[{place} + {k}]' for k in range(size))})"
 
 
-def _hash_of_any(words: str, place: str, most: int) -> Column:
-    """The same where the column ``_size`` says how many words, ``most`` at most."""
+def _hash_of_any(words: str, place: str, sizes: Iterable[int]) -> Column:
+    """The same where the column ``_size`` says how many words, one of ``sizes``."""
+    *others, most = sizes
     found = F.expr(_hash_of(words, place, most))
-    for size in range(1, most):
+    for size in others:
         found = F.when(F.col("_size") == size, F.expr(_hash_of(words, place, size))).otherwise(found)
     return found
 
@@ -69,23 +77,30 @@ def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
             F.expr(f"{size} as _size"),
             F.expr(f"explode_outer(sequence(0, size(_window) - {size})) as _offset"),
         )
-        .select("_window", "_offset", "_size", _hash_of_any("_window", "_offset", shingle).alias("_hash"))
+        .select("_window", "_offset", "_size", _hash_of_any("_window", "_offset", range(1, shingle + 1)).alias("_hash"))
     )
 
 
-def document_shingles(words: DataFrame, size: int) -> DataFrame:
-    """``words`` with a row for every shingle of ``size`` words: ``_pos, _size, _hash``."""
-    starts = f"if(size(_words) < {size}, cast(array() as array<int>), sequence(0, size(_words) - {size}))"
-    return (
-        words.select("*", F.expr(f"explode_outer({starts}) as _pos"))
-        .where("_pos is not null")
-        .withColumn("_size", F.lit(size))
-        .withColumn("_hash", F.expr(_hash_of("_words", "_pos", size)))
-    )
+def document_shingles(words: DataFrame, sizes: list[int], whole: bool = False) -> DataFrame:
+    """``words`` with a row for every shingle of each of ``sizes``: ``_pos, _size, _hash``.
 
-
-def _all_sizes(words: DataFrame, sizes: list[int]) -> DataFrame:
-    return reduce(DataFrame.unionAll, [document_shingles(words, size) for size in sizes])
+    ``whole`` adds a row for the document itself, with NULL in these.
+    """
+    kinds = len(sizes)
+    last = f"greatest(size(_words) - {min(sizes) - 1}, 0) * {kinds} - 1"
+    none = "cast(array() as array<int>)"
+    places = f"sequence(-1, {last})" if whole else f"if({last} < 0, {none}, sequence(0, {last}))"
+    size = f"array({', '.join(map(str, sizes))})[_place % {kinds}]" if kinds > 1 else f"{sizes[0]}"
+    shingles = (
+        words.select("*", F.expr(f"explode_outer({places}) as _place"))
+        .select("*", F.expr(f"if(_place >= 0, cast(_place div {kinds} as int), null) as _pos"))
+        .select("*", F.expr(f"if(_place >= 0, {size}, null) as _size"))
+    )
+    if kinds > 1:
+        shingles = shingles.where("_place < 0 or _pos + _size <= size(_words)")
+    hashed = F.when(F.col("_place") >= 0, _hash_of_any("_words", "_pos", sizes))
+    kept = shingles if whole else shingles.where("_place is not null")
+    return kept.withColumn("_hash", hashed).drop("_place")
 
 
 def necessary_shingles(words: DataFrame, shingles: DataFrame, sizes: list[int], small: bool) -> DataFrame:
@@ -96,7 +111,7 @@ def necessary_shingles(words: DataFrame, shingles: DataFrame, sizes: list[int],
     hashes of ``shingles`` may be broadcast; otherwise they meet the counts where those are.
     """
     wanted = shingles.select("_size", "_hash").distinct()
-    found = _all_sizes(words.select("_words"), sizes).select("_size", "_hash")
+    found = document_shingles(words.select("_words"), sizes).select("_size", "_hash")
     if small:
         found = found.join(F.broadcast(wanted), ["_size", "_hash"], "left_semi")
     frequency = found.groupBy("_size", "_hash").agg(F.count(F.lit(1)).alias("_count"))
@@ -116,7 +131,7 @@ def _candidates(words: DataFrame, prefixes: DataFrame, sizes: list[int]) -> Data
     Hashes and places alone are shuffled, the prefixes' side being too large to
     broadcast; the words join the few documents that hold one.
     """
-    placed = _all_sizes(words.select(KEY, "_words"), sizes).select(KEY, "_size", "_hash", "_pos")
+    placed = document_shingles(words.select(KEY, "_words"), sizes).select(KEY, "_size", "_hash", "_pos")
     met = (
         placed.join(prefixes, ["_size", "_hash"])
         .select(F.col(KEY).alias("_met_key"), "_pos", "_offset", "_length", "_window")
@@ -125,6 +140,60 @@ def _candidates(words: DataFrame, prefixes: DataFrame, sizes: list[int]) -> Data
     return words.join(met, F.col(KEY).eqNullSafe(F.col("_met_key")))
 
 
+def _measured(windows: DataFrame, shingle: int) -> Row:
+    """Bytes of the windows and of their shingles' hashes, sizes of shingles, fewest in a window."""
+    hashes = F.greatest(F.size("_window") - shingle, F.lit(0)) + 1
+    width = F.octet_length(F.array_join("_window", " ")) + 16 * F.size("_window") + ROW_BYTES
+    return windows.select("_window").distinct().agg(
+        F.sum(width).alias("windows"),
+        (F.sum(hashes) * ROW_BYTES).alias("hashes"),
+        F.collect_set(F.least(F.size("_window"), F.lit(shingle))).alias("sizes"),
+        F.min(hashes).alias("fewest"),
+    ).first()
+
+
+def screened(
+    documents: DataFrame,
+    windows: DataFrame,
+    text_col: str,
+    shingle: int = SHINGLE,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """``_row_key, _n_words`` of every document, and the documents that may hold a window.
+
+    A text is split into words once, for both.  A document without as many places of
+    shingles as the window with the fewest holds none; the others are read again by the
+    hashes of their keys (more than may be broadcast: by a shuffle) and stored.  Where the
+    shingles' hashes are more than ``broadcast_bytes`` all documents are returned.
+    """
+    spark = documents.sparkSession
+    measured = _measured(windows, shingle)
+    words = documents.select(KEY, F.expr(f"{_words(text_col)} as _words"))
+    if (measured.hashes or 0) > broadcast_bytes:
+        return words.select(KEY, F.size("_words").alias("_n_words")), documents
+    wanted = window_shingles(windows, shingle).select(F.col("_hash").alias("_wanted")).distinct()
+    # by the hash alone: one of another size that is equal only keeps a document more
+    seen = (
+        document_shingles(words, sorted(measured.sizes) or [shingle], whole=True)
+        .join(F.broadcast(wanted), F.col("_hash") == F.col("_wanted"), "left")
+        .where("_pos is null or _wanted is not null")
+        .select(KEY, F.when(F.col("_pos").isNull(), F.size("_words")).alias("_n_words"))
+    )
+    seen = store(spark, seen, "screened")
+    met = (
+        seen.where("_n_words is null")
+        .groupBy(KEY)
+        .agg(F.count(F.lit(1)).alias("_places"))
+        .where(F.col("_places") >= (measured.fewest or 1))
+        .select(F.xxhash64(KEY).alias("_met"))
+        .distinct()
+    )
+    met = store(spark, met, "met", rows="count(1)")
+    met = F.broadcast(met) if met.measures["rows"] <= BROADCAST_HASHES else met.hint("shuffle_hash")
+    near = documents.join(met, F.xxhash64(KEY) == F.col("_met"), "left_semi").select(KEY, text_col)
+    return seen.where("_n_words is not null"), store(spark, near, "near")
+
+
 def occurrences(
     documents: DataFrame,
     windows: DataFrame,
@@ -142,13 +211,7 @@ def occurrences(
     read more than once.
     """
     shingles = window_shingles(windows, shingle)
-    hashes = F.greatest(F.size("_window") - shingle, F.lit(0)) + 1
-    width = F.octet_length(F.array_join("_window", " ")) + 16 * F.size("_window") + ROW_BYTES
-    measured = windows.select("_window").distinct().agg(
-        F.sum(width).alias("windows"),
-        (F.sum(hashes) * ROW_BYTES).alias("hashes"),
-        F.collect_set(F.least(F.size("_window"), F.lit(shingle))).alias("sizes"),
-    ).first()
+    measured = _measured(windows, shingle)
     sizes = sorted(measured.sizes) or [shingle]
     words = documents.select(KEY, F.expr(f"{_words(text_col)} as _words"))
     spark = documents.sparkSession
@@ -156,7 +219,7 @@ def occurrences(
     prefixes = store(spark, necessary_shingles(words, shingles, sizes, small), "prefixes")
     prefixes = prefixes.select("_size", "_hash", "_offset", "_window", F.size("_window").alias("_length"))
     if (measured.windows or 0) <= broadcast_bytes:
-        near = _all_sizes(words, sizes).join(F.broadcast(prefixes), ["_size", "_hash"])
+        near = document_shingles(words, sizes).join(F.broadcast(prefixes), ["_size", "_hash"])
     else:
         near = _candidates(words, prefixes, sizes)
     start = F.col("_pos") - F.col("_offset")
@@ -192,7 +255,8 @@ def contamination(
         KEY, row_key("_id", "_text")
     )
     windows = item_windows(items, item_id_col, item_text_col, window)
-    found = occurrences(own, windows, "_text", shingle, broadcast_bytes)
+    counted, near = screened(own, windows, "_text", shingle, broadcast_bytes)
+    found = occurrences(near, windows, "_text", shingle, broadcast_bytes)
     named = windows.groupBy("_window").agg(F.collect_set(F.col("_item").cast("string")).alias("_items"))
     hits = "collect_set(named_struct('pos', _pos, 'length', _length))"
     covered = (
@@ -215,11 +279,10 @@ def contamination(
         .select(F.col(KEY).alias("_hit_key"), F.expr(f"{covered} as _hit"), "_items")
     )
     return (
-        own.select("_id", KEY, F.expr(f"cast(size({_words('_text')}) as bigint) as n_words"))
-        .join(per_document, F.col(KEY).eqNullSafe(F.col("_hit_key")), "left")
+        counted.join(per_document, F.col(KEY).eqNullSafe(F.col("_hit_key")), "left")
         .select(
-            F.col("_id").alias(id_col),
-            "n_words",
+            F.col(f"{KEY}.id").alias(id_col),
+            F.col("_n_words").cast("bigint").alias("n_words"),
             F.expr("cast(coalesce(_hit, 0) as bigint) as n_hit"),
             F.expr("coalesce(_items, cast(array() as array<string>)) as items"),
             F.expr("coalesce(_hit, 0) > 0 as contaminated"),
@@ -242,7 +305,8 @@ def clean_documents(
         key += "_"
     searched = documents.select(row_key(id_col, text_col).alias(KEY), F.col(text_col).alias("_text"))
     windows = item_windows(items, item_id_col, item_text_col, window)
-    found = occurrences(searched, windows, "_text").select(F.col(KEY).alias("_hit_key")).distinct()
+    _, near = screened(searched, windows, "_text")
+    found = occurrences(near, windows, "_text").select(F.col(KEY).alias("_hit_key")).distinct()
     hit = store(documents.sparkSession, found, "contaminated")
     if hit.count() <= BROADCAST_ROWS:
         hit = F.broadcast(hit)

@@ -94,3 +94,51 @@ def test_clean_documents(documents, items, monkeypatch):
 def test_nothing_to_find(documents, items):
     check(documents, items, rows()[:5], [(1, None)])
     assert D.contamination(documents(rows()[:1]).where("false"), items(ITEMS)).collect() == []
+
+
+def test_all_documents_are_split_into_words_once(spark, documents, items, monkeypatch):
+    plans, store = [], D.store
+
+    def stored(session, frame, name, **measures):
+        plans.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return store(session, frame, name, **measures)
+
+    monkeypatch.setattr(D, "store", stored)
+    documents(rows()).write.mode("overwrite").saveAsTable("split_documents")
+    found = D.contamination(spark.table("split_documents"), items(ITEMS))
+    plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+    # each size of shingle and the number of words took a pass of their own
+    assert sum(p.count("split_documents") for p in plans if "regexp_extract_all" in p) == 1
+    assert sum(p.count("split_documents") for p in plans) == 2
+    assert found.count() == len(rows())
+    spark.sql("DROP TABLE split_documents")
+
+
+@pytest.mark.parametrize("limit", [D.BROADCAST_HASHES, 0])
+def test_documents_with_too_few_shingles_are_not_read_again(documents, items, odd_rows, monkeypatch, limit):
+    read, occurrences = [], D.occurrences
+
+    def seen(near, *rest):
+        read.extend(r._text for r in near.select("_text").collect())
+        return occurrences(near, *rest)
+
+    monkeypatch.setattr(D, "occurrences", seen)
+    monkeypatch.setattr(D, "BROADCAST_HASHES", limit)
+    item = "Él a b c d É f g h I J k".split()
+    at = {i: f"x {' '.join(item[i:])} y" for i in range(4)}
+    # eight shingles; a window of ten words has six of them, in its order
+    out_of_order = " ".join([*item[6:], "z", *item[:6]])
+    twice = " ".join([*item[:9], "z", *item[:9]])
+    other = " ".join(item).replace("É", "é")
+    docs = [*enumerate([*at.values(), out_of_order, twice, other, " ".join(item).lower().replace("é", "É")])]
+    check(documents, items, odd_rows + docs + docs[:2], [(1, " ".join(item))])
+    assert {at[0], at[1], at[2], twice} <= set(read)
+    assert {at[3], out_of_order, other}.isdisjoint(read) and not any(t in read for _, t in odd_rows)
+
+
+def test_words_are_runs_of_ascii_letters_and_digits_and_of_all_beyond(spark):
+    every = [*map(chr, range(1, 0x250)), *"\x00\u2028\u3000\u1e9e𝒳"]
+    texts = spark.createDataFrame([(a + "b".join(every),) for a in every], "t string")
+    ranges = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    for text in ("lower(t)", D.ascii_lower("t")):
+        assert texts.where(f"{D.words_sql(text, D.WORD)} <> {D.words_sql(text, ranges)}").count() == 0
